@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.text import basename
-from feedloom.operators.latest import newest_loaded
+from feedloom.operators.latest import LOADED, newest_loaded
 from feedloom.operators.merge import (
     KEEP_WHEN_NULL,
     TAKE_NEW,
@@ -21,6 +21,7 @@ from feedloom.operators.merge import (
 
 # The life of a file, one ledger row per (source, target) pair.
 COPIED, MOVED, ARCHIVED = "copied_to_landing", "moved_to_landing", "archived"
+STATUSES = (COPIED, MOVED, LOADED, ARCHIVED)
 LEDGER_KEY = ("provider", "source_path", "target_path")
 LEDGER_SCHEMA = T.StructType([
     T.StructField("provider", T.StringType()),

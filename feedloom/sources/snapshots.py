@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.sources.files import _file_system
+from feedloom.sources.files import NoFilesError, _file_system, landed
 from feedloom.sources.names import snake_case
 
 
@@ -33,13 +33,18 @@ def _first_character(spark: SparkSession, path: str) -> str:
 def read_json_array(
     spark: SparkSession, path: str, fields: Sequence[str] | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Objects of a JSON array file.
+    """Objects of the JSON array files matching ``path``.
 
-    With ``fields`` every value is text under its stored name, absent ones are NULL and
+    An array is one document, so each file is read by one task. With ``fields`` every value is text under its stored name, absent ones are NULL and
     others are dropped. ``limit`` keeps the first objects.
     """
-    if _first_character(spark, path) != "[":
-        raise PayloadError(f"{path} must hold a JSON array of objects")
+    root, _, name = path.rpartition("/")
+    files = landed(spark, root, name)
+    if not files:
+        raise NoFilesError(f"no payload at {path}")
+    for file in files:
+        if _first_character(spark, file.path) != "[":
+            raise PayloadError(f"{file.path} must hold a JSON array of objects")
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if fields is None:
         rows = reader.json(path)
