@@ -5,40 +5,60 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values: (accepted shape, Spark date pattern), tried in this order.
-COMPACT = (r"^\d{8}\z", "yyyyMMdd")
-ISO = (r"^\d{4}-\d{2}-\d{2}\z", "yyyy-MM-dd")
-SLASH = (r"^\d{2}/\d{2}/\d{4}\z", "MM/dd/yyyy")
-LOOSE_SLASH = (r"^\d{1,2}/\d{1,2}/\d{4}\z", "M/d/yyyy")
-LOOSE_DASH = (r"^\d{1,2}-\d{1,2}-\d{4}\z", "M-d-yyyy")
-ANY_FORMAT = (ISO, COMPACT, LOOSE_SLASH, LOOSE_DASH)
+# The accepted shapes.
+COMPACT = r"^\d{8}\z"
+ISO = r"^\d{4}-\d{2}-\d{2}\z"
+SLASH = r"^\d{2}/\d{2}/\d{4}\z"
+LOOSE_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}\z"
+LOOSE_DASH = r"^\d{1,2}-\d{1,2}-\d{4}\z"
+NO_YEAR = "0000"
 
 # Fixed value: a load id is the epoch second of the load, with a fraction.
 LOAD_ID = r"^\d+(\.\d+)?\z"
 
 
-def _first_matching(value: Column, formats) -> Column:
-    """The shapes exclude one another, so at most one branch is taken per value."""
-    branches = None
-    for shape, pattern in formats:
-        condition, parsed = value.rlike(shape), F.try_to_date(value, pattern)
-        branches = F.when(condition, parsed) if branches is None else branches.when(condition, parsed)
-    return branches
+def _day(year: Column, month: Column, day: Column) -> Column:
+    """The day if the calendar has it.
+
+    A cast of ISO text answers NULL for an impossible day. A pattern parser would raise
+    and catch an exception per bad value, which sentinels like ``00000000`` make common.
+    """
+    return F.when(year != NO_YEAR, F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date"))
+
+
+def _iso(value: Column) -> Column:
+    return F.when(F.substring(value, 1, 4) != NO_YEAR, value.try_cast("date"))
+
+
+def _compact(value: Column) -> Column:
+    return _day(F.substring(value, 1, 4), F.substring(value, 5, 2), F.substring(value, 7, 2))
+
+
+def _month_first(value: Column, separator: str) -> Column:
+    month_day = F.substring_index(value, separator, 2)
+    return _day(
+        F.right(value, F.lit(4)), F.substring_index(month_day, separator, 1), F.substring_index(month_day, separator, -1)
+    )
 
 
 def date_compact(value: Column) -> Column:
     """Eight digits; ``00000000`` and impossible days are NULL."""
-    return _first_matching(value, (COMPACT,))
+    return F.when(value.rlike(COMPACT), _compact(value))
 
 
 def date_slash(value: Column) -> Column:
     """Strict two-digit month and day."""
-    return _first_matching(value, (SLASH,))
+    return F.when(value.rlike(SLASH), _month_first(value, "/"))
 
 
 def date_any(value: Column) -> Column:
-    """ISO, compact, ``M/D/YYYY`` or ``M-D-YYYY``."""
-    return _first_matching(value, ANY_FORMAT)
+    """ISO, compact, ``M/D/YYYY`` or ``M-D-YYYY``; a text has one of these shapes at most."""
+    return (
+        F.when(value.rlike(ISO), _iso(value))
+        .when(value.rlike(COMPACT), _compact(value))
+        .when(value.rlike(LOOSE_SLASH), _month_first(value, "/"))
+        .when(value.rlike(LOOSE_DASH), _month_first(value, "-"))
+    )
 
 
 def utc_date(moment: Column) -> Column:

@@ -28,7 +28,7 @@ def blank_to_null(value: Column | str) -> Column:
 
 def drop_float_tail(value: Column | str) -> Column:
     """``20260101.0`` becomes ``20260101``; blank becomes NULL."""
-    return F.nullif(F.split_part(_col(value).cast("string"), F.lit("."), F.lit(1)), F.lit(""))
+    return F.nullif(F.substring_index(_col(value).cast("string"), ".", 1), F.lit(""))
 
 
 def capture(value: Column | str, pattern: str) -> Column:

@@ -36,7 +36,8 @@ def until_repeat(path: Column, code: Column) -> Column:
         F.lit(0),
     )
     lead = F.size(code) - F.size(path)
-    return F.when(first_repeat.isNull(), path).otherwise(F.slice(path, 1, first_repeat - 1 - lead))
+    simple = F.size(F.array_distinct(code)) == F.size(code)  # the usual case, cheap to see
+    return F.when(simple, path).otherwise(F.slice(path, 1, first_repeat - 1 - lead))
 
 
 def ids_of(path: Column) -> Column:
@@ -159,7 +160,7 @@ def roster_hierarchy(
     matched = lookup_join(
         unpivot_levels(chains, ["chain"], levels), roster_seeds(roster, carrier_pattern), ["writing_number"], "inner"
     )
-    deepest = matched.groupBy("chain").agg(F.max_by("seed", "level_number").alias("id"))
+    deepest = cut(matched.groupBy("chain").agg(F.max_by("seed", "level_number").alias("id")))
     paths = ancestor_paths(roster_nodes(roster))
     resolved = lookup_join(deepest, paths, ["id"], "inner").select(
         "chain", hierarchy_json(F.col("path")).alias("roster_hierarchy_json")
@@ -223,9 +224,9 @@ def self_hierarchy(
     )
 
     policies = newest.select(row_id, blank_to_null("agt_code").alias("own_code"), "upline")
-    seeds = policies.select("own_code", "upline").distinct().withColumns({
+    seeds = cut(policies.select("own_code", "upline").distinct().withColumns({
         "upline_code": trailing_code("upline"), "upline_name": name_without_code("upline"),
-    })
+    }))
     seeds = seeds.filter(F.col("upline_code").isNotNull() & ~F.col("upline_code").eqNullSafe(F.col("own_code")))
     started = lookup_join(
         _with_upline_step(seeds, agents),

@@ -28,7 +28,6 @@ from feedloom.operators.skew import (
     order_struct,
     ordered_ranges,
     split_hot,
-    top_per_key,
 )
 
 RUNNING_MAX, CHANGE_ROW, PREVIOUS_ROW = "running_max", "change_row", "previous_row"
@@ -157,23 +156,44 @@ def pending_rows(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> Dat
     return typed.join(history.select(spec.row_id), spec.row_id, "left_anti")
 
 
-def incremental_history(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
-    """History rows for the pending observations only.
+def tails(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
+    """One row per key: the last processed observation with its history values, and the
+    newest processed day.
 
-    Keys with late pending rows must have been cleared by ``out_of_order_reset``.
+    This is all an incremental run needs to know about the past, so a flow keeps it
+    stored and its cost follows the new rows and the number of keys, not the history.
+    """
+    done = typed.select(*spec.inputs).join(history.select(*spec.output), spec.row_id)
+    return newest_tails(done.withColumn("newest_day", F.col(spec.event_date)), spec)
+
+
+def newest_tails(candidates: DataFrame, spec: HistorySpec) -> DataFrame:
+    """The last candidate of each key and the newest day over all of them, in one
+    aggregation that reduces before the shuffle."""
+    columns = [*spec.inputs, *[c for c in spec.output if c not in spec.inputs]]
+    reduced = candidates.groupBy(*[F.col(k).alias(f"_key_{k}") for k in spec.key]).agg(
+        F.max_by(F.struct(*columns), order_struct(spec.sorts)).alias("_last"),
+        F.max("newest_day").alias("newest_day"),
+    )
+    return reduced.select("_last.*", "newest_day")
+
+
+def advanced_tails(stored: DataFrame, pending: DataFrame, added: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Tails after the pending rows got their history rows ``added``."""
+    fresh = pending.select(*spec.inputs).join(added, spec.row_id).withColumn("newest_day", F.col(spec.event_date))
+    return newest_tails(stored.unionByName(fresh.select(*stored.columns)), spec)
+
+
+def extend_history(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> DataFrame:
+    """History rows of the pending observations, each key seeded by its tail.
+
+    Keys whose pending rows are not all later than their tail must be recomputed
+    instead, see ``late_keys``.
     """
-    observed = typed.select(*spec.inputs)
-    pending = pending_rows(observed, history, spec)
     affected = pending.select(*spec.key).distinct()
-    newest_first = [
-        F.col(o.column).desc_nulls_last() if o.nulls_first else F.col(o.column).desc_nulls_first()
-        for o in spec.sorts
-    ]
-    # Reduce to the last processed row per key before meeting the affected keys.
-    last_processed = top_per_key(observed.join(history.select(*spec.output), spec.row_id), spec.key, newest_first)
-    seeds = null_safe_join(last_processed, affected, spec.key, "left_semi")
-
-    blank = {f"_seed_previous{i}": F.lit(None).cast(typed.schema[t.column].dataType) for i, t in enumerate(spec.tracked)}
+    seeds = null_safe_join(past, affected, spec.key, "left_semi")
+    types = pending.schema
+    blank = {f"_seed_previous{i}": F.lit(None).cast(types[t.column].dataType) for i, t in enumerate(spec.tracked)}
     blank |= {f"_seed_day{i}": F.lit(None).cast("date") for i in range(len(spec.tracked))}
     known = {f"_seed_previous{i}": F.col(t.previous_name) for i, t in enumerate(spec.tracked)}
     known |= {f"_seed_day{i}": F.col(t.date_name) for i, t in enumerate(spec.tracked)}
@@ -183,6 +203,22 @@ def incremental_history(typed: DataFrame, history: DataFrame, spec: HistorySpec)
     return _history(rows, spec, seeded=True).filter(~F.col("_is_seed")).drop("_is_seed")
 
 
+def late_keys(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Keys whose first pending day is not after their newest processed day."""
+    first = pending.groupBy(*spec.key).agg(F.min(spec.event_date).alias("first_pending"))
+    known = past.select(*spec.key, "newest_day")
+    return null_safe_join(first, known, spec.key, "inner").filter(F.col("first_pending") <= F.col("newest_day"))
+
+
+def incremental_history(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
+    """History rows for the pending observations only.
+
+    Keys with late pending rows must have been cleared by ``out_of_order_reset``.
+    """
+    observed = typed.select(*spec.inputs)
+    return extend_history(pending_rows(observed, history, spec), tails(observed, history, spec), spec)
+
+
 def out_of_order_keys(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
     """Keys whose first pending day is not after their last processed day.
 

@@ -27,8 +27,8 @@ def source_text(col: s.Col) -> Column:
     return fn.blank_to_null(raw)
 
 
-def typed_value(col: s.Col, present: Sequence[str] = ()) -> Column:
-    text = source_text(col)
+def parsed(col: s.Col, text: Column) -> Column:
+    """The typed value of already prepared text."""
     if col.kind in (s.DATE, s.DATE_AS_IS, s.DATE_TAIL):
         return fn.date_compact(text)
     if col.kind == s.DATE_SLASH:
@@ -41,10 +41,15 @@ def typed_value(col: s.Col, present: Sequence[str] = ()) -> Column:
         return fn.safe_smallint(text)
     if col.kind in (s.NUMBER, s.SIGNED):
         return fn.safe_number(text, plus_allowed=col.kind == s.SIGNED)
+    return text
+
+
+def prepared_text(col: s.Col, present: Sequence[str]) -> Column:
+    """Source text; a zip picks its text variant where the feed has one."""
     if col.kind == s.ZIP:
         variant = f"{col.raw}_text"
         return fn.zip_code(col.raw, variant if variant in present else None)
-    return text
+    return source_text(col)
 
 
 def with_missing(raw: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -72,13 +77,17 @@ def typed(raw: DataFrame, spec: s.TypedSpec) -> DataFrame:
     raw = with_missing(raw, spec.optional)
     if spec.row_number:
         raw = numbered(raw, ["source_file"], ["row_id"], spec.row_number)
-    columns = [typed_value(c, raw.columns).alias(c.target) for c in spec.columns]
-    columns += [F.col(c.raw).alias(c.target) for c in spec.lineage]
+    # Two projections: text is prepared once, then parsed by reference. In a single one
+    # every mention in the guards and parsers would prepare it again.
+    texts = [prepared_text(c, raw.columns).alias(c.target) for c in spec.columns]
+    carried = [F.col(c.raw).alias(c.target) for c in spec.lineage]
     if spec.row_number:
-        columns.append(F.col(spec.row_number))
+        carried.append(F.col(spec.row_number))
     if spec.file_date:
-        columns.append(spec.file_date().alias("file_date"))
-    rows = raw.select(*columns)
+        carried.append(spec.file_date().alias("file_date"))
+    rows = raw.select(*texts, *carried)
+    untouched = [F.col(n) for n in rows.columns[len(texts):]]
+    rows = rows.select(*[parsed(c, F.col(c.target)).alias(c.target) for c in spec.columns], *untouched)
     if spec.risk:
         rows = rows.withColumn("at_risk_policy", spec.risk())
     return rows.select(*spec.output) if spec.output else rows
@@ -90,19 +99,20 @@ def reject_profile(raw: DataFrame, spec: s.TypedSpec) -> DataFrame:
     All columns are counted in one aggregation; the one-row result is then turned.
     """
     raw = with_missing(raw, spec.optional)
-    parsed = [c for c in spec.columns if c.kind not in (s.TEXT, s.RAW, s.ZIP)]
+    checked = [c for c in spec.columns if c.kind not in (s.TEXT, s.RAW, s.ZIP)]
+    texts = raw.select(*[source_text(c).alias(f"c{i}") for i, c in enumerate(checked)])
     counts = []
-    for i, c in enumerate(parsed):
-        text = source_text(c)
+    for i, c in enumerate(checked):
+        text = F.col(f"c{i}")
         counts.append(F.count(text).alias(f"t{i}"))
-        counts.append(F.count_if(text.isNotNull() & typed_value(c).isNull()).alias(f"r{i}"))
-    total = raw.agg(F.count(F.lit(1)).alias("n"), *counts)
+        counts.append(F.count_if(text.isNotNull() & parsed(c, text).isNull()).alias(f"r{i}"))
+    total = texts.agg(F.count(F.lit(1)).alias("n"), *counts)
     lines = F.array(*[
         F.struct(
             F.lit(c.target).alias("column_name"), F.col("n").alias("row_count"),
             F.col(f"t{i}").alias("text_count"), F.col(f"r{i}").alias("reject_count"),
         )
-        for i, c in enumerate(parsed)
+        for i, c in enumerate(checked)
     ])
     return total.select(F.inline(lines))
 

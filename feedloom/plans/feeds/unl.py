@@ -70,7 +70,7 @@ def policy_file_date():
 
 
 def advance_file_date():
-    return F.try_to_date(fn.capture("source_file", ADVANCE_FILE), "yyyy_MM_dd")
+    return fn.date_any(F.replace(fn.capture("source_file", ADVANCE_FILE), F.lit("_"), F.lit("-")))
 
 
 POLICY = TypedSpec(

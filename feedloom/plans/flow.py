@@ -120,9 +120,10 @@ def rebuild(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.dat
     """Reload one feed from its landed files. Contracts are checked before anything
     is dropped, and only tables of this feed are."""
     src.check_contracts(tables.spark, root, feed.routes)
+    derived = ("", "_change_history", "_change_history_tail", "_roster_hierarchy", "_at_risk_episodes")
     tables.drop([
-        *[raw_name(r.table) for r in feed.routes], typed_name(feed.table), typed_name(f"{feed.table}_change_history"),
-        typed_name(f"{feed.table}_at_risk_episodes"), f"{INTAKE}/{feed.name}",
+        *[raw_name(r.table) for r in feed.routes], *[typed_name(feed.table + d) for d in derived],
+        f"{INTAKE}/{feed.name}",
     ])
     return load(tables, feed, root, load_id, now, roster)
 
@@ -132,32 +133,61 @@ def rebuild(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.dat
 def append_typed(tables: Tables, table: str, spec) -> tuple[DataFrame, str]:
     """Add typed rows of loads newer than the typed table; returns it and its load.
 
-    The load being written is left out of what is compared, so repeating a refresh
-    writes the same rows again instead of finding them present.
+    Loads are compared by folder name, so nothing stored is scanned for the cursor. The
+    load being written is left out of what is compared, so repeating a refresh writes
+    the same rows again instead of finding them present.
     """
-    raw = tables.read(raw_name(table), evolving=True)
-    newest = raw.agg(F.max("load_id")).first()[0]
     name = typed_name(table)
-    stored = tables.read(name, without=newest)
-    if stored is not None and stored.isEmpty():
-        stored = None
-    fresh = merge.one_per_key(typed(newer_loads(raw, stored), spec), ["row_id"])
-    if stored is not None:
-        fresh = merge.unseen(fresh, stored, ["row_id"])
+    newest = tables.loads(raw_name(table))[-1]
+    earlier = [i for i in tables.loads(name) if i != newest]
+    raw = tables.read(raw_name(table), after=earlier[-1] if earlier else None, evolving=True)
+    fresh = merge.one_per_key(typed(newer_loads(raw, None), spec), ["row_id"])
+    if earlier:
+        # Ids can only repeat within a file that was loaded before. The names of one
+        # load's files come from the driver's own listing, so they are few.
+        names = F.broadcast(raw.select("source_file").distinct())
+        reloaded = tables.read(name, without=newest).join(names, "source_file", "left_semi")
+        fresh = merge.unseen(fresh, reloaded, ["row_id"])
     tables.append(name, fresh, newest)
     return tables.read(name), newest
 
 
 def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSpec, load_id: str) -> DataFrame:
-    """Incremental feeds add the rows of the new load; the stored history is only
-    rewritten when a late file reset some keys. Other feeds rebuild."""
+    """Incremental feeds add the rows of the new load and keep one tail per key; the
+    stored history is only rewritten when a late file reset some keys. Others rebuild."""
+    spec, tail_name = feed.history, f"{name}_tail"
     stored = tables.read(name, without=load_id) if feed.incremental else None
     if stored is None or stored.isEmpty():
-        return tables.replace(name, hist.change_history(policies, feed.history))
-    if hist.out_of_order_keys(policies, stored, feed.history).isEmpty():
-        tables.append(name, hist.incremental_history(policies, stored, feed.history), load_id)
+        history = tables.replace(name, hist.change_history(policies, spec))
+        if feed.incremental:
+            store_tails(tables, tail_name, hist.tails(policies, history, spec), load_id)
+        return history
+
+    pending = tables.read_load(typed_name(feed.table), load_id)
+    # Row counts come from file footers. They disagree when an earlier run stopped
+    # between typed rows and history; then everything without history is pending.
+    if policies.count() != stored.count() + pending.count():
+        pending = cut(hist.pending_rows(policies, stored, spec))
+    past = tables.read(tail_name)
+    if past is None or past.first()["through"] == load_id:
+        past = cut(hist.tails(policies, stored, spec))
+    else:
+        past = past.drop("through")
+
+    late = hist.late_keys(pending, past, spec)
+    if late.isEmpty():
+        tables.append(name, hist.extend_history(pending, past, spec), load_id)
+        added = tables.read_load(name, load_id)
+        store_tails(tables, tail_name, hist.advanced_tails(past, pending, added, spec), load_id)
         return tables.read(name)
-    return tables.replace(name, hist.refreshed_history(policies, stored, feed.history))
+    history = tables.replace(name, hist.refreshed_history(policies, stored, spec))
+    store_tails(tables, tail_name, hist.tails(policies, history, spec), load_id)
+    return history
+
+
+def store_tails(tables: Tables, name: str, rows: DataFrame, load_id: str) -> None:
+    """The tails know the load they include, so a repeated load is noticed."""
+    tables.replace(name, rows.withColumn("through", F.lit(load_id)))
 
 
 def refresh(tables: Tables, feed: FeedSpec, now: dt.datetime,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from feedloom.operators import history as h
 from feedloom.operators.skew import numbered
 from feedloom.queries.registry import query, table
+from feedloom.session import cut
 
 EVENT_HISTORY = h.HistorySpec(
     key=("user_id",), order=("ts", "event_id"), row_id="event_id", event_date="day",
@@ -53,14 +54,14 @@ def change_history(spark, sf_dir):
 def incremental_history(spark, sf_dir):
     """The first half of the month is processed, the rest is added."""
     events = observed_events(spark, sf_dir)
-    done = h.change_history(events.filter(F.col("ts") < "2024-01-16"), EVENT_HISTORY)
+    done = cut(h.change_history(events.filter(F.col("ts") < "2024-01-16"), EVENT_HISTORY))
     return done.unionByName(h.incremental_history(events, done, EVENT_HISTORY))
 
 
 def processed_first(spark, sf_dir):
     """Even days are processed before the odd days arrive."""
     events = observed_events(spark, sf_dir)
-    return events, h.change_history(events.filter(F.dayofmonth("ts") % 2 == 0), EVENT_HISTORY)
+    return events, cut(h.change_history(events.filter(F.dayofmonth("ts") % 2 == 0), EVENT_HISTORY))
 
 
 @query("out_of_order_keys", """

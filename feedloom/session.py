@@ -16,6 +16,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide projections generate methods the JVM will not compile; beyond its limit let
+    # Spark split them instead of interpreting one huge method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
@@ -65,7 +68,9 @@ def cut(df: DataFrame) -> DataFrame:
 
     Used where rows are consumed more than once, where a value is only stable
     within one execution (partition ids), or where an iteration would otherwise
-    double its plan. The copy is reliable, so it survives executor loss.
+    double its plan. The copy survives executor loss, its rows are computed once
+    (an RDD checkpoint computes them twice), and its size is known to the planner.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

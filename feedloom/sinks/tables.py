@@ -76,11 +76,24 @@ class Tables:
         self._publish(name, version)
         return self.read(name)
 
-    def read(self, name: str, without: str | None = None, evolving: bool = False) -> DataFrame | None:
+    def loads(self, name: str) -> list[str]:
+        """Ids of the stored loads in order, from the folder names alone."""
+        current = self._version(name)
+        if current is None:
+            return []
+        fs, folder = self._fs(current)
+        prefix = f"{LOAD}={folder_of('')}"
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+    def read(
+        self, name: str, without: str | None = None, after: str | None = None, evolving: bool = False
+    ) -> DataFrame | None:
         """The published rows, or None before the first write.
 
-        ``without`` leaves out one load, for a step that is about to write it again.
-        ``evolving`` merges the schemas of all files (raw tables gain columns).
+        ``without`` leaves out one load, for a step that is about to write it again;
+        ``after`` reads later loads only; both prune folders. ``evolving`` merges the
+        schemas of all files (raw tables gain columns).
         """
         current = self._version(name)
         if current is None:
@@ -88,6 +101,8 @@ class Tables:
         rows = self.spark.read.option("mergeSchema", evolving).parquet(current)
         if without is not None:
             rows = rows.filter(F.col(LOAD) != folder_of(without))
+        if after is not None:
+            rows = rows.filter(F.col(LOAD) > folder_of(after))
         return rows.drop(LOAD)
 
     def read_load(self, name: str, load_id: str) -> DataFrame | None:
