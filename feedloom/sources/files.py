@@ -132,9 +132,14 @@ def check_contracts(spark: SparkSession, root: str, routes: Iterable[Route]) ->
 
 # ----------------------------------------------------------------------- scans
 
+def decoded(uri: Column) -> Column:
+    """File metadata is URI text, where a plus stands for itself."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def _lineage() -> list[Column]:
     return [
-        F.col("_metadata.file_name").alias("source_file"),
+        decoded(F.col("_metadata.file_name")).alias("source_file"),
         F.col("_metadata.file_modification_time").alias("source_modified_at"),
     ]
 

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.plans import flow
 from feedloom.plans.specs import FeedSpec, Route
 from feedloom.sinks.tables import Tables
-from feedloom.sources.files import LandedFile, NEVER_NULL, _cell, _lineage, identified
+from feedloom.sources.files import NEVER_NULL, LandedFile, _cell, _lineage, decoded, identified
 from feedloom.sources.names import stored_names
 
 FILES_PER_BATCH = 1000
@@ -46,7 +46,7 @@ def stream_csv(spark: SparkSession, root: str, route: Route, files_per_trigger:
     return rows.select(
         *[_cell(h, route.keep_tokens).alias(n) for h, n in names.items()],
         *_lineage(),
-        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size"),
+        decoded(F.col("_metadata.file_path")).alias("_path"), F.col("_metadata.file_size").alias("_size"),
     )
 
 
