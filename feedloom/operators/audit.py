@@ -109,7 +109,7 @@ def freshness(
 
 def unmatched_rows(raw: DataFrame, typed: DataFrame, key: str = "row_id") -> DataFrame:
     """Raw rows without a typed row."""
-    return raw.join(typed.select(key), key, "left_anti")
+    return raw.join(typed.select(key).distinct(), key, "left_anti")
 
 
 def reconcile(raw: DataFrame, typed: DataFrame, key: str = "row_id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import blank_to_null, joined_name, json_text, name_without_code, trailing_code
-from feedloom.operators.skew import lookup_join, null_safe_join, top_per_key
+from feedloom.operators.skew import lookup_join, top_per_key
 from feedloom.session import cut
 
 # Fixed value: a self-derived upline lists at most this many people.
@@ -153,9 +153,10 @@ def roster_hierarchy(
     Policies are first reduced to their distinct level chains, since agents write many
     policies; only the chains are unpivoted and matched.
     """
-    chain = F.to_json(F.array(*[blank_to_null(c) for c in levels]))
-    keyed = policies.select(row_id, chain.alias("chain"))
-    chains = policies.select(chain.alias("chain"), *levels).dropDuplicates(["chain"])
+    trimmed = [blank_to_null(c).alias(c) for c in levels]
+    chain = F.to_json(F.array(*levels)).alias("chain")
+    keyed = policies.select(row_id, *trimmed).select(row_id, chain)
+    chains = policies.select(*trimmed).distinct().select(chain, *levels)
 
     matched = lookup_join(
         unpivot_levels(chains, ["chain"], levels), roster_seeds(roster, carrier_pattern), ["writing_number"], "inner"
@@ -223,8 +224,10 @@ def self_hierarchy(
         edges.select(F.col("agt_code").alias("id"), F.col("upline_code").alias("parent_id"), "step"), max_people
     )
 
-    policies = newest.select(row_id, blank_to_null("agt_code").alias("own_code"), "upline")
-    seeds = cut(policies.select("own_code", "upline").distinct().withColumns({
+    own = blank_to_null("agt_code").alias("own_code")
+    origin = F.to_json(F.array("own_code", "upline")).alias("origin")
+    policies = newest.select(row_id, own, "upline").select(row_id, "own_code", "upline", origin)
+    seeds = cut(policies.select("origin", "own_code", "upline").distinct().withColumns({
         "upline_code": trailing_code("upline"), "upline_name": name_without_code("upline"),
     }))
     seeds = seeds.filter(F.col("upline_code").isNotNull() & ~F.col("upline_code").eqNullSafe(F.col("own_code")))
@@ -236,7 +239,7 @@ def self_hierarchy(
     started = started.withColumn("path", path)
     visited = F.concat(F.array_compact(F.array("own_code")), ids_of(F.col("path")))
     started = started.withColumn("path", F.slice(until_repeat(F.col("path"), visited), 1, max_people))
-    resolved = started.select(
-        "own_code", "upline", hierarchy_json(F.col("path"), F.lit(True)).alias("roster_hierarchy_json")
+    resolved = started.select("origin", hierarchy_json(F.col("path"), F.lit(True)).alias("roster_hierarchy_json"))
+    return lookup_join(policies.select(row_id, "origin"), resolved, ["origin"], "inner").select(
+        row_id, "roster_hierarchy_json"
     )
-    return null_safe_join(policies, resolved, ["own_code", "upline"], "inner").select(row_id, "roster_hierarchy_json")

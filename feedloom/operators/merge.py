@@ -27,7 +27,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] | N
 
 
 def unseen(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key is not stored yet."""
+    """Incoming rows whose key is not stored yet; ``existing`` holds a key once."""
     return incoming.join(existing.select(*keys), list(keys), "left_anti")
 
 
@@ -68,11 +68,13 @@ def coalescing_upsert(
 
 
 def delete_missing(existing: DataFrame, refreshed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return existing.join(refreshed.select(*keys), list(keys), "left_semi")
+    """Keys are made distinct first, which happens before the shuffle: a key repeated
+    without end would otherwise gather in one task. The same holds below."""
+    return existing.join(refreshed.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def delete_keys(existing: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return existing.join(doomed.select(*keys), list(keys), "left_anti")
+    return existing.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def mirror(
@@ -115,5 +117,5 @@ def either_key_unseen(source: DataFrame, existing: DataFrame, keys: Mapping[str,
     remaining = source
     for source_key, existing_key in keys.items():
         known = existing.select(F.col(existing_key).alias(source_key)).filter(F.col(source_key).isNotNull())
-        remaining = remaining.join(known, source_key, "left_anti")
+        remaining = remaining.join(known.distinct(), source_key, "left_anti")
     return remaining

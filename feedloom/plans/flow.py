@@ -66,13 +66,17 @@ def episode_schema(key: str) -> T.StructType:
 
 def new_files(tables: Tables, root: str, feed: FeedSpec) -> dict[src.Route, list[src.LandedFile]]:
     """Landed files not stored yet. A rewritten file has a new modification time and
-    loads again. The lists are file metadata, as small as the listing itself."""
+    loads again. Only files of the current listing come back to the driver."""
     found = src.matching_routes(tables.spark, root, feed.routes)
     intake = tables.read(f"{INTAKE}/{feed.name}")
     if intake is None:
         return found
-    known = {(r.path, r.modified_at.astimezone(dt.timezone.utc)) for r in intake.collect()}
-    fresh = {r: [f for f in files if (f.path, f.modified_at) not in known] for r, files in found.items()}
+    listed = tables.spark.createDataFrame(
+        [(f.path, f.modified_at) for files in found.values() for f in files], "path string, modified_at timestamp"
+    )
+    unknown = listed.join(intake, ["path", "modified_at"], "left_anti").select("path").collect()
+    paths = {r.path for r in unknown}
+    fresh = {r: [f for f in files if f.path in paths] for r, files in found.items()}
     return {r: files for r, files in fresh.items() if files}
 
 
@@ -138,10 +142,14 @@ def append_typed(tables: Tables, table: str, spec) -> tuple[DataFrame, str]:
     the same rows again instead of finding them present.
     """
     name = typed_name(table)
-    newest = tables.loads(raw_name(table))[-1]
+    loads = tables.loads(raw_name(table))
+    newest = loads[-1]
     earlier = [i for i in tables.loads(name) if i != newest]
-    raw = tables.read(raw_name(table), after=earlier[-1] if earlier else None, evolving=True)
-    fresh = merge.one_per_key(typed(newer_loads(raw, None), spec), ["row_id"])
+    mark = earlier[-1] if earlier else None
+    raw = tables.read(raw_name(table), after=mark, evolving=True)
+    fresh = typed(newer_loads(raw, None), spec)
+    if sum(mark is None or i > mark for i in loads) > 1:
+        fresh = merge.one_per_key(fresh, ["row_id"])  # within one load ids are unique
     if earlier:
         # Ids can only repeat within a file that was loaded before. The names of one
         # load's files come from the driver's own listing, so they are few.

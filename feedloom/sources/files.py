@@ -227,7 +227,7 @@ def identified(rows: DataFrame, load_id: str, copies_per_task: int = COPIES_PER_
     many = (
         counted.filter(F.col("_copies") > copies_per_task)
         .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"), step)))
-        .repartition("_from", *lineage)
+        .repartition("_from", *values, *lineage)
         .withColumn("_copy", F.explode(F.sequence(
             F.col("_from"), F.least(F.col("_from") + step - 1, F.col("_copies"))
         )))
