@@ -83,11 +83,13 @@ def typed(raw: DataFrame, spec: s.TypedSpec) -> DataFrame:
     carried = [F.col(c.raw).alias(c.target) for c in spec.lineage]
     if spec.row_number:
         carried.append(F.col(spec.row_number))
+    file_text = [spec.file_text().alias(s.FILE_TEXT)] if spec.file_text else []
+    rows = raw.select(*texts, *carried, *file_text)
+    values = [parsed(c, F.col(c.target)).alias(c.target) for c in spec.columns]
+    values += [F.col(n) for n in rows.columns[len(texts):] if n != s.FILE_TEXT]
     if spec.file_date:
-        carried.append(spec.file_date().alias("file_date"))
-    rows = raw.select(*texts, *carried)
-    untouched = [F.col(n) for n in rows.columns[len(texts):]]
-    rows = rows.select(*[parsed(c, F.col(c.target)).alias(c.target) for c in spec.columns], *untouched)
+        values.append(spec.file_date().alias("file_date"))
+    rows = rows.select(*values)
     if spec.risk:
         rows = rows.withColumn("at_risk_policy", spec.risk())
     return rows.select(*spec.output) if spec.output else rows

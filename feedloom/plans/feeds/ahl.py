@@ -8,7 +8,7 @@ from feedloom import functions as fn
 from feedloom.operators.history import CHANGE_ROW, HistorySpec, Tracked
 from feedloom.operators.skew import Order
 from feedloom.plans.feeds import unl
-from feedloom.plans.specs import DATE, INT, RAW, SIGNED, SMALLINT, TEXT, Col, FeedSpec, Route, TypedSpec
+from feedloom.plans.specs import DATE, FILE_TEXT, INT, RAW, SIGNED, SMALLINT, TEXT, Col, FeedSpec, Route, TypedSpec
 
 # Delivered header name, stored name, typed name, kind.
 FIELDS = (
@@ -56,10 +56,14 @@ NEWEST_RAW = ("source_modified_at", "load_id")
 NEWEST_TYPED = ("source_modified_at", "file_date", "raw_load_id")
 
 
+def file_text():
+    return fn.capture("source_file", FILE_NAME)
+
+
 def file_date():
     """Name, else modification day, else load day."""
     return fn.file_date_chain(
-        fn.date_compact(fn.capture("source_file", FILE_NAME)),
+        fn.date_compact(F.col(FILE_TEXT)),
         fn.utc_date(F.col("source_modified_at")),
         fn.epoch_date(F.col("load_id")),
     )
@@ -68,7 +72,7 @@ def file_date():
 COLUMNS = tuple(Col(target, kind, stored) for _, stored, target, kind in FIELDS)
 POLICY = TypedSpec(
     columns=COLUMNS, lineage=(*unl.RAW_IDS, Col("source_modified_at", RAW)),
-    file_date=file_date, risk=lambda: F.lit(False), optional=("fymatrisk",),
+    file_text=file_text, file_date=file_date, risk=lambda: F.lit(False), optional=("fymatrisk",),
     output=(
         *[c.target for c in COLUMNS], "source_file", "source_modified_at", "file_date", "at_risk_policy",
         "raw_load_id", "raw_row_id", "load_id", "row_id",

@@ -23,7 +23,7 @@ OUTPUT = (
 POLICY = TypedSpec(
     columns=tuple(Col(c.target, KINDS[c.target]) if c.target in KINDS else Col(c.target) for c in unl.POLICY_FIELDS),
     lineage=(*unl.RAW_IDS, Col("source_modified_at", RAW)),
-    file_date=unl.policy_file_date, risk=at_risk, optional=OPTIONAL, output=OUTPUT,
+    file_text=unl.policy_file_text, file_date=unl.policy_file_date, risk=at_risk, optional=OPTIONAL, output=OUTPUT,
 )
 
 FEED = FeedSpec(

@@ -11,7 +11,8 @@ from feedloom.operators.episodes import policy_risk_episodes
 from feedloom.operators.history import HistorySpec, Tracked
 from feedloom.operators.typed import at_risk
 from feedloom.plans.specs import (
-    DATE_ANY, DATE_AS_IS, DATE_TAIL, INT_AS_IS, NUMBER, RAW, SIGNED, ZIP, Col, FeedSpec, Route, TypedSpec,
+    DATE_ANY, DATE_AS_IS, DATE_TAIL, FILE_TEXT, INT_AS_IS, NUMBER, RAW, SIGNED, ZIP, Col, FeedSpec, Route,
+    TypedSpec,
 )
 
 # Fixed values.
@@ -64,17 +65,25 @@ VIEW_COLUMNS = (
 )
 
 
+def policy_file_text():
+    """The eight characters after ``_Policy_`` in the file name."""
+    return F.substring(F.split_part("source_file", F.lit("_Policy_"), F.lit(2)), 1, 8)
+
+
 def policy_file_date():
-    """The eight digits after ``_Policy_`` in the file name."""
-    return fn.date_compact(F.substring(F.split_part("source_file", F.lit("_Policy_"), F.lit(2)), 1, 8))
+    return fn.date_compact(F.col(FILE_TEXT))
+
+
+def advance_file_text():
+    return F.replace(fn.capture("source_file", ADVANCE_FILE), F.lit("_"), F.lit("-"))
 
 
 def advance_file_date():
-    return fn.date_any(F.replace(fn.capture("source_file", ADVANCE_FILE), F.lit("_"), F.lit("-")))
+    return fn.date_any(F.col(FILE_TEXT))
 
 
 POLICY = TypedSpec(
-    columns=POLICY_FIELDS, lineage=RAW_IDS, file_date=policy_file_date, risk=at_risk,
+    columns=POLICY_FIELDS, lineage=RAW_IDS, file_text=policy_file_text, file_date=policy_file_date, risk=at_risk,
     optional=tuple(c for c in RAW_POLICY_COLUMNS if c != "zip_text"),
     output=(
         *VIEW_COLUMNS[:VIEW_COLUMNS.index("source_file") + 1], "raw_load_id", "raw_row_id",
@@ -103,6 +112,7 @@ ADVANCES = TypedSpec(
     ),
     lineage=tuple(Col(c, RAW) for c in ("source_file", "load_id", "row_id")),
     row_number="row_number",
+    file_text=advance_file_text,
     file_date=advance_file_date,
 )
 

@@ -244,6 +244,11 @@ def refresh(tables: Tables, feed: FeedSpec, now: dt.datetime,
     return out
 
 
+def row_counts(published: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows of each refreshed table; stored tables are counted from file footers."""
+    return {name: rows.count() for name, rows in published.items()}
+
+
 def latest_load(rows: DataFrame, newest: DataFrame, hierarchy: DataFrame, history: DataFrame | None,
                 feed: FeedSpec, columns: tuple[str, ...] | None = None) -> DataFrame:
     """Rows of the newest file with hierarchy, carrier tag and history."""

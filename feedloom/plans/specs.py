@@ -29,6 +29,10 @@ SIGNED = "signed"              # a leading + is allowed
 ZIP = "zip"                    # text variant, else five-digit padding
 
 
+#: Name under which a file's date text is at hand for ``TypedSpec.file_date``.
+FILE_TEXT = "_file_text"
+
+
 @dataclass(frozen=True)
 class Col:
     """``target`` read from ``source`` (same name when not given)."""
@@ -62,7 +66,8 @@ class Route:
 @dataclass(frozen=True)
 class TypedSpec:
     columns: tuple[Col, ...]
-    file_date: Callable[[], Column] | None = None
+    file_text: Callable[[], Column] | None = None   # date text of the file name
+    file_date: Callable[[], Column] | None = None   # its day, from FILE_TEXT and lineage
     risk: Callable[[], Column] | None = None
     optional: tuple[str, ...] = ()
     lineage: tuple[Col, ...] = ()

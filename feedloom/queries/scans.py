@@ -127,6 +127,21 @@ def json_snapshot(spark, sf_dir):
     return read_json_array(spark, f"{root}/*.txt", PAYLOAD)
 
 
+@query("header_csv", """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+           CASE WHEN c_nationkey > 4 THEN c_mktsegment ELSE '' END AS segment FROM customer""")
+def header_csv(spark, sf_dir):
+    """A plain CSV under its own header, replaced on each load; empty cells stay ''."""
+    root = scratch_path(spark, "landing")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_nationkey") > 4, F.col("c_mktsegment")).alias("segment")
+    )
+    write_csv(rows, f"{root}/customers")
+    tables = Tables(spark, f"{root}/tables")
+    tables.replace("raw/customers", rows.limit(0).select(*[F.col(c).cast("string") for c in rows.columns]))
+    return tables.replace("raw/customers", src.read_header_csv(spark, f"{root}/customers"))
+
+
 # ------------------------------------------------------------------------ flows
 
 FLOW_SQL = f"""

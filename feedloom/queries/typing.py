@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from feedloom import functions as fn
 from feedloom.operators import typed as t
 from feedloom.plans.feeds import ahl, gtl, heartland, manhattan, unl
-from feedloom.plans.specs import DATE, DATE_ANY, DATE_SLASH, DATE_TAIL, INT, NUMBER, SIGNED, SMALLINT, Col, TypedSpec
+from feedloom.plans.specs import (
+    DATE, DATE_ANY, DATE_SLASH, DATE_TAIL, FILE_TEXT, INT, NUMBER, SIGNED, SMALLINT, Col, TypedSpec,
+)
 from feedloom.queries import texts as x
 from feedloom.queries.registry import query, table
 
@@ -275,7 +277,8 @@ def file_date_chain(spark, sf_dir):
         F.when(kind.isin("error", "click"), F.date_add("ts", 1).cast("timestamp")).alias("source_modified_at"),
         F.when(kind != "signup", F.when(kind == "purchase", "manual").otherwise("1783955745.5023258")).alias("load_id"),
     )
-    return rows.select("event_id", ahl.file_date().alias("file_date"))
+    dated = rows.select("*", ahl.file_text().alias(FILE_TEXT))
+    return dated.select("event_id", ahl.file_date().alias("file_date"))
 
 
 @query("cursor_scan", """

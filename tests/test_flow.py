@@ -155,6 +155,7 @@ def test_policy_flow(spark, warehouse):
          [["p", " X ", "1", "", "", "", "", "", "+1", "2.5", "", "", "-3", "6/1/2026", "2026-06-02", "bad"]])
     out = flow.load(tables, feed, root, "1", NOW, roster(spark))
     assert out["typed"].count() == 4 and list(out["typed"].columns) == list(unl.POLICY.output)
+    assert flow.row_counts(out) | {"typed": 4, "history": 4, "episodes": 1, "latest_typed": 2} == flow.row_counts(out)
     assert rows(out["episodes"].select("policy_nbr", "ep_start", "ep_end", "outcome")) == [
         ("p", dt.date(2026, 6, 1), dt.date(2026, 6, 5), "left_censored")
     ]
