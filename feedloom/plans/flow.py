@@ -137,13 +137,15 @@ def rebuild(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.dat
 def append_typed(tables: Tables, table: str, spec) -> tuple[DataFrame, str]:
     """Add typed rows of loads newer than the typed table; returns it and its load.
 
-    Loads are compared by folder name, so nothing stored is scanned for the cursor. The
-    load being written is left out of what is compared, so repeating a refresh writes
-    the same rows again instead of finding them present.
+    Loads are compared by folder name, so nothing stored is scanned for the cursor. A
+    finished load is not touched again. An unfinished one is left out of what is
+    compared, so a retry writes all its rows instead of finding some of them present.
     """
     name = typed_name(table)
     loads = tables.loads(raw_name(table))
     newest = loads[-1]
+    if tables.has_load(name, newest):
+        return tables.read(name), newest
     earlier = [i for i in tables.loads(name) if i != newest]
     mark = earlier[-1] if earlier else None
     raw = tables.read(raw_name(table), after=mark, evolving=True)
@@ -164,6 +166,9 @@ def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSp
     """Incremental feeds add the rows of the new load and keep one tail per key; the
     stored history is only rewritten when a late file reset some keys. Others rebuild."""
     spec, tail_name = feed.history, f"{name}_tail"
+    past = tables.read(tail_name) if feed.incremental else None
+    if past is not None and past.filter(F.col("through") != load_id).isEmpty():
+        return tables.read(name)  # tails are stored last, so this load is done
     stored = tables.read(name, without=load_id) if feed.incremental else None
     if stored is None or stored.isEmpty():
         history = tables.replace(name, hist.change_history(policies, spec))
@@ -176,11 +181,7 @@ def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSp
     # between typed rows and history; then everything without history is pending.
     if policies.count() != stored.count() + pending.count():
         pending = cut(hist.pending_rows(policies, stored, spec))
-    past = tables.read(tail_name)
-    if past is None or past.first()["through"] == load_id:
-        past = cut(hist.tails(policies, stored, spec))
-    else:
-        past = past.drop("through")
+    past = cut(hist.tails(policies, stored, spec)) if past is None else past.drop("through")
 
     late = hist.late_keys(pending, past, spec)
     if late.isEmpty():
@@ -194,13 +195,26 @@ def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSp
 
 
 def store_tails(tables: Tables, name: str, rows: DataFrame, load_id: str) -> None:
-    """The tails know the load they include, so a repeated load is noticed."""
+    """Stored last, with the load they include: the mark of a finished history."""
     tables.replace(name, rows.withColumn("through", F.lit(load_id)))
 
 
 def refresh(tables: Tables, feed: FeedSpec, now: dt.datetime,
             roster: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Typed append, history, hierarchy, episodes, latest views."""
+    """Typed append, history, hierarchy, episodes, latest views; then the statements."""
+    ledger = tables.read_or_empty(LEDGER, audit.LEDGER_SCHEMA)
+    out = refresh_policies(tables, feed, ledger, roster) if tables.loads(raw_name(feed.table)) else {}
+    for table, spec in feed.side_tables.items():
+        statements = tables.read(raw_name(table), evolving=True)
+        if statements is not None:
+            out[table] = tables.replace(typed_name(table), typed(statements, spec))
+            latest = latest_file_by_ledger(ledger, feed.name, unl.ADVANCE_PATTERNS)
+            out[f"{table}_latest"] = rows_of_file(out[table], latest)
+    return out
+
+
+def refresh_policies(tables: Tables, feed: FeedSpec, ledger: DataFrame,
+                     roster: Mapping[str, DataFrame] | None) -> dict[str, DataFrame]:
     policies, load_id = append_typed(tables, feed.table, feed.typed)
     raw = tables.read(raw_name(feed.table), evolving=True)
     out = {"typed": policies}
@@ -209,7 +223,6 @@ def refresh(tables: Tables, feed: FeedSpec, now: dt.datetime,
         name = typed_name(f"{feed.table}_change_history")
         out["history"] = refresh_history(tables, name, policies, feed, load_id)
 
-    ledger = tables.read_or_empty(LEDGER, audit.LEDGER_SCHEMA)
     if feed.by_ledger:
         newest_raw = newest_typed = latest_file_by_ledger(ledger, feed.name, feed.file_patterns)
     else:
@@ -231,14 +244,6 @@ def refresh(tables: Tables, feed: FeedSpec, now: dt.datetime,
     )
     out["episodes"] = tables.replace(name, episodes)
 
-    for table, spec in feed.side_tables.items():
-        statements = tables.read(raw_name(table), evolving=True)
-        if statements is not None:
-            side = tables.replace(typed_name(table), typed(statements, spec))
-            out[table] = side
-            latest = latest_file_by_ledger(ledger, feed.name, unl.ADVANCE_PATTERNS)
-            out[f"{table}_latest"] = rows_of_file(side, latest)
-
     out["latest_raw"] = latest_load(raw, newest_raw, hierarchy, out.get("history"), feed)
     out["latest_typed"] = latest_load(policies, newest_typed, hierarchy, out.get("history"), feed, feed.view_columns)
     return out

@@ -58,9 +58,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), f"feedloom-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path inside the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path inside this application's part of the shared folder."""
+    return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application staged, once its results are written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom import functions as fn
+from feedloom.session import cut
 
 # Exported columns and the report columns they come from.
 EXPORT_COLUMNS = {
@@ -80,6 +81,7 @@ def export_reports(manifest: DataFrame, rows: DataFrame, path: str) -> DataFrame
     Rows are range partitioned on report and row number: files are in order, small
     reports share tasks and a very large report is spread over several files.
     """
+    manifest = cut(manifest)
     listed = export_rows(manifest, rows)
     ordered = listed.repartitionByRange(*FOLDER, "row_number").sortWithinPartitions(*FOLDER, "row_number")
     ordered.drop("row_number").write.partitionBy(*FOLDER).option("header", True).csv(path)

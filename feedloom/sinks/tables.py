@@ -76,6 +76,14 @@ class Tables:
         self._publish(name, version)
         return self.read(name)
 
+    def has_load(self, name: str, load_id: str) -> bool:
+        """Whether the load was stored to the end; Spark marks a finished write."""
+        current = self._version(name)
+        if current is None:
+            return False
+        fs, marker = self._fs(f"{current}/{LOAD}={folder_of(load_id)}/_SUCCESS")
+        return fs.exists(marker)
+
     def loads(self, name: str) -> list[str]:
         """Ids of the stored loads in order, from the folder names alone."""
         current = self._version(name)

@@ -200,6 +200,33 @@ def test_failed_verification_leaves_everything_else(spark, warehouse):
     assert not tables.exists(flow.typed_name("unl_fym_policy"))
 
 
+def test_statements_may_come_first(spark, warehouse):
+    tables, root = warehouse
+    land(root, "unl/inbound/CommissionStatements/WA_202JVV00_2026_06_10.csv", [c.raw for c in unl.ADVANCES.columns],
+         [["x"] * len(unl.ADVANCES.columns)])
+    out = flow.load(tables, FEEDS["unl"], root, "1", NOW)
+    assert set(out) == {"unl_weekly_advance_statements", "unl_weekly_advance_statements_latest"}
+    policy_file(root, 1, ("p", "A", "20260501"))
+    assert flow.load(tables, FEEDS["unl"], root, "2", NOW)["history"].count() == 1
+
+
+def test_stopped_refresh_is_completed_later(spark, warehouse, monkeypatch):
+    """Typed rows stored, history not: the next load finds and adds what is missing."""
+    tables, root = warehouse
+    feed = FEEDS["unl"]
+    policy_file(root, 1, ("p", "A", "20260501"))
+    flow.load(tables, feed, root, "1", NOW)
+    policy_file(root, 2, ("p", "T", "20260501"))
+    with monkeypatch.context() as m:
+        m.setattr(flow, "refresh_history", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            flow.load(tables, feed, root, "2", NOW)
+    policy_file(root, 3, ("p", "T", "20260501"))
+    out = flow.load(tables, feed, root, "3", NOW)
+    full = dict(out, history=h.change_history(out["typed"], feed.history))
+    assert history_of(out) == history_of(full) and len(history_of(out)) == 3
+
+
 def test_rewritten_file_loads_again(spark, warehouse):
     tables, root = warehouse
     policy_file(root, 1, ("p", "A", "20260501"))

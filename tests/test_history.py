@@ -70,8 +70,7 @@ def random_rows(spark, n=400, seed=1):
     ])
 
 
-@pytest.mark.parametrize("rule", [h.RUNNING_MAX, h.CHANGE_ROW, h.PREVIOUS_ROW])
-@pytest.mark.parametrize("nulls_first", [False, True])
+@pytest.mark.parametrize("rule, nulls_first", [(h.RUNNING_MAX, False), (h.CHANGE_ROW, True), (h.PREVIOUS_ROW, False)])
 def test_hot_keys_give_the_same_history(spark, rule, nulls_first, request):
     typed = random_rows(spark)
     expected = rows(h.change_history(typed, spec(rule, nulls_first)), "row_id")
@@ -84,7 +83,7 @@ def without_null_days(typed):
     return typed.filter("file_date IS NOT NULL")
 
 
-@pytest.mark.parametrize("cuts", [(10, 20), (1, 28), (14, 14)])
+@pytest.mark.parametrize("cuts", [(10, 20), (14, 14)])
 def test_incremental_equals_full(spark, cuts):
     typed = without_null_days(random_rows(spark))
     full = rows(h.change_history(typed, spec()), "row_id")

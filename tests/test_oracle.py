@@ -18,7 +18,7 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(RUNS))
-def test_query_equals_sql(spark, duck, name):
+def test_query_equals_sql(spark, compiled, duck, name):
     spark_types, (spark_columns, spark_rows) = compare.spark_side(RUNS[name](spark, SF_DIR))
     duck_types, (duck_columns, duck_rows) = compare.duck_side(duck, SQL[name])
     assert spark_columns == duck_columns
