@@ -29,6 +29,7 @@ from feedloom.operators.skew import (
     ordered_ranges,
     split_hot,
 )
+from feedloom.session import cut
 
 RUNNING_MAX, CHANGE_ROW, PREVIOUS_ROW = "running_max", "change_row", "previous_row"
 
@@ -235,18 +236,37 @@ def out_of_order_keys(typed: DataFrame, history: DataFrame, spec: HistorySpec) -
     return bounds.filter(F.col("first_pending") <= F.col("last_processed"))
 
 
-def out_of_order_reset(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
-    """History without the rows of out-of-order keys, which then become pending."""
-    late = out_of_order_keys(typed, history, spec)
+def without_keys(history: DataFrame, typed: DataFrame, late: DataFrame, spec: HistorySpec) -> DataFrame:
+    """History rows of all other keys."""
     observed = typed.select(*spec.key, spec.row_id)
     doomed = null_safe_join(observed, late.select(*spec.key), spec.key, "left_semi").select(spec.row_id)
     return history.join(doomed, spec.row_id, "left_anti")
 
 
-def refreshed_history(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Existing history, repaired where files came late, plus the pending rows."""
-    kept = out_of_order_reset(typed, history, spec)
-    return kept.unionByName(incremental_history(typed, kept, spec))
+def out_of_order_reset(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
+    """History without the rows of out-of-order keys, which then become pending."""
+    return without_keys(history, typed, out_of_order_keys(typed, history, spec), spec)
+
+
+def refreshed_history(
+    typed: DataFrame, history: DataFrame, spec: HistorySpec,
+    pending: DataFrame | None = None, past: DataFrame | None = None,
+) -> DataFrame:
+    """Existing history, repaired where files came late, plus the pending rows.
+
+    Late keys are computed again from all their rows, the others are extended from
+    their tails. ``pending`` and ``past`` are derived when not at hand.
+    """
+    observed = typed.select(*spec.inputs)
+    pending = cut(pending_rows(observed, history, spec)) if pending is None else pending
+    past = cut(tails(observed, history, spec)) if past is None else past
+    late = cut(late_keys(pending, past, spec).select(*spec.key))
+    rebuilt = change_history(null_safe_join(observed, late, spec.key, "left_semi"), spec)
+    in_order = null_safe_join(pending.select(*spec.inputs), late, spec.key, "left_anti")
+    return (
+        without_keys(history, observed, late, spec).select(*spec.output)
+        .unionByName(rebuilt).unionByName(extend_history(in_order, past, spec))
+    )
 
 
 def correct_and_append(existing: DataFrame, computed: DataFrame, key: str, values: Sequence[str]) -> DataFrame:

@@ -189,7 +189,7 @@ def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSp
         added = tables.read_load(name, load_id)
         store_tails(tables, tail_name, hist.advanced_tails(past, pending, added, spec), load_id)
         return tables.read(name)
-    history = tables.replace(name, hist.refreshed_history(policies, stored, spec))
+    history = tables.replace(name, hist.refreshed_history(policies, stored, spec, pending, past))
     store_tails(tables, tail_name, hist.tails(policies, history, spec), load_id)
     return history
 

@@ -8,7 +8,7 @@ from feedloom.operators.episodes import policy_risk_episodes
 from feedloom.plans.feeds import unl
 from feedloom.queries import texts as x
 from feedloom.queries.registry import query, table
-from feedloom.queries.typing import policy_sql, unl_policies
+from feedloom.queries.typing import policy_sql, stored_policies, unl_policies
 
 
 @query("latest_per_key", """
@@ -134,4 +134,4 @@ def latest_enriched(spark, sf_dir):
                    ELSE 'ended_no_resolution' END AS outcome
     FROM found""")
 def policy_episodes(spark, sf_dir):
-    return policy_risk_episodes(unl_policies(spark, sf_dir))
+    return policy_risk_episodes(stored_policies(spark, sf_dir))

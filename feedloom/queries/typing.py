@@ -10,6 +10,7 @@ from feedloom.plans.specs import (
 )
 from feedloom.queries import texts as x
 from feedloom.queries.registry import query, table
+from feedloom.session import cut
 
 DATE_TEXTS = {
     "o_orderkey": "o_orderkey", "compact": x.DIRTY_COMPACT, "tail": x.DIRTY_TAIL,
@@ -102,6 +103,11 @@ def unl_policies(spark, sf_dir):
     return t.typed(x.derived(spark, sf_dir, x.POLICY_TEXT), unl.POLICY)
 
 
+def stored_policies(spark, sf_dir):
+    """Typed policies as a flow finds them: written once, then read."""
+    return cut(unl_policies(spark, sf_dir).select(*POLICY_COLUMNS, "source_file"))
+
+
 @query("typed_unl", policy_sql(x.POLICY_TEXT, trimmed=False))
 def typed_unl(spark, sf_dir):
     return as_double(unl_policies(spark, sf_dir).select(*POLICY_COLUMNS), "annual_premium")
