@@ -255,7 +255,7 @@ def deal(blocks: DataFrame, shards: int = SHARDS) -> DataFrame:
     quotas = quotas.withColumn("hi", F.sum("quota").over(upto)).withColumn("lo", F.col("hi") - F.col("quota"))
     quotas = quotas.where("quota > 0").select(F.col("source").alias("_source"), "shard", "lo", "hi")
     order = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(SEED), "source", "block"), "block")
-    each = blocks.where("blocks > 0").select("source", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("long").alias("block"))
+    each = blocks.where("blocks > 0").select("source", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     each = each.withColumn("nth", F.row_number().over(order) - 1)
     return each.join(
         quotas, each["source"].eqNullSafe(quotas["_source"]) & (F.col("nth") >= F.col("lo")) & (F.col("nth") < F.col("hi")),
@@ -275,7 +275,7 @@ def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     last = F.when(F.col("copies") > F.col("whole"), F.col("size")).otherwise(0)
     slim = slim.withColumn("whole", F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size"))).cast("long"))
     slim = running(slim.withColumn("slice", F.substring("draw", 1, digits)), last, "late")
-    copies = slim.where("copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).cast("int"))
+    copies = slim.where("copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     start = F.when(F.col("mix_copy") < F.col("whole"), F.col("place") - F.col("size")).otherwise(F.col("late") - F.col("size"))
     copies = cut(copies.select("rid", "source", "draw", "mix_copy", "size", (F.col("mix_copy") * F.col("source_size") + start).alias("at")))
     words = copies.agg(F.sum("size")).first()[0] or 0
