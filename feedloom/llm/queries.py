@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import heavydedup, mixing
+from feedloom.llm import graysimhash, heavydedup, mixing, packing
 from feedloom.llm.common import table
 
+#: The public tokenizer vocabulary that documents are packed with.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")),
+    "op7_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), VOCABULARY),
     "op8_exact_dedup": lambda spark, sf_dir: heavydedup.assign(table(spark, sf_dir, "documents")),
+    "op10_simhash_near_dedup": lambda spark, sf_dir: graysimhash.near_copies(table(spark, sf_dir, "documents")),
 }
 SQL: dict[str, str] = {
     "op4_source_mixing": mixing.ORACLE_SQL,
