@@ -9,26 +9,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import heavydedup, mixing
+from feedloom.llm import graysimhash, heavydedup, mixing, packing, toxicity
+from feedloom.llm.common import table
+from feedloom.llm.queries import VOCABULARY
 from feedloom.session import cut
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return heavydedup.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays: three-word shingles, two differing bits at most."""
+    return graysimhash.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, dealt to shards and shuffled within them."""
     mixed = mixing.mix(docs)
     return mixed.select(*[mixed[f"`{c}`"] for c in docs.columns])
 
 
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents with their places in sequences of at most 4096 tokens."""
+    return packing.pack(docs, VOCABULARY)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", exact_dedup),
-    ("mix_sources", mix_sources),
+    ("simhash_near_dedup", near_dedup),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_documents),
 ]
 
 #: A trained classifier decides in the first stage, which SQL cannot express.

@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import graysimhash, heavydedup, mixing, packing
+from feedloom.llm import graysimhash, heavydedup, mixing, packing, toxicity
 from feedloom.llm.common import table
 
 #: The public tokenizer vocabulary that documents are packed with.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": toxicity_scores,
     "op4_source_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")),
     "op7_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), VOCABULARY),
     "op8_exact_dedup": lambda spark, sf_dir: heavydedup.assign(table(spark, sf_dir, "documents")),
