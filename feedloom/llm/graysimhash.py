@@ -190,17 +190,12 @@ def _joined(batches: Batches) -> Batches:
 def linked(fps: DataFrame, bits: int = BITS, group: int = GROUP) -> DataFrame:
     """(a, b): links between different fingerprints of ``fps`` (column fp, distinct) that connect what all links connect."""
     spark = fps.sparkSession
-    rows = fps.select(F.lit(0).cast("long").alias("mask"), "fp")
-    masks, ready = [0], []
+    masks, ready = refinements(0, bits), []
+    rows = fps.select(F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
     while True:
-        finer = {m: refinements(m, bits) for m in masks}
-        keys = spark.createDataFrame([(_signed(m), [_signed(x) for x in xs]) for m, xs in finer.items()], "mask long, finer array<long>")
-        masks = sorted({x for xs in finer.values() for x in xs})
-        rows = rows.join(F.broadcast(keys), "mask").select(F.explode("finer").alias("mask"), "fp")
         rows = rows.withColumn("val", F.col("fp").bitwiseAND(F.col("mask")))
         if min(bin(~m & (1 << 64) - 1).count("1") for m in masks) <= 8:
-            # A fingerprint may come here under one key from two coarser ones.
-            ready.append(rows.distinct())
+            ready.append(rows)
             break
         rows = cut(rows)
         large = rows.groupBy("mask", "val").agg(F.count("*").alias("n")).where(F.col("n") > group).drop("n")
@@ -208,7 +203,10 @@ def linked(fps: DataFrame, bits: int = BITS, group: int = GROUP) -> DataFrame:
         ready.append(rows.join(large, ["mask", "val"], "left_anti"))
         if large.isEmpty():
             break
-        rows = rows.join(large, ["mask", "val"]).select("mask", "fp").distinct()
+        finer = {m: refinements(m, bits) for m in masks}
+        keys = spark.createDataFrame([(_signed(m), [_signed(x) for x in xs]) for m, xs in finer.items()], "mask long, finer array<long>")
+        masks = sorted({x for xs in finer.values() for x in xs})
+        rows = rows.join(large, ["mask", "val"]).join(F.broadcast(keys), "mask").select(F.explode("finer").alias("mask"), "fp").distinct()
     keyed = reduce(DataFrame.unionByName, [r.select("mask", "val", "fp") for r in ready])
     keyed = keyed.repartition("mask", "val").sortWithinPartitions("mask", "val")
     return keyed.mapInArrow(_forests(bits), "a long, b long").distinct()
