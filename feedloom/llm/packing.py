@@ -36,8 +36,8 @@ from feedloom.session import cut
 
 CAPACITY = 4096
 END = 1
-#: Words whose ids a task keeps; the memory is emptied when full, which changes nothing but time.
-CACHE = 400_000
+#: Words whose ids a worker keeps: those met lately, and as many from before. It changes nothing but time.
+CACHE = 300_000
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 1000
 
@@ -57,20 +57,40 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.marks = dict(zip((b".", b","), self._encode([b".", b","]), strict=True))
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Ids of words not met lately. A full stop or comma after a plain letter is a token of its own."""
+        cores = {w: w[:-1] if w[-1] in b".," and len(w) > 1 and 97 <= w[-2] <= 122 else w for w in words}
+        new = list({c for c in cores.values() if c not in self.young and c not in self.old})
+        known = dict(zip(new, self._encode(new), strict=True))
+        for w, core in cores.items():
+            ids = known.get(core) or self.young.get(core) or self.old.get(core, b"")
+            self.young[core] = ids
+            self.young[w] = ids if core is w else ids + self.marks[w[-1:]]
 
     def ids(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids, without an end token."""
         words = (text if b"<|" in text else text.lower()).split()
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(x.ids, dtype="<u4").tobytes()) for w, x in zip(new, found, strict=True))
-        return b"".join([known[w] for w in words])
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        new = {w for w in words if w not in self.young}
+        old = self.old
+        missing = set()
+        for w in new:
+            if w in old:
+                self.young[w] = old[w]
+            else:
+                missing.add(w)
+        if missing:
+            self._learn(missing)
+        return b"".join([self.young[w] for w in words])
 
 
 def encoder(path: str) -> Encoder:
