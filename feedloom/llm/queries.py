@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import graysimhash, heavydedup, mixing, packing, toxicity
+from feedloom.llm import ctw, graysimhash, heavydedup, mixing, packing, toxicity
 from feedloom.llm.common import table
 
 #: The public tokenizer vocabulary that documents are packed with.
@@ -21,6 +21,7 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_context_tree_scores": lambda spark, sf_dir: ctw.scored(table(spark, sf_dir, "documents")),
     "op2_toxicity": toxicity_scores,
     "op4_source_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")),
     "op7_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), VOCABULARY),
