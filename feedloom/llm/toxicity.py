@@ -52,11 +52,14 @@ RATE = 0.1
 FLOOR = 1e-4
 #: Table rows met in fewer training documents stay zero.
 LEAST_DOCS = 8
-#: Words that a task remembers; more empty the memory, which changes nothing but time.
-CACHE = 400_000
+#: Words whose n-grams are laid out at once in training.
+STRIP = 20_000
+#: Words that a worker remembers: those met lately, and as many from before. It changes nothing but time.
+CACHE = 300_000
 FOLDS = 5
 #: Marks stripped from both ends of a word.
 EDGE = string.punctuation
+_EDGE_BYTES = EDGE.encode()
 
 
 def word_rows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,12 +124,8 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
         return Model(np.zeros(BUCKETS, np.float32), -math.inf, 0.0)
     number: dict[bytes, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in t.split()], np.int64) for t in texts]
-    bag, start = word_rows(list(number))
-    bag_size = np.diff(np.r_[start, len(bag)])
-    bag_word = np.repeat(np.arange(len(number)), bag_size)
-    word_docs = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=len(number))
-    known = np.bincount(bag, word_docs[bag_word], minlength=BUCKETS) >= LEAST_DOCS
-    bag, bag_word = bag[known[bag]], bag_word[known[bag]]
+    word_docs = np.bincount(np.concatenate([np.zeros(0, np.int64), *(np.unique(d) for d in docs)]), minlength=len(number))
+    bag, bag_word, bag_size, used = _bags(list(number), word_docs)
     y = np.array(toxic, np.float64)
     share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
     lengths = np.array([len(d) for d in docs])
@@ -136,7 +135,6 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
     soft = np.zeros((2, WIDTH))
     soft[1], soft[0] = rng.normal(0, 1, WIDTH), rng.normal(0, 1, WIDTH)
     bias = np.array([0.0, math.log(share / (1 - share))])
-    used = np.unique(bag)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (table, soft, bias)]
     spans = np.maximum(1, -(-lengths // WINDOW))
     first = np.r_[0, np.cumsum(spans)]
@@ -172,6 +170,27 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
     return Model(rows.astype(np.float32), lean, min(share, 1 / (1 + math.exp(-max(-30.0, min(30.0, lean))))))
 
 
+def _bags(words: list[bytes], word_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words: table rows met in enough documents, the word of each, the full sizes of the bags, and the rows used.
+
+    Words are taken in strips, twice: to count documents, then to keep what counts.
+    """
+    strips = [(at, words[at:at + STRIP]) for at in range(0, len(words), STRIP)]
+    met, sizes = np.zeros(BUCKETS), []
+    for at, strip in strips:
+        bag, start = word_rows(strip)
+        sizes.append(np.diff(np.r_[start, len(bag)]))
+        met += np.bincount(bag, np.repeat(word_docs[at:at + len(strip)], sizes[-1]), minlength=BUCKETS)
+    known, rows, owners = met >= LEAST_DOCS, [], []
+    for (at, strip), size in zip(strips, sizes, strict=True):
+        bag = word_rows(strip)[0]
+        kept = known[bag]
+        rows.append(bag[kept].astype(np.int32))
+        owners.append(np.repeat(np.arange(at, at + len(strip), dtype=np.int32), size)[kept])
+    none = [np.zeros(0, np.int32)]
+    return np.concatenate(none + rows), np.concatenate(none + owners), np.concatenate([np.zeros(0, np.int64), *sizes]), np.flatnonzero(known)
+
+
 def _tops(logit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions of the two largest logits of each document's windows; twice the only one of a short document."""
     order = np.lexsort((-logit, np.repeat(np.arange(len(first) - 1), np.diff(first))))
@@ -181,20 +200,36 @@ def _tops(logit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[bytes, float] = {}
+        self.young: dict[bytes, float] = {}
+        self.old: dict[bytes, float] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Values of words not met lately; words that differ in case or outer marks share one."""
+        cores = {w: w.lower().strip(_EDGE_BYTES) for w in words}
+        new = list({c for c in cores.values() if c not in self.young and c not in self.old})
+        if new:
+            bag, start = word_rows(new)
+            sums = np.add.reduceat(self.model.rows[bag], start, dtype=np.float64) / np.diff(np.r_[start, len(bag)])
+            self.young.update(zip(new, sums.tolist(), strict=True))
+        for w, core in cores.items():
+            self.young[core] = self.young[w] = self.young[core] if core in self.young else self.old[core]
 
     def score(self, text: bytes) -> float:
         words = text.split()
         if not words:
             return self.model.empty
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(words))
-            bag, start = word_rows(new)
-            known.update(zip(new, (np.add.reduceat(self.model.rows[bag], start, dtype=np.float64) / np.diff(np.r_[start, len(bag)])).tolist(), strict=True))
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = []
+        for w in {w for w in words if w not in young}:
+            if w in old:
+                young[w] = old[w]
+            else:
+                missing.append(w)
+        if missing:
+            self._learn(missing)
+        known = young
         logits = sorted(sum(known[w] for w in set(words[at:at + WINDOW])) for at in range(0, len(words), WINDOW))[-2:]
         logit = sum(logits) / len(logits) + self.model.bias
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))) if math.isfinite(logit) else 0.0
