@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import ctw, graysimhash, heavydedup, linefreq, mixing, packing, toxicity
+from feedloom.llm import ctw, graysimhash, heavydedup, linefreq, mixing, packing, skipchain, tagpaths, toxicity
 from feedloom.llm.common import table
 
 #: The public tokenizer vocabulary that documents are packed with.
@@ -20,13 +20,20 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return skipchain.found(docs, skipchain.train(docs))
+
+
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_tree_scores": lambda spark, sf_dir: ctw.scored(table(spark, sf_dir, "documents")),
     "op2_toxicity": toxicity_scores,
     "op3_line_frequency": lambda spark, sf_dir: linefreq.judged(table(spark, sf_dir, "documents")),
     "op4_source_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")),
+    "op6_tag_path_extraction": lambda spark, sf_dir: tagpaths.extracted(table(spark, sf_dir, "pages")),
     "op7_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), VOCABULARY),
     "op8_exact_dedup": lambda spark, sf_dir: heavydedup.assign(table(spark, sf_dir, "documents")),
+    "op9_private_spans": private_spans,
     "op10_simhash_near_dedup": lambda spark, sf_dir: graysimhash.near_copies(table(spark, sf_dir, "documents")),
 }
 SQL: dict[str, str] = {
