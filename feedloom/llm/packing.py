@@ -38,6 +38,9 @@ CAPACITY = 4096
 END = 1
 #: Words whose ids a worker keeps: those met lately, and as many from before. It changes nothing but time.
 CACHE = 300_000
+#: Plain words that go to the tokenizer as one text, and bytes of text whose words are looked up together.
+JOINED = 256
+STRIP = 1_000_000
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 1000
 
@@ -62,8 +65,25 @@ class Encoder:
         self.marks = dict(zip((b".", b","), self._encode([b".", b","]), strict=True))
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        """Ids of each word. Words of plain letters are one unit of the tokenizer each, so many go in as one text."""
+        out: list[bytes] = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if w.isalpha()]
+        rest = [i for i, w in enumerate(words) if not w.isalpha()]
+        joined = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
+        found = self.tokenizer.encode_batch([b" ".join([words[i] for i in part]).decode() for part in joined], add_special_tokens=False)
+        for part, x in zip(joined, found, strict=True):
+            ids, unit = np.array(x.ids, dtype="<u4"), np.array(x.word_ids)
+            ends = np.flatnonzero(np.diff(unit, append=-1)) + 1
+            if len(ends) != len(part):
+                rest += part
+                continue
+            data, last = ids.tobytes(), 0
+            for i, end in zip(part, (ends * 4).tolist(), strict=True):
+                out[i] = data[last:end]
+                last = end
+        for i, x in zip(rest, self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(x.ids, dtype="<u4").tobytes()
+        return out
 
     def _learn(self, words: set[bytes]) -> None:
         """Ids of words not met lately. A full stop or comma after a plain letter is a token of its own."""
@@ -75,22 +95,33 @@ class Encoder:
             self.young[core] = ids
             self.young[w] = ids if core is w else ids + self.marks[w[-1:]]
 
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids, without an end token."""
-        words = (text if b"<|" in text else text.lower()).split()
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, without an end token."""
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
-        new = {w for w in words if w not in self.young}
-        old = self.old
         missing = set()
-        for w in new:
-            if w in old:
-                self.young[w] = old[w]
+        for w in set().union(*split).difference(self.young):
+            if w in self.old:
+                self.young[w] = self.old[w]
             else:
                 missing.add(w)
         if missing:
             self._learn(missing)
-        return b"".join([self.young[w] for w in words])
+        known = self.young.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+
+def strips(texts: list[bytes]) -> list[list[bytes]]:
+    """Consecutive texts, about ``STRIP`` bytes together."""
+    out, size = [[]], 0
+    for text in texts:
+        if size > STRIP:
+            out.append([])
+            size = 0
+        out[-1].append(text)
+        size += len(text)
+    return out
 
 
 def encoder(path: str) -> Encoder:
@@ -113,8 +144,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool
         work = encoder(vocabulary)
         for batch in batches:
             row, piece, start, length, crc, held = [], [], [], [], [], []
-            for i, text in enumerate(as_bytes(batch.column("text"))):
-                data = work.ids(text) + end
+            encoded = (data for strip in strips(as_bytes(batch.column("text"))) for data in work.ids(strip))
+            for i, data in enumerate(encoded):
+                data += end
                 for nth, at in enumerate(range(0, len(data), capacity * 4)):
                     part = data[at:at + capacity * 4]
                     row.append(i)
