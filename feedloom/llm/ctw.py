@@ -25,6 +25,7 @@ documents every decision has probability one half, and the base score is that of
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,9 @@ FOLDS = 5
 HELD_OUT = 1
 #: Text of a block that is turned into grams at once.
 STRIP = 2_000_000
+#: Grams of strips that are kept before they are merged.
+HELD = 6_000_000
 
-_END_WORD = xxhash.xxh64_intdigest(END)
 _ALL = "block long, bucket int, keys binary, counts binary"
 
 
@@ -91,12 +93,51 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((near * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(buckets)
 
 
+class Lookup:
+    """Values by key, for keys that are all there: hashed layers, each holding the keys that the one before could not."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.kind = values.dtype
+        self.layers = []
+        while len(keys):
+            bits = max(4, (2 * len(keys) - 1).bit_length())
+            slot = self._slot(keys, len(self.layers), bits)
+            held, stored = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, self.kind)
+            held[slot] = keys
+            placed = held[slot] == keys
+            stored[slot[placed]] = values[placed]
+            self.layers.append((bits, held, stored))
+            keys, values = keys[~placed], values[~placed]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, layer: int, bits: int) -> np.ndarray:
+        odd = np.uint64((0x9E3779B97F4A7C15 * (2 * layer + 1)) % (1 << 64))
+        return ((keys ^ keys >> np.uint64(32)) * odd >> np.uint64(64 - bits)).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        out, todo = np.zeros(len(keys), self.kind), None
+        for layer, (bits, held, stored) in enumerate(self.layers):
+            slot = self._slot(keys, layer, bits)
+            hit = held[slot] == keys
+            if todo is None:
+                np.copyto(out, stored[slot], where=hit)
+                todo = np.flatnonzero(~hit)
+            else:
+                out[todo[hit]] = stored[slot[hit]]
+                todo = todo[~hit]
+            keys = keys[~hit]
+            if not len(keys):
+                break
+        return out
+
+
 class _Block:
     """Distinct grams and words of a block with their training counts."""
 
     def __init__(self) -> None:
-        self.grams = [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
-        self.words: dict[bytes, int] = {}
+        self.strips = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        self.trained: Counter[bytes] = Counter()
+        self.others: set[bytes] = set()
 
     def add(self, texts: list[bytes], trained: list[bool]) -> None:
         for mine in (True, False):
@@ -104,31 +145,39 @@ class _Block:
             for text, train in zip(texts, trained, strict=True):
                 if train != mine:
                     continue
-                words = tokens(text)
-                step = 1 if mine else 0
-                for w in words:
-                    self.words[w] = self.words.get(w, 0) + step
-                self.words[END] = self.words.get(END, 0) + step
-                strip.append(grams(b" ".join(words) + END))
+                words = [*tokens(text), END]
+                if mine:
+                    self.trained.update(words)
+                else:
+                    self.others.update(words)
+                strip.append(b" ".join(words[:-1]) + END)
                 size += len(text)
                 if size > STRIP:
                     self._count(strip, mine)
                     strip, size = [], 0
             self._count(strip, mine)
 
-    def _count(self, strip: list[np.ndarray], mine: bool) -> None:
+    def _count(self, strip: list[bytes], mine: bool) -> None:
         if strip:
-            keys, counts = counted(np.concatenate(strip))
-            pair = (np.concatenate([self.grams[0], keys]), np.concatenate([self.grams[1], counts if mine else counts * 0]))
-            self.grams = list(summed(*pair))
+            keys, counts = counted(np.concatenate([grams(x) for x in strip]))
+            self.strips.append((keys, counts if mine else counts * 0))
+            if sum(len(k) for k, _ in self.strips) > HELD:
+                self.strips = [self.grams()]
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        return summed(*(np.concatenate(x) for x in zip(*self.strips, strict=True)))
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        names = [*self.trained, *(w for w in self.others if w not in self.trained)]
+        counts = np.zeros(len(names), np.int64)
+        counts[:len(self.trained)] = np.fromiter(self.trained.values(), np.int64, len(self.trained))
+        return summed(np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names)), counts)
 
     def rows(self, buckets: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(bucket, keys, counts); the buckets of words follow those of grams."""
-        word = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
-        many = np.fromiter(self.words.values(), np.int64, len(self.words))
         out = []
-        for base, (keys, counts), place in ((0, self.grams, _bucket(self.grams[0], buckets)), (buckets, summed(word, many), None)):
-            place = keys % np.uint64(buckets) if place is None else place
+        for base, (keys, counts) in ((0, self.grams()), (buckets, self.words())):
+            place = keys % np.uint64(buckets) if base else _bucket(keys, buckets)
             order = np.argsort(place, kind="stable")
             ends = np.searchsorted(place[order], np.arange(buckets + 1))
             for b in range(buckets):
@@ -366,17 +415,16 @@ def scored(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         for kind, store in ((0, np.float32), (1, np.int64)):
             some = told.filter(pc.equal(told.column("kind"), kind))
             keys, values = np.concatenate(_keys(some)), np.concatenate(_read(some, "values", store))
-            order = np.argsort(keys)
-            known.append((keys[order], values[order]))
-        (gram, chance), (word, count) = known
+            known.append(Lookup(keys, values))
+        chance, count = known
         lookup: dict[bytes, float] = {}
         n_tokens, n_known, base, score = [], [], [], []
         for text in as_bytes(mine.column("text")):
             words = tokens(text)
             new = [w for w in {*words, END} if w not in lookup]
             if new:
-                at = np.searchsorted(word, np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new)))
-                lookup.update(zip(new, count[at].tolist(), strict=True))
+                number = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
+                lookup.update(zip(new, count[number].tolist(), strict=True))
             c = np.array([lookup[w] for w in words] + [lookup[END]])
             n_tokens.append(len(c))
             n_known.append(int((c > 0).sum()))
@@ -385,7 +433,7 @@ def scored(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             total = 0.0
             for at in range(0, len(flat), STRIP):
                 key = grams(flat[max(0, at - DEPTH):at + STRIP])[min(at, DEPTH):]
-                total += float(chance[np.searchsorted(gram, key)].sum(dtype=np.float64))
+                total += float(chance[key].sum(dtype=np.float64))
             score.append(total / math.log(10))
         return pa.table({
             "doc_id": mine.column("doc_id"), "held_out": pc.invert(mine.column("trained")), "n_tokens": pa.array(n_tokens, pa.int64()),
