@@ -47,6 +47,7 @@ STEPS = 200
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_WHOLE_IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}(?::[0-9]+)?")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
@@ -66,6 +67,10 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _valid_ip(address: str) -> bool:
+    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in address.partition(":")[0].split("."))
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     found, floor, at = [], 0, text.find("@")
     while at >= 0:
@@ -85,7 +90,7 @@ def base_spans(text: str) -> list[Span]:
     if not _ANY.search(text):
         return []
     spans = [(a, 0, b) for a, b in emails(text)]
-    spans += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    spans += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if _valid_ip(m.group())]
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and luhn(digits):
@@ -137,7 +142,7 @@ def _features(core: str, digits: str) -> list[float]:
     n, plain = len(digits), core.replace("-", "").replace(".", "")
     return [
         *(float(a <= n <= b) for a, b in ((0, 0), (1, 3), (4, 6), (7, 7), (8, 9), (10, 13), (14, 19), (20, 1 << 60))),
-        float(14 <= n <= 19 and luhn(digits)), float(14 <= n <= 19 and not luhn(digits)), float("@" in core), float(core.count(".") == 3 and plain.isdigit()), float("." in core), float("-" in core), float(core[0] == "+"),
+        float(14 <= n <= 19 and luhn(digits)), float(14 <= n <= 19 and not luhn(digits)), float("@" in core), float(bool(_WHOLE_IP.fullmatch(core)) and _valid_ip(core)), float("." in core), float("-" in core), float(core[0] == "+"),
         float(core[0] == "(" or core[-1] == ")"), float(plain.isdigit()), float(any(c.isalpha() for c in core)), float("=" in core or '"' in core),
     ]
 
