@@ -10,7 +10,7 @@ The softmax is linear in the average, so after training each table row is reduce
 number is the mean over its bag: the same scores without the vectors. Words' numbers are remembered per task.
 
 Fitting takes at most ``SAMPLE`` labelled documents, chosen by a hash of their id (toxic and clean ones up to half each), and of
-these at most ``SAMPLE_BYTES`` of text: the bound on what reaches the driver. Scoring covers whole texts of all rows.
+these at most ``SAMPLE_BYTES`` of text: the bound on what one task learns from. Scoring covers whole texts of all rows.
 
 Defined results: a null or empty text is one empty window, whose score is the softmax of the bias alone, held at most at
 the share of toxic rows in the sample. A label that is null, or contradicts another label of the same document, counts as the larger
@@ -246,8 +246,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     found = rows.join(F.broadcast(chosen), "doc_id").withColumn("order", order)
     upto = Window.partitionBy("toxic").orderBy("order", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("upto", F.sum(F.octet_length("text")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES // 2)
-    got = found.select("text", "toxic").orderBy("order", "doc_id", "text").toArrow()
-    return fit(as_bytes(got.column("text")), [int(x > 0) for x in got.column("toxic").to_pylist()])
+
+    def learn(sample: pa.Table) -> pa.Table:
+        sample = sample.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+        model = fit(as_bytes(sample.column("text")), [int(x > 0) for x in sample.column("toxic").to_pylist()])
+        return pa.table({"rows": [model.rows.tobytes()], "bias": [model.bias], "empty": [model.empty]})
+
+    # One task of an executor learns from the bounded sample; only the model comes to the driver.
+    sample = found.select("order", "doc_id", "text", "toxic").groupBy(F.lit(0).alias("all"))
+    got = sample.applyInArrow(learn, "rows binary, bias double, empty double").first()
+    return fit([], []) if got is None else Model(np.frombuffer(bytes(got.rows), np.float32), got.bias, got.empty)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
