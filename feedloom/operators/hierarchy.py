@@ -18,9 +18,6 @@ from feedloom.functions.text import blank_to_null, joined_name, json_text, name_
 from feedloom.operators.skew import lookup_join, top_per_key
 from feedloom.session import cut
 
-# Fixed value: a self-derived upline lists at most this many people.
-MAX_PEOPLE = 100
-
 
 def until_repeat(path: Column, code: Column) -> Column:
     """The part of ``path`` before a node shows up for the second time.
@@ -72,12 +69,12 @@ def ancestor_paths(nodes: DataFrame, max_steps: int | None = None) -> DataFrame:
 
 
 def rendered(path: Column, is_person: Column | None = None) -> Column:
-    """Top first: [{depth, name, writing_number, is_person}], depth as two digits."""
+    """Top first: [{depth, name, writing_number, is_person}], depth as two digits at least."""
     top_first = F.reverse(path)
     return F.transform(
         top_first,
         lambda step, i: F.struct(
-            F.lpad((i + 1).cast("string"), 2, "0").alias("depth"),
+            F.concat(F.when(i < 9, F.lit("0")).otherwise(F.lit("")), (i + 1).cast("string")).alias("depth"),
             step["name"].alias("name"),
             step["writing_number"].alias("writing_number"),
             (step["is_person"] if is_person is None else is_person).alias("is_person"),
@@ -205,7 +202,7 @@ def self_hierarchy(
     version_keys: Sequence[str] = ("pol_no", "agt_code", "writing_split"),
     seen: str = "first_seen_at",
     row_id: str = "row_hash",
-    max_people: int = MAX_PEOPLE,
+    max_people: int | None = None,
 ) -> DataFrame:
     """(row_id, roster_hierarchy_json) for the newest version of each policy.
 
@@ -238,7 +235,8 @@ def self_hierarchy(
     path = F.concat(F.array("step"), F.coalesce("_above", F.array().cast(above.schema["path"].dataType)))
     started = started.withColumn("path", path)
     visited = F.concat(F.array_compact(F.array("own_code")), ids_of(F.col("path")))
-    started = started.withColumn("path", F.slice(until_repeat(F.col("path"), visited), 1, max_people))
+    simple = until_repeat(F.col("path"), visited)
+    started = started.withColumn("path", F.slice(simple, 1, max_people) if max_people else simple)
     resolved = started.select("origin", hierarchy_json(F.col("path"), F.lit(True)).alias("roster_hierarchy_json"))
     return lookup_join(policies.select(row_id, "origin"), resolved, ["origin"], "inner").select(
         row_id, "roster_hierarchy_json"

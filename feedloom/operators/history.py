@@ -159,7 +159,7 @@ def pending_rows(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> Dat
 
 def tails(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
     """One row per key: the last processed observation with its history values, and the
-    newest processed day.
+    newest processed day. "Last" is the order of the history, NULL days included.
 
     This is all an incremental run needs to know about the past, so a flow keeps it
     stored and its cost follows the new rows and the number of keys, not the history.
@@ -205,10 +205,22 @@ def extend_history(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> Da
 
 
 def late_keys(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Keys whose first pending day is not after their newest processed day."""
-    first = pending.groupBy(*spec.key).agg(F.min(spec.event_date).alias("first_pending"))
-    known = past.select(*spec.key, "newest_day")
-    return null_safe_join(first, known, spec.key, "inner").filter(F.col("first_pending") <= F.col("newest_day"))
+    """Keys with a pending row that cannot just follow their tail.
+
+    That is a first pending day not after the newest processed day, or a first pending row
+    that sorts before the tail. The second covers NULL days, which the order places at one end.
+    """
+    first = pending.groupBy(*spec.key).agg(
+        F.min(spec.event_date).alias("first_pending"), F.min(order_struct(spec.sorts)).alias("_first"),
+    )
+    known = past.select(*spec.key, "newest_day", order_struct(spec.sorts).alias("_tail"))
+    late = (F.col("first_pending") <= F.col("newest_day")) | _before(spec)
+    return null_safe_join(first, known, spec.key, "inner").filter(late).drop("_first", "_tail")
+
+
+def _before(spec: HistorySpec) -> Column:
+    """Whether ``_first`` sorts before ``_tail``; both are order structs, whose comparison is never NULL."""
+    return F.struct("_first", F.lit(0)) < F.struct("_tail", F.lit(0))
 
 
 def incremental_history(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -221,19 +233,24 @@ def incremental_history(typed: DataFrame, history: DataFrame, spec: HistorySpec)
 
 
 def out_of_order_keys(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Keys whose first pending day is not after their last processed day.
+    """Keys whose first pending row does not follow their last processed row, by day or by order.
 
-    One flagged pass and one combined aggregation. NULL days take no part, and a NULL
-    key is a group like any other.
+    One flagged pass and one combined aggregation. A NULL key is a group like any other. The
+    bounds are the days; NULL days count through the order only.
     """
     done = history.select(spec.row_id, F.lit(True).alias("_done"))
-    flagged = typed.select(*spec.key, spec.row_id, spec.event_date).join(done, spec.row_id, "left")
-    day = F.col(spec.event_date)
+    needed = list(dict.fromkeys([*spec.key, *[o.column for o in spec.sorts], spec.row_id, spec.event_date]))
+    flagged = typed.select(*needed).join(done, spec.row_id, "left")
+    day, place = F.col(spec.event_date), order_struct(spec.sorts)
     bounds = flagged.groupBy(*spec.key).agg(
         F.min(F.when(F.col("_done").isNull(), day)).alias("first_pending"),
         F.max(F.when(F.col("_done"), day)).alias("last_processed"),
+        F.min(F.when(F.col("_done").isNull(), place)).alias("_first"),
+        F.max(F.when(F.col("_done"), place)).alias("_tail"),
     )
-    return bounds.filter(F.col("first_pending") <= F.col("last_processed"))
+    both = F.col("_first").isNotNull() & F.col("_tail").isNotNull()
+    late = (F.col("first_pending") <= F.col("last_processed")) | (both & _before(spec))
+    return bounds.filter(late).drop("_first", "_tail")
 
 
 def without_keys(history: DataFrame, typed: DataFrame, late: DataFrame, spec: HistorySpec) -> DataFrame:

@@ -5,12 +5,13 @@ ordinary keys and fatal for a key that owns a third of the data. The jobs here c
 rows per key first (map-side combined, key columns only), keep ordinary keys on the
 plain Spark operator, and give hot keys an exact path whose tasks are all bounded:
 
-* lookups join the hot rows to a broadcast of at most ``MAX_HOT_KEYS`` lookup rows;
+* lookups join the hot rows to the lookup rows of hot keys only, which are stored, so
+  Spark knows their size: it broadcasts them if they are small, and else splits the skewed join;
 * ordered scans cut a hot key into consecutive ranges of its own order, solve each
   range on its own, and carry a one-row summary from range to range.
 
-No rows are dropped or sampled on either path. A key ranked beyond ``MAX_HOT_KEYS``
-holds less than one part in ``MAX_HOT_KEYS`` of the rows, so it stays ordinary.
+Every key above ``feedloom.hotRows`` rows is split, however many there are. No rows are
+dropped or sampled on either path, and no side is broadcast by force.
 """
 
 from __future__ import annotations
@@ -21,15 +22,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedloom.session import cut, setting
 
-MAX_HOT_KEYS = 1000
 #: Rows one key may hold before its window or join is split, and rows per range.
 HOT_ROWS = ("feedloom.hotRows", 2_000_000)
-#: Inputs whose planned size is below this cannot hold a hot key worth a count pass.
-SMALL_BYTES = ("feedloom.smallBytes", 32 * 1024 * 1024)
 
 
 @dataclass(frozen=True)
@@ -59,11 +56,6 @@ def order_struct(order: Sequence[Order]) -> Column:
     return F.struct(*fields)
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; unknown inputs report a huge value."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on null-safe equality of ``keys``, which appear once in the result.
 
@@ -79,30 +71,22 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys too large for one task with their row counts, or None.
+    """The keys too large for one task with their row counts, stored, or None.
 
-    At most ``MAX_HOT_KEYS`` rows reach the driver.
+    An input of no more rows than one key may hold has no such key, which a plain count
+    settles. There are at most (rows / ``feedloom.hotRows``) of them, and none reaches the driver.
     """
-    spark = df.sparkSession
-    if planned_bytes(df) <= setting(spark, *SMALL_BYTES):
-        return None
-    limit = setting(spark, *HOT_ROWS)
-    top = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-        .filter(F.col("key_rows") > limit)
-        .orderBy(F.desc("key_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-    )
-    rows = top.collect()
-    if not rows:
+    limit = setting(df.sparkSession, *HOT_ROWS)
+    if df.count() <= limit:
         return None
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in top.schema.fields])
-    return spark.createDataFrame(rows, schema)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+    hot = cut(counted.filter(F.col("key_rows") > limit))
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, hot rows); ``hot`` is bounded, so it is broadcast."""
-    few = F.broadcast(hot.select(*keys))
+    """(ordinary rows, hot rows)."""
+    few = hot.select(*keys)
     return null_safe_join(df, few, keys, "left_anti"), null_safe_join(df, few, keys, "left_semi")
 
 
@@ -111,8 +95,8 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataF
 def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join rows to a lookup that is unique on ``keys``; NULL keys match nothing.
 
-    ``how`` is ``left`` or ``inner``. Hot keys use a broadcast of their own lookup
-    rows (at most ``MAX_HOT_KEYS``); the rest is an ordinary join that Spark plans.
+    ``how`` is ``left`` or ``inner``. Hot keys meet their own lookup rows only, one per
+    hot key; the rest is an ordinary join that Spark plans.
     """
     keys = list(keys)
     known = rows
@@ -122,7 +106,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
     if hot is None:
         return rows.join(lookup, keys, how)
     ordinary, frequent = split_hot(rows, hot, keys)
-    few = F.broadcast(lookup.join(F.broadcast(hot.select(*keys)), keys, "left_semi"))
+    few = cut(lookup.join(hot.select(*keys), keys, "left_semi"))
     return ordinary.join(lookup, keys, how).unionByName(frequent.join(few, keys, how))
 
 
@@ -153,12 +137,12 @@ def carry_in(
 
     ``summaries`` aggregate one range; ``carried`` turns the window over the earlier
     ranges of the key into columns. There are at most (ranges + hot keys) summary
-    rows, so that side is broadcast.
+    rows, and a range is one task's work, so the join back is even.
     """
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     per_range = ranged.groupBy(*keys, RANGE).agg(*summaries)
-    passed = per_range.select(*keys, RANGE, *carried(earlier))
-    return null_safe_join(ranged, F.broadcast(passed), [*keys, RANGE], "left")
+    passed = cut(per_range.select(*keys, RANGE, *carried(earlier)))
+    return null_safe_join(ranged, passed, [*keys, RANGE], "left")
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Order], name: str) -> DataFrame:

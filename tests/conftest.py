@@ -42,11 +42,9 @@ def compiled(spark):
 @pytest.fixture
 def hot(spark):
     """Treat any key with more than a few rows as hot."""
-    spark.conf.set("feedloom.smallBytes", "0")
     spark.conf.set("feedloom.hotRows", "10")
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     yield
-    spark.conf.unset("feedloom.smallBytes")
     spark.conf.unset("feedloom.hotRows")
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 

@@ -78,37 +78,35 @@ def test_hot_keys_give_the_same_history(spark, rule, nulls_first, request):
     assert rows(h.change_history(typed, spec(rule, nulls_first)), "row_id") == expected
 
 
-def without_null_days(typed):
-    """NULL days never trigger a reset, so incremental runs are compared without them."""
-    return typed.filter("file_date IS NOT NULL")
-
-
 @pytest.mark.parametrize("cuts", [(10, 20), (14, 14)])
 def test_incremental_equals_full(spark, cuts):
-    typed = without_null_days(random_rows(spark))
-    full = rows(h.change_history(typed, spec()), "row_id")
-    stored = h.change_history(typed.limit(0), spec())
-    for upto in (*cuts, 31):
-        known = typed.filter(F.dayofmonth("file_date") <= upto)
-        stored = spark.createDataFrame(h.refreshed_history(known, stored, spec()).collect(), stored.schema)
-    assert rows(stored, "row_id") == full
+    """Rows without a day arrive with the second load."""
+    typed = random_rows(spark)
+    for rule, nulls_first in ((h.RUNNING_MAX, False), (h.CHANGE_ROW, True)):
+        one = spec(rule, nulls_first)
+        full = rows(h.change_history(typed, one), "row_id")
+        stored = h.change_history(typed.limit(0), one)
+        for upto in (*cuts, 31):
+            known = typed.filter(F.coalesce(F.dayofmonth("file_date"), F.lit(cuts[1])) <= upto)
+            stored = spark.createDataFrame(h.refreshed_history(known, stored, one).collect(), stored.schema)
+        assert rows(stored, "row_id") == full
 
 
 def test_incremental_hot_keys(spark, hot):
-    typed = without_null_days(random_rows(spark))
-    done = h.change_history(typed.filter("file_date < '2026-06-15'"), spec())
+    typed = random_rows(spark)
+    done = h.change_history(typed.filter("file_date < '2026-06-15'"), spec())  # days missing come last
     done = spark.createDataFrame(done.collect(), done.schema)
     both = done.unionByName(h.incremental_history(typed, done, spec()))
     assert rows(both, "row_id") == rows(h.change_history(typed, spec()), "row_id")
 
 
 def test_late_files_are_repaired_in_any_order(spark):
-    typed = without_null_days(random_rows(spark, 150))
+    typed = random_rows(spark, 150)
     full = rows(h.change_history(typed, spec()), "row_id")
     stored, known = h.change_history(typed.limit(0), spec()), []
     for batch in ([2, 0], [1], [3]):
         known += batch
-        seen = typed.filter((F.dayofmonth("file_date") % 4).isin(known))
+        seen = typed.filter((F.coalesce(F.dayofmonth("file_date"), F.lit(2)) % 4).isin(known))
         stored = spark.createDataFrame(h.refreshed_history(seen, stored, spec()).collect(), stored.schema)
     assert rows(stored, "row_id") == full
 
@@ -123,8 +121,8 @@ def test_same_day_resets_and_other_keys_stay(spark):
 
 
 def test_tails_carry_the_past(spark):
-    typed = without_null_days(random_rows(spark))
-    old, new = typed.filter("file_date < '2026-06-10'"), typed.filter("file_date >= '2026-06-10'")
+    typed = random_rows(spark)
+    old, new = typed.filter("file_date < '2026-06-10'"), typed.filter("file_date >= '2026-06-10' OR file_date IS NULL")
     done = h.change_history(old, spec())
     past = h.tails(old, done, spec())
     assert h.late_keys(new, past, spec()).isEmpty()
@@ -135,6 +133,14 @@ def test_tails_carry_the_past(spark):
     assert rows(advanced.select(columns), "policy") == rows(fresh.select(columns), "policy")
 
 
+def test_a_missing_day_resets_what_sorts_before_it(spark):
+    typed = observations(spark, ("p", 1, "A"), ("p", None, "B"), ("p", 2, "C"), ("q", 1, "A"), ("q", None, "B"))
+    done = h.change_history(typed.filter("row_id < 'r0002' OR row_id = 'r0003'"), spec())
+    assert [r["policy"] for r in h.out_of_order_keys(typed, done, spec()).collect()] == ["p"]
+    full = rows(h.change_history(typed, spec()), "row_id")
+    assert rows(h.refreshed_history(typed, done, spec()), "row_id") == full
+
+
 def test_correct_and_append(spark):
     stored = spark.createDataFrame([("a", "x", day(1)), ("b", None, None)], "row_id string, prev string, changed date")
     computed = spark.createDataFrame(

@@ -21,10 +21,17 @@ def test_hot_keys_found(spark, hot):
     assert found == {"hot", None}
 
 
-def test_small_inputs_skip_the_count(spark):
+def test_inputs_below_the_limit_have_no_hot_key(spark):
     assert skew.hot_keys(skewed(spark), ["k"]) is None
 
 
+def test_every_key_above_the_limit_is_hot(spark, hot):
+    many = spark.range(1200 * 11).select((F.col("id") % 1200).alias("k"), "id")
+    assert skew.hot_keys(many, ["k"]).count() == 1200
+    got = skew.numbered(many, ["k"], ["id"], "n").groupBy("n").count().collect()
+    assert {r["n"]: r["count"] for r in got} == {n: 1200 for n in range(1, 12)}
+
+
 def test_row_numbers(spark, request):
     df = skewed(spark)
     expected = rows(skew.numbered(df, ["k"], ["v", "id"], "n"), "id")
