@@ -65,6 +65,20 @@ def record_files(events: DataFrame, ledger: DataFrame, now: dt.datetime) -> Data
     return coalescing_upsert(ledger, per_file, LEDGER_KEY, rules)
 
 
+def resolved(events: DataFrame) -> DataFrame:
+    """The ledger from all timed events: status and error of the last one, the last known size, times in order.
+
+    Events apply by ``recorded_at``, then ``event_no``.
+    """
+    place = F.struct("recorded_at", "event_no", "status")
+    known_size = F.when(F.col("file_size_bytes").isNotNull(), place)
+    return events.groupBy(*LEDGER_KEY).agg(
+        F.max_by("file_size_bytes", known_size).alias("file_size_bytes"),
+        F.max_by("status", place).alias("status"), F.max_by("error_message", place).alias("error_message"),
+        F.max("recorded_at").alias("landed_at"),
+    ).withColumn("file_name", basename("target_path")).select(*LEDGER_SCHEMA.fieldNames())
+
+
 def missing_loads(expected: DataFrame, raw: Mapping[str, DataFrame]) -> DataFrame:
     """Expected (table_name, file_name) pairs without any stored row.
 

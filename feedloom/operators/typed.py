@@ -119,14 +119,19 @@ def reject_profile(raw: DataFrame, spec: s.TypedSpec) -> DataFrame:
     return total.select(F.inline(lines))
 
 
+def with_load(rows: DataFrame) -> DataFrame:
+    """The rows, each checked to know its load."""
+    cursor = F.when(F.col("load_id").isNull(), F.raise_error(F.lit("load_id is not set"))).otherwise(F.col("load_id"))
+    return rows.withColumn("load_id", cursor)
+
+
 def newer_loads(source: DataFrame, target: DataFrame | None) -> DataFrame:
     """Source rows loaded after the newest load already in the target.
 
     An unset cursor in the source is an error: such rows would never be picked up.
     The comparison is on text, the order load ids are issued in.
     """
-    cursor = F.when(F.col("load_id").isNull(), F.raise_error(F.lit("load_id is not set"))).otherwise(F.col("load_id"))
-    checked = source.withColumn("load_id", cursor)
+    checked = with_load(source)
     mark = high_water_mark(target) if target is not None else None
     return checked if mark is None else checked.filter(F.col("load_id") > F.lit(mark))
 

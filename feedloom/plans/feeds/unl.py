@@ -15,9 +15,12 @@ from feedloom.plans.specs import (
     TypedSpec,
 )
 
-# Fixed values.
+#: Columns that key, history and risk rule cannot do without.
+REQUIRED = ("policy_nbr", "cntrct_code", "billing_form", "billing_mode", "paid_to_date")
+
+# Fixed values, to the end of VIEW_COLUMNS.
 ROUTES = (
-    Route("fym_policy", "unl/inbound/{UNL,}FYM_Policy_*.csv", "unl_fym_policy"),
+    Route("fym_policy", "unl/inbound/{UNL,}FYM_Policy_*.csv", "unl_fym_policy", required=REQUIRED),
     Route("life_professionals_policy", "unl/inbound/LifeProfessionals_Policy_*.csv", "unl_life_professionals_policy"),
     Route("weekly_commissions", "unl/inbound/CommissionStatements/WC_*.csv", "unl_weekly_commissions"),
     Route("monthly_commissions", "unl/inbound/CommissionStatements/MC_*.csv", "unl_monthly_commissions"),
@@ -126,7 +129,7 @@ HISTORY = HistorySpec(
 
 FEED = FeedSpec(
     name="unl", table="unl_fym_policy", routes=ROUTES, typed=POLICY, key="policy_nbr",
-    history=HISTORY, incremental=True,
+    history=HISTORY,
     episodes=policy_risk_episodes, episode_start=EPISODE_START,
     carrier_pattern="%unl%", levels=LEVELS, file_patterns=FILE_PATTERNS, view_columns=VIEW_COLUMNS,
     side_tables={"unl_weekly_advance_statements": ADVANCES},

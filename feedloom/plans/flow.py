@@ -1,13 +1,16 @@
 """Load and refresh of one feed.
 
-Load order is a contract: raw rows are stored and verified before the ledger is
-touched, and only then are derived tables refreshed. A failed check leaves the ledger
-and everything derived as it was.
+Load order is a contract: raw rows are staged and verified, then published, then the
+ledger is touched, and only then are derived tables refreshed. A failed check leaves every
+table as it was. Which loads a step still has to do is the difference of the stored loads,
+never a comparison of their ids. A refresh that stopped half-way leaves a mark, and the
+next one derives again what it cannot trust.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -24,22 +27,32 @@ from feedloom.operators.latest import (
     latest_version,
     rows_of_file,
 )
-from feedloom.operators.typed import newer_loads, typed
+from feedloom.operators.typed import typed, with_load
 from feedloom.operators.versions import new_versions
 from feedloom.plans.feeds import heartland, unl
 from feedloom.plans.specs import FeedSpec
-from feedloom.session import cut
+from feedloom.session import cut, staging
 from feedloom.sinks.tables import Tables
 from feedloom.sources import files as src
 from feedloom.sources.snapshots import read_json_array, snapshot_identity
 
-LEDGER = "audit/file_landings"
+EVENTS = "audit/file_events"
 INTAKE = "audit/intake"
+TIMED_EVENTS = T.StructType([*audit.EVENT_SCHEMA.fields, T.StructField("recorded_at", T.TimestampType())])
 INTAKE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("modified_at", T.TimestampType()),
     T.StructField("load_id", T.StringType()),
 ])
+PROGRESS_SCHEMA = T.StructType([
+    T.StructField("loads", T.ArrayType(T.StringType())), T.StructField("finished", T.BooleanType()),
+])
+
+
+class LoadIdError(ValueError):
+    """A load id was used before, for other files."""
+
+
 HIERARCHY_SCHEMA = T.StructType([
     T.StructField("row_id", T.StringType()),
     T.StructField("roster_hierarchy_json", T.StringType()),
@@ -82,41 +95,62 @@ def new_files(tables: Tables, root: str, feed: FeedSpec) -> dict[src.Route, list
 
 def load(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.datetime,
          roster: Mapping[str, DataFrame] | None = None, refresh_derived: bool = True) -> dict[str, DataFrame]:
-    """Read new files, store, verify, record, refresh. Returns the published tables."""
+    """Read new files, stage, verify, publish, record, refresh. Returns the published tables."""
     fresh = new_files(tables, root, feed)
     if not fresh:
         return {}
-    for route, files in fresh.items():
-        rows = src.identified(src.scan_route(tables.spark, files, route), load_id)
-        tables.append(raw_name(route.table), rows, load_id)
-    record_load(tables, feed, fresh, load_id, now)
-    return refresh(tables, feed, now, roster) if refresh_derived else {}
+    with staging(tables.spark):
+        store(tables, feed, {r: (files, src.scan_route(tables.spark, files, r)) for r, files in fresh.items()}, load_id, now)
+        return refresh(tables, feed, now, roster) if refresh_derived else {}
+
 
+def store(tables: Tables, feed: FeedSpec, fresh: Mapping[src.Route, tuple[list[src.LandedFile], DataFrame]],
+          load_id: str, now: dt.datetime) -> None:
+    """Raw rows of one load with its ledger events and intake; nothing is published unless every file has rows.
 
-def record_load(tables: Tables, feed: FeedSpec, fresh: Mapping[src.Route, list[src.LandedFile]],
-                load_id: str, now: dt.datetime) -> None:
-    """Verify, then ledger, then intake."""
+    A load that stopped on the way is repeated under its id; the id of a recorded load is only good for the same files.
+    """
     spark = tables.spark
+    landed = [f for files, _ in fresh.values() for f in files]
+    intake = tables.read(f"{INTAKE}/{feed.name}")
+    if intake is not None:
+        used = {(r["path"]) for r in intake.filter(F.col("load_id") == load_id).select("path").collect()}
+        if used and used != {f.path for f in landed}:
+            raise LoadIdError(f"load {load_id!r} of {feed.name} has other files")
+
+    staged = [tables.stage(raw_name(r.table), src.identified(rows, load_id), load_id) for r, (_, rows) in fresh.items()]
     expected = spark.createDataFrame(
-        [(r.table, f.name) for r, files in fresh.items() for f in files], "table_name string, file_name string"
+        [(r.table, f.name) for r, (files, _) in fresh.items() for f in files], "table_name string, file_name string"
     )
-    stored = {r.table: tables.read_load(raw_name(r.table), load_id) for r in fresh}
-    audit.require_loads(expected, {t: rows for t, rows in stored.items() if rows is not None})
+    try:
+        audit.require_loads(expected, {r.table: part.rows for r, part in zip(fresh, staged, strict=True)})
+    except audit.MissingLoadError:
+        for part in staged:
+            part.discard()
+        raise
+    for part in staged:
+        part.publish()
 
-    landed = [f for files in fresh.values() for f in files]
     events = spark.createDataFrame(
         [(i, feed.name, f.path, f.path, f.size, audit.LOADED, None) for i, f in enumerate(landed)], audit.EVENT_SCHEMA
     )
-    record(tables, events, now)
+    record(tables, events, now, f"{feed.name}-{load_id}")
     seen = spark.createDataFrame([(f.path, f.modified_at, load_id) for f in landed], INTAKE_SCHEMA)
-    name = f"{INTAKE}/{feed.name}"
-    tables.replace(name, tables.read_or_empty(name, INTAKE_SCHEMA).unionByName(seen))
+    tables.append(f"{INTAKE}/{feed.name}", seen, load_id)
 
 
-def record(tables: Tables, events: DataFrame, now: dt.datetime) -> DataFrame:
-    """Apply file events (copied, moved, loaded, archived) to the stored ledger."""
-    ledger = tables.read_or_empty(LEDGER, audit.LEDGER_SCHEMA)
-    return tables.replace(LEDGER, audit.record_files(events, ledger, now))
+def record(tables: Tables, events: DataFrame, now: dt.datetime, batch: str) -> None:
+    """Store file events (copied, moved, loaded, archived) under a batch name of their own.
+
+    Feeds that record at the same time write different folders, so none loses the other's events.
+    """
+    tables.append(EVENTS, events.withColumn("recorded_at", F.lit(now).cast("timestamp")), batch)
+
+
+def ledger(tables: Tables) -> DataFrame:
+    """The ledger: the last event of every file, by time of recording and number."""
+    events = tables.read_or_empty(EVENTS, TIMED_EVENTS)
+    return audit.resolved(events)
 
 
 def rebuild(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.datetime,
@@ -124,7 +158,7 @@ def rebuild(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.dat
     """Reload one feed from its landed files. Contracts are checked before anything
     is dropped, and only tables of this feed are."""
     src.check_contracts(tables.spark, root, feed.routes)
-    derived = ("", "_change_history", "_change_history_tail", "_roster_hierarchy", "_at_risk_episodes")
+    derived = ("", "_change_history", "_change_history_tail", "_change_history_progress", "_roster_hierarchy", "_at_risk_episodes")
     tables.drop([
         *[raw_name(r.table) for r in feed.routes], *[typed_name(feed.table + d) for d in derived],
         f"{INTAKE}/{feed.name}",
@@ -134,97 +168,106 @@ def rebuild(tables: Tables, feed: FeedSpec, root: str, load_id: str, now: dt.dat
 
 # --------------------------------------------------------------------- refresh
 
-def append_typed(tables: Tables, table: str, spec) -> tuple[DataFrame, str]:
-    """Add typed rows of loads newer than the typed table; returns it and its load.
+def append_typed(tables: Tables, table: str, spec) -> DataFrame:
+    """Type every stored load that has no typed rows yet, one by one; returns the typed table.
 
-    Loads are compared by folder name, so nothing stored is scanned for the cursor. A
-    finished load is not touched again. An unfinished one is left out of what is
-    compared, so a retry writes all its rows instead of finding some of them present.
+    Typed loads are published whole, so a load that is there is finished. Ids can only repeat
+    where a file was loaded before, so only rows of such files are compared.
     """
     name = typed_name(table)
-    loads = tables.loads(raw_name(table))
-    newest = loads[-1]
-    if tables.has_load(name, newest):
-        return tables.read(name), newest
-    earlier = [i for i in tables.loads(name) if i != newest]
-    mark = earlier[-1] if earlier else None
-    raw = tables.read(raw_name(table), after=mark, evolving=True)
-    fresh = typed(newer_loads(raw, None), spec)
-    if sum(mark is None or i > mark for i in loads) > 1:
-        fresh = merge.one_per_key(fresh, ["row_id"])  # within one load ids are unique
-    if earlier:
-        # Ids can only repeat within a file that was loaded before. The names of one
-        # load's files come from the driver's own listing, so they are few.
-        names = F.broadcast(raw.select("source_file").distinct())
-        reloaded = tables.read(name, without=newest).join(names, "source_file", "left_semi")
-        fresh = merge.unseen(fresh, reloaded, ["row_id"])
-    tables.append(name, fresh, newest)
-    return tables.read(name), newest
-
-
-def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSpec, load_id: str) -> DataFrame:
-    """Incremental feeds add the rows of the new load and keep one tail per key; the
-    stored history is only rewritten when a late file reset some keys. Others rebuild."""
+    done = set(tables.loads(name))
+    for load_id in [i for i in tables.loads(raw_name(table)) if i not in done]:
+        raw = with_load(tables.read(raw_name(table), only=[load_id], evolving=True))
+        fresh = typed(raw, spec)
+        stored = tables.read(name)
+        if stored is not None:
+            names = raw.select("source_file").distinct()
+            fresh = merge.unseen(fresh, stored.join(names, "source_file", "left_semi"), ["row_id"])
+        tables.append(name, fresh, load_id)
+    return tables.read(name)
+
+
+def progress(tables: Tables, name: str) -> tuple[set[str], bool]:
+    """Loads that a derived table holds, and whether the step that wrote it came to its end."""
+    stored = tables.read(f"{name}_progress")
+    row = stored.first() if stored is not None else None
+    return (set(row["loads"]), row["finished"]) if row else (set(), True)
+
+
+def set_progress(tables: Tables, name: str, loads: set[str], finished: bool) -> None:
+    row = tables.spark.createDataFrame([(sorted(loads), finished)], PROGRESS_SCHEMA)
+    tables.replace(f"{name}_progress", row)
+
+
+def refresh_history(tables: Tables, name: str, policies: DataFrame, feed: FeedSpec) -> DataFrame:
+    """The stored history with the loads it lacks.
+
+    New rows extend each key from one stored tail row; history is only rewritten when rows came that sort
+    before what was processed. A mark is set before anything is written and taken back at the end. A run that
+    finds the mark trusts neither the tails nor the list of loads and derives both from the rows.
+    """
     spec, tail_name = feed.history, f"{name}_tail"
-    past = tables.read(tail_name) if feed.incremental else None
-    if past is not None and past.filter(F.col("through") != load_id).isEmpty():
-        return tables.read(name)  # tails are stored last, so this load is done
-    stored = tables.read(name, without=load_id) if feed.incremental else None
-    if stored is None or stored.isEmpty():
-        history = tables.replace(name, hist.change_history(policies, spec))
-        if feed.incremental:
-            store_tails(tables, tail_name, hist.tails(policies, history, spec), load_id)
-        return history
-
-    pending = tables.read_load(typed_name(feed.table), load_id)
-    # Row counts come from file footers. They disagree when an earlier run stopped
-    # between typed rows and history; then everything without history is pending.
-    if policies.count() != stored.count() + pending.count():
-        pending = cut(hist.pending_rows(policies, stored, spec))
-    past = cut(hist.tails(policies, stored, spec)) if past is None else past.drop("through")
-
-    late = hist.late_keys(pending, past, spec)
-    if late.isEmpty():
-        tables.append(name, hist.extend_history(pending, past, spec), load_id)
-        added = tables.read_load(name, load_id)
-        store_tails(tables, tail_name, hist.advanced_tails(past, pending, added, spec), load_id)
+    loads = tables.loads(typed_name(feed.table))
+    done, finished = progress(tables, name)
+    todo = [i for i in loads if i not in done]
+    if finished and not todo and tables.exists(name):
         return tables.read(name)
-    history = tables.replace(name, hist.refreshed_history(policies, stored, spec, pending, past))
-    store_tails(tables, tail_name, hist.tails(policies, history, spec), load_id)
-    return history
-
 
-def store_tails(tables: Tables, name: str, rows: DataFrame, load_id: str) -> None:
-    """Stored last, with the load they include: the mark of a finished history."""
-    tables.replace(name, rows.withColumn("through", F.lit(load_id)))
+    set_progress(tables, name, done, finished=False)
+    stored, past = tables.read(name), tables.read(tail_name)
+    if stored is None:
+        history = tables.replace(name, hist.change_history(policies, spec))
+        tables.replace(tail_name, hist.tails(policies, history, spec))
+    else:
+        trusted = finished and past is not None
+        if trusted:
+            pending = tables.read(typed_name(feed.table), only=todo)
+        else:
+            pending = cut(hist.pending_rows(policies, stored, spec))
+            past = cut(hist.tails(policies, stored, spec))
+        if hist.late_keys(pending, past, spec).isEmpty():
+            added = cut(hist.extend_history(pending, past, spec))
+            tables.append(name, added, uuid.uuid4().hex)
+            tables.replace(tail_name, hist.advanced_tails(past, pending, added, spec))
+        else:
+            history = tables.replace(name, hist.refreshed_history(policies, stored, spec, pending, past))
+            tables.replace(tail_name, hist.tails(policies, history, spec))
+    set_progress(tables, name, set(loads), finished=True)
+    return tables.read(name)
 
 
 def refresh(tables: Tables, feed: FeedSpec, now: dt.datetime,
             roster: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Typed append, history, hierarchy, episodes, latest views; then the statements."""
-    ledger = tables.read_or_empty(LEDGER, audit.LEDGER_SCHEMA)
-    out = refresh_policies(tables, feed, ledger, roster) if tables.loads(raw_name(feed.table)) else {}
+    landings = ledger(tables)
+    out = refresh_policies(tables, feed, landings, roster) if tables.loads(raw_name(feed.table)) else {}
     for table, spec in feed.side_tables.items():
         statements = tables.read(raw_name(table), evolving=True)
         if statements is not None:
             out[table] = tables.replace(typed_name(table), typed(statements, spec))
-            latest = latest_file_by_ledger(ledger, feed.name, unl.ADVANCE_PATTERNS)
+            latest = latest_file_by_ledger(landings, feed.name, unl.ADVANCE_PATTERNS)
             out[f"{table}_latest"] = rows_of_file(out[table], latest)
     return out
 
 
-def refresh_policies(tables: Tables, feed: FeedSpec, ledger: DataFrame,
+def refresh_policies(tables: Tables, feed: FeedSpec, landings: DataFrame,
                      roster: Mapping[str, DataFrame] | None) -> dict[str, DataFrame]:
-    policies, load_id = append_typed(tables, feed.table, feed.typed)
+    policies = append_typed(tables, feed.table, feed.typed)
     raw = tables.read(raw_name(feed.table), evolving=True)
     out = {"typed": policies}
 
     if feed.history:
         name = typed_name(f"{feed.table}_change_history")
-        out["history"] = refresh_history(tables, name, policies, feed, load_id)
+        out["history"] = refresh_history(tables, name, policies, feed)
 
+    current_raw, current = raw, policies
     if feed.by_ledger:
-        newest_raw = newest_typed = latest_file_by_ledger(ledger, feed.name, feed.file_patterns)
+        newest_raw = newest_typed = latest_file_by_ledger(landings, feed.name, feed.file_patterns)
+        # The intake names the loads that hold this file, so only their folders are read.
+        holding = loads_of(tables, feed, newest_raw)
+        if holding:
+            current_raw = tables.read(raw_name(feed.table), only=holding, evolving=True)
+            current = tables.read(typed_name(feed.table), only=holding)
     else:
         newest_raw = latest_file_by_metadata(raw, feed.newest_raw)
         newest_typed = latest_file_by_metadata(policies, feed.newest_typed)
@@ -232,7 +275,7 @@ def refresh_policies(tables: Tables, feed: FeedSpec, ledger: DataFrame,
     name = typed_name(f"{feed.table}_roster_hierarchy")
     empty = tables.spark.createDataFrame([], HIERARCHY_SCHEMA)
     if feed.carrier_pattern and roster:
-        refreshed = roster_hierarchy(rows_of_file(policies, newest_typed), roster, feed.carrier_pattern, feed.levels)
+        refreshed = roster_hierarchy(rows_of_file(current, newest_typed), roster, feed.carrier_pattern, feed.levels)
         stored = tables.read_or_empty(name, HIERARCHY_SCHEMA)
         out["hierarchy"] = tables.replace(name, merge.mirror(stored, refreshed, ["row_id"]))
     hierarchy = out.get("hierarchy", empty)
@@ -244,11 +287,20 @@ def refresh_policies(tables: Tables, feed: FeedSpec, ledger: DataFrame,
     )
     out["episodes"] = tables.replace(name, episodes)
 
-    out["latest_raw"] = latest_load(raw, newest_raw, hierarchy, out.get("history"), feed)
-    out["latest_typed"] = latest_load(policies, newest_typed, hierarchy, out.get("history"), feed, feed.view_columns)
+    out["latest_raw"] = latest_load(current_raw, newest_raw, hierarchy, out.get("history"), feed)
+    out["latest_typed"] = latest_load(current, newest_typed, hierarchy, out.get("history"), feed, feed.view_columns)
     return out
 
 
+def loads_of(tables: Tables, feed: FeedSpec, newest: DataFrame) -> list[str]:
+    """Loads that brought the file named in the one row of ``newest``."""
+    row, intake = newest.first(), tables.read(f"{INTAKE}/{feed.name}")
+    if row is None or intake is None:
+        return []
+    same = audit.basename("path") == row[0]
+    return sorted({r["load_id"] for r in intake.filter(same).select("load_id").collect()})
+
+
 def row_counts(published: Mapping[str, DataFrame]) -> dict[str, int]:
     """Rows of each refreshed table; stored tables are counted from file footers."""
     return {name: rows.count() for name, rows in published.items()}
@@ -269,22 +321,23 @@ def load_snapshot(tables: Tables, path: str, load_id: str, now: dt.datetime,
                   refresh_derived: bool = True) -> dict[str, DataFrame]:
     """Replace the stored snapshot with a JSON payload and refresh what follows."""
     payload = read_json_array(tables.spark, path, heartland.PAYLOAD_FIELDS)
-    snapshot = tables.replace(
-        raw_name(heartland.SNAPSHOT_TABLE), snapshot_identity(payload, heartland.FIELDS, load_id)
-    )
-    return refresh_snapshot(tables, snapshot, load_id, now) if refresh_derived else {"snapshot": snapshot}
+    with staging(tables.spark):
+        snapshot = tables.replace(
+            raw_name(heartland.SNAPSHOT_TABLE), snapshot_identity(payload, heartland.FIELDS, load_id)
+        )
+        return refresh_snapshot(tables, snapshot, load_id, now) if refresh_derived else {"snapshot": snapshot}
 
 
 def refresh_snapshot(tables: Tables, snapshot: DataFrame, load_id: str, now: dt.datetime) -> dict[str, DataFrame]:
     """Versions, typed rows, status history, hierarchy and the latest view."""
     name = raw_name(heartland.TABLE)
-    stored = tables.read(name, without=load_id)
+    stored = tables.read(name, without=[load_id])
     tables.append(name, new_versions(snapshot, stored, heartland.FIELDS, "row_id", now), load_id)
     versions = tables.read(name)
 
     name = typed_name(heartland.TABLE)
     fresh = typed(versions, heartland.POLICY)
-    stored = tables.read(name, without=load_id)
+    stored = tables.read(name, without=[load_id])
     if stored is not None:
         fresh = merge.unseen(fresh, stored, ["row_hash"])
     tables.append(name, fresh, load_id)

@@ -52,6 +52,10 @@ class Route:
 
     ``columns`` is the exact ordered header when the feed has a contract. ``keep_tokens``
     keeps ``NA`` and the empty string as text; otherwise the usual tokens are NULL.
+
+    ``multiline`` files may have quoted line breaks, and one task reads each of them whole. Without
+    it files of any size are split by line, and a line with an open quote fails the load. The
+    route decides, never the size of a file. ``required`` are stored columns a file must have.
     """
 
     name: str
@@ -60,7 +64,8 @@ class Route:
     parser: str = "csv"
     columns: tuple[str, ...] | None = None
     keep_tokens: bool = False
-    multiline: bool | None = None
+    multiline: bool = True
+    required: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -83,7 +88,6 @@ class FeedSpec:
     typed: TypedSpec
     key: str
     history: HistorySpec | None = None
-    incremental: bool = False
     episodes: Callable[[DataFrame], DataFrame] | None = None
     episode_start: dt.date | None = None
     carrier_pattern: str | None = None

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,8 @@ RECOMMENDED = {
     "spark.ui.enabled": "false",
 }
 
+_OPEN = threading.local()
+
 
 def build_session(app: str = "feedloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; ``extra`` keys use ``__`` for dots."""
@@ -64,13 +69,31 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path inside this application's part of the shared folder."""
-    return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+    if getattr(_OPEN, "scopes", None):
+        _OPEN.scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end; results must be stored elsewhere by then."""
+    _OPEN.scopes = [*getattr(_OPEN, "scopes", []), []]
+    try:
+        yield
+    finally:
+        for path in _OPEN.scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application staged, once its results are written."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    _delete(spark, scratch_root(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:

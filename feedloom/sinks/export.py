@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import functions as fn
@@ -32,6 +33,11 @@ EXPORT_COLUMNS = {
 TRIMMED = ("policy_nbr", "desc", "agent_nbr", "first_name", "last_name", "agency", "trans_type", "plan")
 WEEKLY_ADVANCE = "WA"
 FOLDER = ("output_filename", "source_report_id")
+#: Quotes are doubled and blanks kept, so any CSV reader gets the exported values back; an empty text differs from NULL.
+CSV = {
+    "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "", "emptyValue": '""',
+}
 
 
 class ExportError(RuntimeError):
@@ -84,24 +90,38 @@ def export_reports(manifest: DataFrame, rows: DataFrame, path: str) -> DataFrame
     manifest = cut(manifest)
     listed = export_rows(manifest, rows)
     ordered = listed.repartitionByRange(*FOLDER, "row_number").sortWithinPartitions(*FOLDER, "row_number")
-    ordered.drop("row_number").write.partitionBy(*FOLDER).option("header", True).csv(path)
-    manifest.write.option("header", True).csv(f"{path}/_manifest")
-    check_export(manifest, path)
+    ordered.drop("row_number").write.partitionBy(*FOLDER).options(**CSV).csv(path)
+    manifest.write.options(**CSV).csv(f"{path}/_manifest")
+    check_export(manifest, listed, path)
     return manifest
 
 
-def check_export(manifest: DataFrame, path: str) -> None:
-    """Count the written rows again, per report."""
-    spark = manifest.sparkSession
-    written = (
-        spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """The written rows as text, with report id and file name as they were."""
+    columns = [*EXPORT_COLUMNS, *FOLDER]
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return (
+        spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
         .option("basePath", path).csv(f"{path}/output_filename=*")
-        .groupBy(F.col("source_report_id").cast("string").alias("source_report_id"))
-        .agg(F.count(F.lit(1)).alias("written"))
     )
-    expected = manifest.select(F.col("source_report_id").cast("string").alias("source_report_id"), "row_count")
-    wrong = expected.join(written, "source_report_id", "full").filter(
-        ~F.col("row_count").eqNullSafe(F.col("written"))
+
+
+def _content(rows: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Rows per report and a sum over row hashes, which no order and no partitioning changes."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    digest = F.xxhash64(F.to_json(F.array(*cells))).cast("decimal(38,0)")
+    return rows.groupBy(F.col("source_report_id").cast("string").alias("source_report_id")).agg(
+        F.count(F.lit(1)).alias(name), F.sum(digest).alias(f"{name}_content"),
+    )
+
+
+def check_export(manifest: DataFrame, listed: DataFrame, path: str) -> None:
+    """Read the written rows again and compare their number and content per report."""
+    written = _content(read_export(manifest.sparkSession, path), list(EXPORT_COLUMNS), "written")
+    meant = _content(listed, list(EXPORT_COLUMNS), "meant")
+    counts = manifest.select(F.col("source_report_id").cast("string").alias("source_report_id"), "row_count")
+    wrong = counts.join(meant, "source_report_id", "full").join(written, "source_report_id", "full").filter(
+        ~F.col("row_count").eqNullSafe(F.col("written")) | ~F.col("meant_content").eqNullSafe(F.col("written_content"))
     )
     if not wrong.isEmpty():
         raise ExportError(f"written rows differ from the manifest: {wrong.first()}")

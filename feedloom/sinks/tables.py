@@ -1,15 +1,20 @@
 """Parquet tables under one root.
 
-A table is a version folder named by a one-line pointer file, holding one folder per
-load. Appending writes the folder of one load and a repeated load overwrites only that
-folder, so retries never add rows twice. Replacing writes a new version and then moves
-the pointer: a reader sees the old content or the new one, and a job may read the table
-it rebuilds.
+A table is a version folder holding one folder per load. Which version is published is told by empty files in the
+table's ``_current`` folder, named by number and version: the highest one counts, and creating an empty file is one step, so a
+reader sees the old version or the new one and never a half-written name. A load's rows are written aside and renamed into
+place, so a reader sees all of a load or nothing, and a repeated load replaces only its own folder. Replacing a table writes
+a new version, keeps the one before it for readers that have begun, and removes older ones.
+
+The renames are single steps on HDFS and on local disks. On an object store without such a rename, readers must not run
+during a load.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +22,8 @@ from pyspark.sql import types as T
 
 POINTER = "_current"
 LOAD = "load_partition"
+#: Versions of a table that are kept: the published one and the one before.
+KEPT = 2
 
 
 def folder_of(load_id: str) -> str:
@@ -24,6 +31,27 @@ def folder_of(load_id: str) -> str:
     return f"load-{load_id}"
 
 
+@dataclass
+class Staged:
+    """Rows of one load that are written but not published."""
+
+    tables: Tables
+    name: str
+    load_id: str
+    path: str
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.tables.spark.read.parquet(self.path)
+
+    def publish(self) -> None:
+        self.tables._publish_load(self)
+
+    def discard(self) -> None:
+        fs, path = self.tables._fs(self.path)
+        fs.delete(path, True)
+
+
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -36,38 +64,49 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._fs(folder)
+        return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
+
     def _version(self, name: str) -> str | None:
-        fs, pointer = self._fs(f"{self.path(name)}/{POINTER}")
-        if not fs.exists(pointer):
-            return None
-        java = self.spark._jvm.java.io
-        stream = fs.open(pointer)
-        try:
-            return f"{self.path(name)}/{java.BufferedReader(java.InputStreamReader(stream, 'UTF-8')).readLine()}"
-        finally:
-            stream.close()
+        marks = self._names(f"{self.path(name)}/{POINTER}")
+        return f"{self.path(name)}/{marks[-1].partition('.')[2]}" if marks else None
 
     def _publish(self, name: str, version: str) -> None:
-        fs, pointer = self._fs(f"{self.path(name)}/{POINTER}")
-        out = fs.create(pointer, True)
-        try:
-            out.write(bytearray(version, "utf-8"))
-        finally:
-            out.close()
+        folder = f"{self.path(name)}/{POINTER}"
+        marks = self._names(folder)
+        number = int(marks[-1].partition(".")[0]) + 1 if marks else 0
+        fs, mark = self._fs(f"{folder}/{number:012d}.{version}")
+        if not fs.createNewFile(mark):
+            raise RuntimeError(f"{name} was published by another job at the same time")
+        for old in marks[: 1 - KEPT]:
+            for path in (f"{folder}/{old}", f"{self.path(name)}/{old.partition('.')[2]}"):
+                fs, path = self._fs(path)
+                fs.delete(path, True)
 
     def exists(self, name: str) -> bool:
         return self._version(name) is not None
 
+    def stage(self, name: str, rows: DataFrame, load_id: str) -> Staged:
+        """Write the rows of one load without publishing them."""
+        path = f"{self.path(name)}/_staged-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return Staged(self, name, load_id, path)
+
+    def _publish_load(self, staged: Staged) -> None:
+        current = self._version(staged.name)
+        version = current or f"{self.path(staged.name)}/v-{uuid.uuid4().hex}"
+        fs, target = self._fs(f"{version}/{LOAD}={folder_of(staged.load_id)}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(self._fs(staged.path)[1], target):
+            raise RuntimeError(f"load {staged.load_id} of {staged.name} could not be published")
+        if current is None:
+            self._publish(staged.name, version.rsplit("/", 1)[-1])
+
     def append(self, name: str, rows: DataFrame, load_id: str) -> None:
         """Store the rows of one load."""
-        current = self._version(name)
-        version = current or f"{self.path(name)}/v-{uuid.uuid4().hex}"
-        (
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .parquet(f"{version}/{LOAD}={folder_of(load_id)}")
-        )
-        if current is None:
-            self._publish(name, version.rsplit("/", 1)[-1])
+        self.stage(name, rows, load_id).publish()
 
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
         """Store a new version and publish it."""
@@ -77,40 +116,31 @@ class Tables:
         return self.read(name)
 
     def has_load(self, name: str, load_id: str) -> bool:
-        """Whether the load was stored to the end; Spark marks a finished write."""
-        current = self._version(name)
-        if current is None:
-            return False
-        fs, marker = self._fs(f"{current}/{LOAD}={folder_of(load_id)}/_SUCCESS")
-        return fs.exists(marker)
+        return load_id in self.loads(name)
 
     def loads(self, name: str) -> list[str]:
         """Ids of the stored loads in order, from the folder names alone."""
         current = self._version(name)
-        if current is None:
-            return []
-        fs, folder = self._fs(current)
         prefix = f"{LOAD}={folder_of('')}"
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+        return [n.removeprefix(prefix) for n in self._names(current) if n.startswith(prefix)] if current else []
 
     def read(
-        self, name: str, without: str | None = None, after: str | None = None, evolving: bool = False
+        self, name: str, without: Sequence[str] = (), only: Sequence[str] | None = None, evolving: bool = False
     ) -> DataFrame | None:
         """The published rows, or None before the first write.
 
-        ``without`` leaves out one load, for a step that is about to write it again;
-        ``after`` reads later loads only; both prune folders. ``evolving`` merges the
+        ``without`` leaves out loads, for a step that is about to write them again;
+        ``only`` reads some loads; both prune folders. ``evolving`` merges the
         schemas of all files (raw tables gain columns).
         """
         current = self._version(name)
         if current is None:
             return None
         rows = self.spark.read.option("mergeSchema", evolving).parquet(current)
-        if without is not None:
-            rows = rows.filter(F.col(LOAD) != folder_of(without))
-        if after is not None:
-            rows = rows.filter(F.col(LOAD) > folder_of(after))
+        if without:
+            rows = rows.filter(~F.col(LOAD).isin([folder_of(x) for x in without]))
+        if only is not None:
+            rows = rows.filter(F.col(LOAD).isin([folder_of(x) for x in only]))
         return rows.drop(LOAD)
 
     def read_load(self, name: str, load_id: str) -> DataFrame | None:
@@ -127,7 +157,7 @@ class Tables:
         return stored if stored is not None else self.spark.createDataFrame([], schema)
 
     def drop(self, names: list[str]) -> None:
-        """Remove the tables of one feed before a rebuild."""
+        """Remove the tables of one feed."""
         for name in names:
             fs, folder = self._fs(self.path(name))
             fs.delete(folder, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,12 +25,11 @@ NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-#: Files up to this size are read whole, so quoted line breaks are allowed; larger
-#: ones are split by line, where such a break aborts the load instead of passing.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 #: Copies of one byte-identical line numbered by one task.
 COPIES_PER_TASK = 1_000_000
 NEVER_NULL = "\u0000"
+#: What separates cells when a physical line is read as one cell; a line that has it fails the load.
+LINE_CELL = "\u0001"
 
 
 class ContractError(ValueError):
@@ -115,6 +114,13 @@ def check_header(actual: Sequence[str], route: Route, file_name: str) -> None:
         )
 
 
+def check_required(actual: Sequence[str], route: Route, file_name: str) -> None:
+    """Columns without which rows have no meaning; every other column may be missing."""
+    missing = sorted(set(route.required) - set(stored_names(actual).values()))
+    if missing:
+        raise ContractError(f"{file_name} lacks {', '.join(missing)}")
+
+
 def check_contracts(spark: SparkSession, root: str, routes: Iterable[Route]) -> int:
     """Check all contracted headers before anything is replaced; returns the count."""
     checked = 0
@@ -155,32 +161,46 @@ def _cell(name: str, keep_tokens: bool) -> Column:
     return F.when(~cell.isin(*NULL_TOKENS), cell)
 
 
-def scan_csv(spark: SparkSession, files: Sequence[LandedFile], header: Sequence[str], route: Route) -> DataFrame:
-    """Files sharing one header, as text under stored names, with lineage.
+def csv_cells(reader, header: Sequence[str], multiline: bool, with_header: bool) -> Callable[..., DataFrame]:
+    """``load(paths)`` for a batch or stream reader: the file's cells as text under ``header``, and file metadata.
 
-    The reader compares each file's own header again while loading and fails on any
-    malformed line, naming the file.
+    Any malformed line fails the load and names the file. Files that are split by line are read line by line first: a line
+    with an odd number of quotes has an open quote, so its record would go on in the next line.
     """
-    names = stored_names(header)
-    reader = (
-        spark.read.schema(_text_schema(header))
-        .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-        .option("columnPruning", False)
-        .option("escape", '"').option("nullValue", NEVER_NULL).option("emptyValue", "")
-    )
+    reader = reader.format("csv").option("columnPruning", False).option("mode", "FAILFAST").option("header", with_header)
+    if multiline:
+        reader = (
+            reader.schema(_text_schema(header)).option("enforceSchema", False).option("multiLine", True)
+            .option("escape", '"').option("nullValue", NEVER_NULL).option("emptyValue", "")
+        )
+        return lambda *paths: reader.load(*paths).select("*", "_metadata")
+
+    lines = reader.schema("line string").option("sep", LINE_CELL).option("quote", "").option("nullValue", NEVER_NULL)
+    cells = [f"c{i}" for i in range(len(header))]
+    schema = ", ".join(f"{c} string" for c in [*cells, "bad"])
+    options = {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "escape": '"', "nullValue": NEVER_NULL, "emptyValue": "",
+    }
 
-    def read(part: Sequence[LandedFile], multiline: bool) -> DataFrame:
-        rows = reader.option("multiLine", multiline).csv([f.path for f in part])
-        return rows.select(*[_cell(h, route.keep_tokens).alias(n) for h, n in names.items()], *_lineage())
+    def load(*paths) -> DataFrame:
+        rows = lines.load(*paths).select("line", "_metadata")
+        quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+        file = decoded(F.col("_metadata.file_path"))
+        open_quote = F.raise_error(F.concat(F.lit("a quoted line break, but the route splits files by line: "), file))
+        checked = F.when(quotes % 2 == 1, open_quote.cast("string")).otherwise(F.col("line"))
+        rows = rows.select(F.from_csv(checked, schema, options).alias("cells"), "_metadata")
+        malformed = F.raise_error(F.concat(F.lit("malformed line in "), file)).cast("boolean")
+        rows = rows.filter(F.when(F.col("cells.bad").isNotNull(), malformed).otherwise(F.lit(True)))
+        return rows.select(*[F.col(f"cells.{c}").alias(h) for c, h in zip(cells, header, strict=True)], "_metadata")
 
-    def whole(file: LandedFile) -> bool:
-        if route.multiline is not None:
-            return route.multiline
-        return len(header) == 1 or file.size <= WHOLE_FILE_BYTES
+    return load
 
-    groups = [(flag, [f for f in files if whole(f) is flag]) for flag in (True, False)]
-    parts = [read(part, flag) for flag, part in groups if part]
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+def scan_csv(spark: SparkSession, files: Sequence[LandedFile], header: Sequence[str], route: Route) -> DataFrame:
+    """Files sharing one header, as text under stored names, with lineage."""
+    load = csv_cells(spark.read, header, route.multiline, with_header=True)
+    cells = [_cell(h, route.keep_tokens).alias(n) for h, n in stored_names(header).items()]
+    return load([f.path for f in files]).select(*cells, *_lineage())
 
 
 def scan_route(spark: SparkSession, files: Sequence[LandedFile], route: Route) -> DataFrame:
@@ -190,6 +210,7 @@ def scan_route(spark: SparkSession, files: Sequence[LandedFile], route: Route) -
         by_header = defaultdict(list)
         for file, header in headers_of(spark, files).items():
             check_header(header, route, file.name)
+            check_required(header, route, file.name)
             by_header[header].append(file)
         scans = [scan_csv(spark, part, header, route) for header, part in by_header.items()]
         rows = scans[0]

@@ -89,12 +89,22 @@ def test_malformed_file_aborts_with_its_name(spark, tmp_path, multiline):
         scan(spark, tmp_path, Route("r", "in/*.csv", "t", multiline=multiline)).collect()
 
 
-def test_line_break_in_a_split_file_aborts(spark, tmp_path):
-    land(tmp_path, "in/a.csv", ["a", "b"], [["1", "x\ny"]])
+@pytest.mark.parametrize("text", ['a,b\n"1","x\ny"\n', 'a,b\n1,"x\n2,y"\n', 'a,b\n1,"say ""hi"", x\n2,y"\n', "a,b\n1\n", "a,b\n1,2,3\n", "a,b\n1,x\x01y\n"])
+def test_split_files_never_invent_rows(spark, tmp_path, text):
+    """A quoted line break fails the load also where its fragments have the right width."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(text)
     with pytest.raises(Exception, match="a.csv"):
         scan(spark, tmp_path, Route("r", "in/*.csv", "t", multiline=False)).collect()
 
 
+def test_split_and_whole_files_give_the_same_rows(spark, tmp_path):
+    lines = [["1", 'say "hi", x'], ["", "a\\b"], [" 5 ", "NA"], ['"', "é"], ["a", "b"], ["x", ""]]
+    land(tmp_path, "in/a.csv", ["a", "b"], lines)
+    whole, split = (scan(spark, tmp_path, Route("r", "in/*.csv", "t", multiline=m)).select("a", "b", "row_id") for m in (True, False))
+    assert rows(whole, "row_id") == rows(split, "row_id") and whole.count() == len(lines)
+
+
 @pytest.mark.parametrize("header", [["B", "A"], ["A", "X"], ["a", "B"], ["A"]])
 def test_header_contract(spark, tmp_path, header):
     land(tmp_path, "in/f.csv", header, [["1"] * len(header)])
@@ -172,7 +182,8 @@ def test_policy_flow(spark, warehouse):
     # The next file only extends; a repeated refresh of the same load changes nothing.
     policy_file(root, 9, ("p", "T", "20260601"), ("q", "T", "20260701"))
     out = flow.load(tables, feed, root, "2", NOW, roster(spark))
-    assert tables.loads(flow.typed_name("unl_fym_policy_change_history")) == ["2"]
+    name = flow.typed_name("unl_fym_policy_change_history")
+    assert len(tables.loads(name)) == 1 and flow.progress(tables, name) == ({"1", "2"}, True)
     extended = history_of(out)
     again = flow.refresh(tables, feed, NOW, roster(spark))
     assert history_of(again) == extended and again["typed"].count() == 6
@@ -184,7 +195,7 @@ def test_policy_flow(spark, warehouse):
     full = dict(out, history=h.change_history(out["typed"], feed.history))
     assert history_of(out) == history_of(full) and len(history_of(out)) == 7
 
-    ledger = tables.read(flow.LEDGER)
+    ledger = flow.ledger(tables)
     assert ledger.filter(F.col("status") == audit.LOADED).count() == 5
     # The newest landing decides, even when its day is older.
     assert rows(out["latest_typed"].select("policy_nbr", "file_date")) != []
@@ -196,8 +207,71 @@ def test_failed_verification_leaves_everything_else(spark, warehouse):
     policy_file(root, 2)  # a header without rows
     with pytest.raises(audit.MissingLoadError, match="UNLFYM_Policy_20260602060000.csv"):
         flow.load(tables, FEEDS["unl"], root, "1", NOW)
-    assert not tables.exists(flow.LEDGER)
-    assert not tables.exists(flow.typed_name("unl_fym_policy"))
+    assert flow.ledger(tables).isEmpty()
+    assert not any(tables.exists(n) for n in (flow.raw_name("unl_fym_policy"), flow.typed_name("unl_fym_policy")))
+    # Mended, the same rows are stored once, and the newest file is the mended one.
+    policy_file(root, 2, ("p", "T", "20260501"))
+    out = flow.load(tables, FEEDS["unl"], root, "2", NOW)
+    assert tables.read(flow.raw_name("unl_fym_policy")).count() == 2 and out["latest_raw"].count() == 1
+
+
+def test_load_ids_have_no_order(spark, warehouse):
+    tables, root = warehouse
+    for load_id, day, code in (("9", 1, "A"), ("10", 2, "T"), ("1", 3, "X")):
+        policy_file(root, day, ("p", code, "20260501"))
+        out = flow.load(tables, FEEDS["unl"], root, load_id, NOW + dt.timedelta(hours=day))
+    assert out["typed"].count() == out["history"].count() == 3
+    assert [r["cntrct_code"] for r in out["latest_typed"].collect()] == ["X"]
+    policy_file(root, 4, ("p", "Y", "20260501"))
+    with pytest.raises(flow.LoadIdError):
+        flow.load(tables, FEEDS["unl"], root, "10", NOW)
+
+
+def test_a_policy_file_needs_its_key(spark, warehouse):
+    tables, root = warehouse
+    land(root, "unl/inbound/UNLFYM_Policy_20260601060000.csv", ["policy_number", *HEADER[2:]], [["p", "A", "", "", "", "", ""]])
+    with pytest.raises(src.ContractError, match="policy_nbr"):
+        flow.load(tables, FEEDS["unl"], root, "1", NOW)
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_a_refresh_stopped_at_any_write_is_made_good(spark, tmp_path, late):
+    """Stopped after each write of the history step, then another load: equal to a full rebuild."""
+    days = (1, 5, 3, 7) if late else (1, 3, 5, 7)
+    for stop_at in range(1, 5):
+        tables, root = Tables(spark, str(tmp_path / f"t{stop_at}")), str(tmp_path / f"l{stop_at}")
+        feed, codes = replace(FEEDS["unl"], episodes=None), dict(zip(days, "ATXY"))
+        policy_file(root, days[0], ("p", codes[days[0]], "20260501"))
+        flow.load(tables, feed, root, "1", NOW)
+        policy_file(root, days[1], ("p", codes[days[1]], "20260501"), ("q", "A", ""))
+        flow.load(tables, feed, root, "2", NOW)
+        policy_file(root, days[2], ("p", codes[days[2]], "20260501"))
+        writes = []
+
+        def counting(real):
+            def write(name, *args):
+                result = real(name, *args)
+                if "_change_history" in name:
+                    writes.append(name)
+                    if len(writes) == stop_at:
+                        raise Stop
+                return result
+            return write
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(tables, "append", counting(tables.append))
+            m.setattr(tables, "replace", counting(tables.replace))
+            with pytest.raises(Stop):
+                flow.load(tables, feed, root, "3", NOW)
+        policy_file(root, days[3], ("p", codes[days[3]], "20260501"))
+        out = flow.load(tables, feed, root, "4", NOW)
+        full = dict(out, history=h.change_history(out["typed"], feed.history))
+        out["history"] = out["history"].select(*feed.history.output)
+        assert history_of(out) == history_of(full) and len(history_of(out)) == 5
 
 
 def test_statements_may_come_first(spark, warehouse):
@@ -277,6 +351,26 @@ def test_stream_equals_batch(spark, tmp_path):
         assert one == two and len(one) == 6
 
 
+@pytest.mark.parametrize("lines, error", [([], "no stored rows"), (None, "0 times")])
+def test_stream_sees_files_without_rows(spark, tmp_path, lines, error):
+    feed, root = FEEDS["ahl"], str(tmp_path / "landing")
+    ahl_file(root, 1, ("p", "A", "20260101"))
+    land(root, "ahl/inbound/FYM_POL_20260602.csv", ahl.HEADER if lines is not None else ["x"] * len(ahl.HEADER), lines or [])
+    tables = Tables(spark, str(tmp_path / "t"))
+    with pytest.raises(Exception, match=error):
+        start_intake(tables, feed, feed.routes[0], root, str(tmp_path / "c"), lambda: NOW).awaitTermination()
+    assert flow.ledger(tables).isEmpty() and not tables.exists(flow.raw_name(feed.table))
+
+
+def test_stream_of_split_files(spark, tmp_path):
+    feed, root = FEEDS["ahl"], str(tmp_path / "landing")
+    ahl_file(root, 1, ("p", "A", "20260101"), ("q, r", "T", ""))
+    tables = Tables(spark, str(tmp_path / "t"))
+    route = replace(feed.routes[0], multiline=False)
+    start_intake(tables, feed, route, root, str(tmp_path / "c"), lambda: NOW).awaitTermination()
+    assert sorted(r[0] for r in tables.read(flow.raw_name(feed.table)).select("fympolkey").collect()) == ["p", "q, r"]
+
+
 # ----------------------------------------------------------- snapshot flow
 
 def payload(path, *items):

@@ -129,3 +129,48 @@ def test_unset_cursor_is_an_error(spark):
     df = spark.createDataFrame([("1",), (None,)], "load_id string")
     with pytest.raises(Exception, match="load_id is not set"):
         typed.newer_loads(df, None).collect()
+
+
+def test_export_keeps_every_value(spark, tmp_path):
+    from feedloom.sinks import export
+
+    texts = ['say "hi", Bob', " 5 ", "a\nb", "", None, "007", "back\\slash", ",", '"']
+    columns = list(export.EXPORT_COLUMNS.values())
+    data = [("007", i, *[t] * len(columns)) for i, t in enumerate(texts)]
+    schema = ", ".join(["source_report_id string", "row_number long", *[f"{c} string" for c in columns]])
+    lines = spark.createDataFrame(data, schema)
+    options = spark.createDataFrame([("007", "01/05/2026", "WA")], "report_id string, option_value string, commission_type string")
+    reports = spark.createDataFrame([("007", "r.csv")], "id string, original_filename string")
+    path = str(tmp_path / "out")
+    manifest = export.export_reports(export.report_manifest(options, reports, lines), lines, path)
+    assert manifest.first()["row_count"] == len(texts)
+    back = export.read_export(spark, path).select("source_report_id", "amount", "plan").collect()
+    assert {r["source_report_id"] for r in back} == {"007"}
+    assert sorted(r["amount"] or "" for r in back) == sorted(t or "" for t in texts)
+    assert sorted(r["plan"] or "" for r in back) == sorted((t or "").strip(" ") for t in texts)
+    one = next(p for p in (tmp_path / "out").rglob("part-*.csv") if "_manifest" not in str(p))
+    import csv
+
+    with open(one, newline="") as f:
+        assert sorted(r["amount"] for r in csv.DictReader(f)) == sorted(t or "" for t in texts)
+
+
+def test_a_version_is_published_in_one_step(spark, tmp_path):
+    from feedloom.sinks.tables import Tables
+
+    tables = Tables(spark, str(tmp_path / "t"))
+    frame = lambda *n: spark.createDataFrame([(i,) for i in n], "n int")
+    tables.append("a", frame(1), "10")
+    before = tables.read("a")
+    staged = tables.stage("a", frame(2, 3), "9")
+    assert rows(tables.read("a"), "n") == [(1,)]
+    staged.publish()
+    tables.append("a", frame(2, 4), "9")
+    assert rows(tables.read("a"), "n") == [(1,), (2,), (4,)] and tables.loads("a") == ["10", "9"]
+    assert rows(tables.read("a", only=["9"]), "n") == [(2,), (4,)] and rows(tables.read("a", without=["9"]), "n") == [(1,)]
+    tables.replace("a", tables.read("a").filter("n > 1"))
+    assert rows(before, "n") == [(1,)]  # the version before stays for readers that have begun
+    for _ in range(3):
+        tables.replace("a", tables.read("a"))
+    assert rows(tables.read("a"), "n") == [(2,), (4,)]
+    assert len([p for p in (tmp_path / "t" / "a").iterdir() if p.name.startswith("v-")]) == 2
