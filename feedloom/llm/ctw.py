@@ -48,9 +48,9 @@ ASKED = 64_000_000
 FOLDS = 5
 HELD_OUT = 1
 #: Text of a block that is turned into grams at once.
-STRIP = 2_000_000
+STRIP = 1_000_000
 #: Grams of strips that are kept before they are merged.
-HELD = 6_000_000
+HELD = 2_500_000
 
 _ALL = "block long, bucket int, keys binary, counts binary"
 
