@@ -37,13 +37,14 @@ from feedloom.session import cut
 CAPACITY = 4096
 END = 1
 #: Words whose ids a worker keeps: those met lately, and as many from before. It changes nothing but time.
-CACHE = 300_000
+CACHE = 500_000
 #: Plain words that go to the tokenizer as one text, and bytes of text whose words are looked up together.
 JOINED = 256
 STRIP = 1_000_000
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 1000
 
+_MARKS = (b".", b",")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -60,56 +61,65 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Tokens that end a unit carry the vocabulary's mark.
+        tokens = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(tokens.values()) + 1, bool)
+        self.last[[i for token, i in tokens.items() if token.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.marks = dict(zip((b".", b","), self._encode([b".", b","]), strict=True))
+        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word. Words of plain letters are one unit of the tokenizer each, so many go in as one text."""
-        out: list[bytes] = [b""] * len(words)
-        plain = [i for i, w in enumerate(words) if w.isalpha()]
-        rest = [i for i, w in enumerate(words) if not w.isalpha()]
+        """Ids of each word. Words of Latin letters are one unit of the tokenizer each, so many go in as one text."""
+        texts = [w.decode() for w in words]
+        plain = [i for i, t in enumerate(texts) if t.isalpha() and (t.isascii() or max(t) < "\u0100")]
         joined = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
-        found = self.tokenizer.encode_batch([b" ".join([words[i] for i in part]).decode() for part in joined], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part]) for part in joined], add_special_tokens=False)
+        out = [b""] * len(words)
+        rest = set(range(len(words))).difference(plain)
         for part, x in zip(joined, found, strict=True):
-            ids, unit = np.array(x.ids, dtype="<u4"), np.array(x.word_ids)
-            ends = np.flatnonzero(np.diff(unit, append=-1)) + 1
-            if len(ends) != len(part):
-                rest += part
-                continue
-            data, last = ids.tobytes(), 0
-            for i, end in zip(part, (ends * 4).tolist(), strict=True):
-                out[i] = data[last:end]
-                last = end
-        for i, x in zip(rest, self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False), strict=True):
+            ids = np.array(x.ids, dtype="<u4")
+            data, ends = ids.tobytes(), ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+            if len(ends) == len(part):
+                for i, start, end in zip(part, [0, *ends], ends, strict=False):
+                    out[i] = data[start:end]
+            else:
+                rest.update(part)
+        alone = sorted(rest)
+        for i, x in zip(alone, self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False), strict=True):
             out[i] = np.array(x.ids, dtype="<u4").tobytes()
         return out
 
     def _learn(self, words: set[bytes]) -> None:
         """Ids of words not met lately. A full stop or comma after a plain letter is a token of its own."""
-        cores = {w: w[:-1] if w[-1] in b".," and len(w) > 1 and 97 <= w[-2] <= 122 else w for w in words}
-        new = list({c for c in cores.values() if c not in self.young and c not in self.old})
-        known = dict(zip(new, self._encode(new), strict=True))
-        for w, core in cores.items():
-            ids = known.get(core) or self.young.get(core) or self.old.get(core, b"")
-            self.young[core] = ids
-            self.young[w] = ids if core is w else ids + self.marks[w[-1:]]
+        young, old = self.young, self.old
+        marked = [w for w in words if w.endswith(_MARKS) and len(w) > 1 and 97 <= w[-2] <= 122]
+        cores = {w[:-1] for w in marked}
+        new = list(words.difference(marked).union(cores.difference(young, old)))
+        young.update(zip(new, self._encode(new), strict=True))
+        for w in marked:
+            core = w[:-1]
+            if core not in young:
+                young[core] = old[core]
+            young[w] = young[core] + self.marks[w[-1:]]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without an end token."""
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
-        missing = set()
-        for w in set().union(*split).difference(self.young):
-            if w in self.old:
-                self.young[w] = self.old[w]
-            else:
-                missing.add(w)
+        young, old = self.young, self.old
+        found = [list(map(young.get, words)) for words in split]
+        holes = [[i for i, ids in enumerate(part) if ids is None] for part in found]
+        new = {words[i] for words, places in zip(split, holes, strict=True) for i in places}
+        missing = new.difference(old)
+        young.update([(w, old[w]) for w in new.difference(missing)])
         if missing:
             self._learn(missing)
-        known = self.young.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        for words, part, places in zip(split, found, holes, strict=True):
+            for i in places:
+                part[i] = young[words[i]]
+        return [b"".join(part) for part in found]
 
 
 def strips(texts: list[bytes]) -> list[list[bytes]]:
