@@ -6,37 +6,39 @@ from feedloom.operators.episodes import GAP_DAYS, risk_episodes
 from feedloom.queries.registry import query, table
 
 
-def episode_sql(gap: int) -> str:
+def episodes_from(seen: str, key: str, gap: int) -> str:
+    """SQL over ``seen``, a query of (key, day, risky, cures, ends).
+
+    An episode opens on a risk day without another one in the ``gap`` days before and closes on one without another in the
+    days after; the n-th opening of a key belongs to its n-th closing.
+    """
     return f"""
-    WITH days AS (SELECT user_id, CAST(ts AS DATE) AS d, event_type FROM events),
-    risk AS (SELECT DISTINCT user_id, d FROM days WHERE event_type = 'error'),
-    steps AS (
-        SELECT user_id, d, d - lag(d) OVER (PARTITION BY user_id ORDER BY d) AS step FROM risk
-    ),
-    runs AS (
-        SELECT user_id, d,
-               count(*) FILTER (WHERE step IS NULL OR step > {gap}) OVER (PARTITION BY user_id ORDER BY d) AS run
-        FROM steps
+    WITH seen AS ({seen}),
+    risk AS (SELECT DISTINCT {key}, day FROM seen WHERE risky),
+    opens AS (
+        SELECT {key}, day AS ep_start, row_number() OVER (PARTITION BY {key} ORDER BY day) AS episode_id
+        FROM risk r WHERE NOT EXISTS (FROM risk e WHERE e.{key} = r.{key} AND e.day < r.day AND r.day - e.day <= {gap})
     ),
-    spans AS (
-        SELECT user_id, CAST(run AS BIGINT) AS episode_id, min(d) AS ep_start, max(d) AS ep_end
-        FROM runs GROUP BY ALL
+    closes AS (
+        SELECT {key}, day AS ep_end, row_number() OVER (PARTITION BY {key} ORDER BY day) AS episode_id
+        FROM risk r WHERE NOT EXISTS (FROM risk l WHERE l.{key} = r.{key} AND l.day > r.day AND l.day - r.day <= {gap})
     ),
-    found AS (
-        SELECT s.*,
-               (SELECT min(d) FROM days c WHERE c.user_id = s.user_id AND c.event_type = 'purchase'
-                  AND c.d BETWEEN s.ep_end + 1 AND s.ep_end + {gap}) AS cure_date,
-               (SELECT min(d) FROM days c WHERE c.user_id = s.user_id AND c.event_type = 'signup'
-                  AND c.d BETWEEN s.ep_end + 1 AND s.ep_end + {gap}) AS term_date
-        FROM spans s
+    after AS (
+        SELECT c.{key}, c.episode_id, min(o.day) FILTER (WHERE o.cures) AS cure_date, min(o.day) FILTER (WHERE o.ends) AS term_date
+        FROM closes c JOIN seen o ON o.{key} = c.{key} AND o.day > c.ep_end AND o.day - c.ep_end <= {gap} GROUP BY ALL
     )
-    SELECT user_id, episode_id, ep_start, ep_end, cure_date, term_date,
-           CASE WHEN ep_start = (SELECT min(d) FROM days) THEN 'left_censored'
-                WHEN cure_date <= coalesce(term_date, cure_date) THEN 'saved'
-                WHEN term_date IS NOT NULL THEN 'lost'
-                WHEN ep_end >= (SELECT max(d) FROM days) - {gap} THEN 'still_open'
-                ELSE 'ended_no_resolution' END AS outcome
-    FROM found"""
+    SELECT {key}, CAST(episode_id AS BIGINT) AS episode_id, ep_start, ep_end, cure_date, term_date,
+           coalesce(if(ep_start = bounds.first_day, 'left_censored', NULL),
+                    if(cure_date IS NOT NULL AND (term_date IS NULL OR term_date >= cure_date), 'saved', NULL), if(term_date IS NOT NULL, 'lost', NULL),
+                    if(bounds.last_day - ep_end <= {gap}, 'still_open', 'ended_no_resolution')) AS outcome
+    FROM opens JOIN closes USING ({key}, episode_id) LEFT JOIN after USING ({key}, episode_id),
+         (SELECT min(day) AS first_day, max(day) AS last_day FROM seen) bounds"""
+
+
+def episode_sql(gap: int) -> str:
+    return episodes_from("""
+        SELECT user_id, CAST(ts AS DATE) AS day, event_type = 'error' AS risky, event_type = 'purchase' AS cures, event_type = 'signup' AS ends
+        FROM events""", "user_id", gap)
 
 
 def event_episodes(spark, sf_dir, gap):

@@ -1,5 +1,7 @@
 """Change histories under the three date rules, in full, incremental and repaired."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from feedloom.operators import history as h
@@ -79,6 +81,24 @@ def history_after_repair(spark, sf_dir):
     return h.refreshed_history(*processed_first(spark, sf_dir), EVENT_HISTORY)
 
 
+UNDATED = "event_id % 9 = 4"
+
+
+@query("incremental_history_null_days", EVENT_HISTORY_SQL.replace(
+    "CAST(ts AS DATE) AS day", f"CASE WHEN {UNDATED} THEN NULL ELSE CAST(ts AS DATE) END AS day"
+).replace("ORDER BY ts, event_id", "ORDER BY day NULLS LAST, event_id"))
+def incremental_history_null_days(spark, sf_dir):
+    """Every ninth event has no day; they arrive with the first and the last of three loads."""
+    spec = replace(EVENT_HISTORY, order=("day", "event_id"))
+    events = observed_events(spark, sf_dir).withColumn("day", F.when(~F.expr(UNDATED), F.col("day")))
+    load = F.when(F.col("day").isNull(), F.col("event_id") % 2 * 2).otherwise(F.floor(F.dayofmonth("day") / 11))
+    events = cut(events.withColumn("load", load))
+    stored = cut(h.change_history(events.filter("load = 0"), spec))
+    for upto in (1, 2):
+        stored = cut(h.refreshed_history(events.filter(F.col("load") <= upto), stored, spec))
+    return stored
+
+
 @query("change_row_history", """
     WITH ranked AS (
         SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day, row_number() OVER w AS n,

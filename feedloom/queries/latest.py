@@ -7,6 +7,7 @@ from feedloom.operators import latest as lt
 from feedloom.operators.episodes import policy_risk_episodes
 from feedloom.plans.feeds import unl
 from feedloom.queries import texts as x
+from feedloom.queries.episodes import episodes_from
 from feedloom.queries.registry import query, table
 from feedloom.queries.typing import policy_sql, stored_policies, unl_policies
 
@@ -107,31 +108,11 @@ def latest_enriched(spark, sf_dir):
     return lt.enrich(current.withColumn("carrier", F.lit("unl")), "row_id", history)
 
 
-@query("policy_risk_episodes", f"""
-    WITH typed AS ({policy_sql(x.POLICY_TEXT, trimmed=False)}),
-    steps AS (
-        SELECT policy_nbr, file_date, file_date - lag(file_date) OVER (PARTITION BY policy_nbr ORDER BY file_date) AS step
-        FROM (SELECT DISTINCT policy_nbr, file_date FROM typed WHERE at_risk_policy)
-    ),
-    runs AS (
-        SELECT *, count(*) FILTER (WHERE step IS NULL OR step > 7) OVER (PARTITION BY policy_nbr ORDER BY file_date) AS run
-        FROM steps
-    ),
-    spans AS (
-        SELECT policy_nbr, CAST(run AS BIGINT) AS episode_id, min(file_date) AS ep_start, max(file_date) AS ep_end
-        FROM runs GROUP BY ALL
-    ),
-    found AS (
-        SELECT s.policy_nbr, s.episode_id, s.ep_start, s.ep_end,
-               min(t.file_date) FILTER (WHERE t.paid_to_date >= t.file_date) AS cure_date,
-               min(t.file_date) FILTER (WHERE t.cntrct_code = 'T') AS term_date
-        FROM spans s LEFT JOIN typed t ON t.policy_nbr = s.policy_nbr AND t.file_date BETWEEN s.ep_end + 1 AND s.ep_end + 7
-        GROUP BY ALL
-    )
-    SELECT *, CASE WHEN ep_start = (SELECT min(file_date) FROM typed) THEN 'left_censored'
-                   WHEN cure_date <= coalesce(term_date, cure_date) THEN 'saved' WHEN term_date IS NOT NULL THEN 'lost'
-                   WHEN ep_end >= (SELECT max(file_date) FROM typed) - 7 THEN 'still_open'
-                   ELSE 'ended_no_resolution' END AS outcome
-    FROM found""")
+POLICY_DAYS = f"""
+    SELECT policy_nbr, file_date AS day, at_risk_policy AS risky, paid_to_date >= file_date AS cures, cntrct_code = 'T' AS ends
+    FROM ({policy_sql(x.POLICY_TEXT, trimmed=False)})"""
+
+
+@query("policy_risk_episodes", episodes_from(POLICY_DAYS, "policy_nbr", 7))
 def policy_episodes(spark, sf_dir):
     return policy_risk_episodes(stored_policies(spark, sf_dir))

@@ -105,7 +105,7 @@ def unl_policies(spark, sf_dir):
 
 def stored_policies(spark, sf_dir):
     """Typed policies as a flow finds them: written once, then read."""
-    return cut(unl_policies(spark, sf_dir).select(*POLICY_COLUMNS, "source_file"))
+    return cut(unl_policies(spark, sf_dir).select("policy_nbr", "file_date", "at_risk_policy", "paid_to_date", "cntrct_code"))
 
 
 @query("typed_unl", policy_sql(x.POLICY_TEXT, trimmed=False))
