@@ -103,13 +103,20 @@ def export_manifest(spark, sf_dir):
 
 
 @query("export_reports", """
-    SELECT concat('WA_202JVV00_', strftime(o_orderdate, '%Y_%m_01'), '.csv') AS output_filename,
-           CAST(o_custkey AS VARCHAR) AS policy_nbr, o_orderpriority AS "desc", o_orderstatus AS agent_nbr
-    FROM orders WHERE year(o_orderdate) % 2 = 0""")
+    SELECT concat('WA_202JVV00_', strftime(o_orderdate, '%Y_%m_01'), '.csv') AS output_filename, strftime(o_orderdate, '%Y%m') AS source_report_id,
+           CAST(o_custkey AS VARCHAR) AS policy_nbr, o_orderpriority AS "desc", o_orderstatus AS agent_nbr, '007' AS first_name,
+           'say "hi", Bob' AS last_name, NULL AS agency, NULL AS trans_type, NULL AS plan, concat(' ', o_orderstatus, ' ') AS prem_paid_amt,
+           concat('a', chr(10), 'b') AS comm_rate, NULL AS comm_prem_amt, 'back\\slash' AS adv_per, CAST(o_orderkey AS VARCHAR) AS amount,
+           NULL AS effective_date, NULL AS paid_to_date, ',' AS last_activity_date
+    FROM orders WHERE year(o_orderdate) % 2 = 0""".replace("NULL AS", "CAST(NULL AS VARCHAR) AS"))
 def export_reports(spark, sf_dir):
-    """Written as CSV per report, counted against the manifest, then read back."""
+    """Written as CSV per report, compared with the manifest by number and content, then read back in full width."""
     options, reports, rows = monthly_reports(spark, sf_dir)
+    rows = rows.withColumns({
+        "first_name": F.lit("007"), "last_name": F.lit('say "hi", Bob'), "premium_paid_amount": F.concat(F.lit(" "), "agent_number", F.lit(" ")),
+        "commission_rate": F.lit("a\nb"), "advance_percent": F.lit("back\\slash"), "amount": F.col("row_number").cast("string"),
+        "last_activity_date": F.lit(","),
+    })
     path = scratch_path(spark, "export")
     export.export_reports(export.report_manifest(options, reports, rows), rows, path)
-    written = spark.read.option("header", True).option("basePath", path).csv(f"{path}/output_filename=*")
-    return written.select("output_filename", "policy_nbr", "desc", "agent_nbr")
+    return export.read_export(spark, path)

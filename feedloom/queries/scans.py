@@ -54,6 +54,29 @@ def csv_route_scan(spark, sf_dir):
     return src.read_routes(spark, root, routes, "1")["orders"].select(*STORED)
 
 
+BROKEN_LINES = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS a, {b} AS b FROM orders"""
+
+
+@query("csv_quoted_breaks", BROKEN_LINES.format(b="concat('x', chr(10), CAST(o_custkey AS VARCHAR), ',y \"', o_orderstatus, '\"')"))
+def csv_quoted_breaks(spark, sf_dir):
+    """Values whose line breaks leave fragments of the right width."""
+    root = scratch_path(spark, "landing")
+    rows = table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS a", "concat('x\\n', o_custkey, ',y \"', o_orderstatus, '\"') AS b")
+    write_csv(rows, f"{root}/orders")
+    return src.read_routes(spark, root, [Route("orders", "orders/*.csv", "orders")], "1")["orders"].select("a", "b")
+
+
+@query("csv_split_lines", BROKEN_LINES.format(b="concat('x,', CAST(o_custkey AS VARCHAR), ',y \"', o_orderstatus, '\"')"))
+def csv_split_lines(spark, sf_dir):
+    """Files that may be split by line, with quoted commas and quotes."""
+    root = scratch_path(spark, "landing")
+    rows = table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS a", "concat('x,', o_custkey, ',y \"', o_orderstatus, '\"') AS b")
+    write_csv(rows, f"{root}/orders")
+    route = Route("orders", "orders/*.csv", "orders", multiline=False)
+    return src.read_routes(spark, root, [route], "1")["orders"].select("a", "b")
+
+
 @query("csv_contract", ORDER_SQL.format(status="CASE WHEN o_orderstatus = 'P' THEN 'NA' ELSE o_orderstatus END", blank="''"))
 def csv_contract(spark, sf_dir):
     """An exact header, checked up front; tokens and blanks stay text."""
