@@ -38,13 +38,15 @@ CAPACITY = 4096
 END = 1
 #: Words whose ids a worker keeps: those met lately, and as many from before. It changes nothing but time.
 CACHE = 500_000
-#: Plain words that go to the tokenizer as one text, and bytes of text whose words are looked up together.
-JOINED = 256
+#: Bytes of text whose words are looked up together.
 STRIP = 1_000_000
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 1000
 
 _MARKS = (b".", b",")
+#: The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = dict(zip(sorted(set(range(256)) - _PRINTABLE), range(256, 512), strict=False))
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -61,39 +63,34 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Tokens that end a unit carry the vocabulary's mark.
-        tokens = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(tokens.values()) + 1, bool)
-        self.last[[i for token, i in tokens.items() if token.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word. Words of Latin letters are one unit of the tokenizer each, so many go in as one text."""
-        texts = [w.decode() for w in words]
-        plain = [i for i, t in enumerate(texts) if t.isalpha() and (t.isascii() or max(t) < "\u0100")]
-        joined = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
-        found = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part]) for part in joined], add_special_tokens=False)
-        out = [b""] * len(words)
-        rest = set(range(len(words))).difference(plain)
-        for part, x in zip(joined, found, strict=True):
-            ids = np.array(x.ids, dtype="<u4")
-            data, ends = ids.tobytes(), ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
-            if len(ends) == len(part):
-                for i, start, end in zip(part, [0, *ends], ends, strict=False):
-                    out[i] = data[start:end]
+        """Ids of each word.
+
+        A word of Latin letters is one unit that normalising only lower-cases, so it goes to the vocabulary's model at once.
+        """
+        split = self.tokenizer.model.tokenize
+        flat, ends, rest = [], [], []
+        for i, word in enumerate(words):
+            text = word.decode()
+            if text.isalpha() and (text.isascii() or max(text) < "\u0100"):
+                flat += [token.id for token in split(text.lower().encode().decode("latin-1").translate(_BYTES))]
             else:
-                rest.update(part)
-        alone = sorted(rest)
-        for i, x in zip(alone, self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False), strict=True):
+                rest.append(i)
+            ends.append(len(flat) * 4)
+        data = np.array(flat, dtype="<u4").tobytes()
+        out = [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i, x in zip(rest, self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False), strict=True):
             out[i] = np.array(x.ids, dtype="<u4").tobytes()
         return out
 
     def _learn(self, words: set[bytes]) -> None:
         """Ids of words not met lately. A full stop or comma after a plain letter is a token of its own."""
         young, old = self.young, self.old
-        marked = [w for w in words if w.endswith(_MARKS) and len(w) > 1 and 97 <= w[-2] <= 122]
+        marked = [w for w in words if w.endswith(_MARKS) and len(w) > 1 and (97 <= w[-2] <= 122 or _latin_end(w))]
         cores = {w[:-1] for w in marked}
         new = list(words.difference(marked).union(cores.difference(young, old)))
         young.update(zip(new, self._encode(new), strict=True))
@@ -134,6 +131,11 @@ def strips(texts: list[bytes]) -> list[list[bytes]]:
     return out
 
 
+def _latin_end(word: bytes) -> bool:
+    """Whether a Latin letter beyond ASCII stands before the last byte."""
+    return len(word) > 2 and word[-3] == 0xC3 and word[-2] >= 0x80 and word[-2] not in (0x97, 0xB7)
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and vocabulary."""
     if path not in _ENCODERS:
