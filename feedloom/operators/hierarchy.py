@@ -153,7 +153,7 @@ def roster_hierarchy(
     trimmed = [blank_to_null(c).alias(c) for c in levels]
     chain = F.to_json(F.array(*levels)).alias("chain")
     keyed = policies.select(row_id, *trimmed).select(row_id, chain)
-    chains = policies.select(*trimmed).distinct().select(chain, *levels)
+    chains = cut(policies.select(*trimmed).distinct().select(chain, *levels))
 
     matched = lookup_join(
         unpivot_levels(chains, ["chain"], levels), roster_seeds(roster, carrier_pattern), ["writing_number"], "inner"
@@ -229,7 +229,7 @@ def self_hierarchy(
     }))
     seeds = seeds.filter(F.col("upline_code").isNotNull() & ~F.col("upline_code").eqNullSafe(F.col("own_code")))
     started = lookup_join(
-        _with_upline_step(seeds, agents),
+        cut(_with_upline_step(seeds, agents)),
         above.select(F.col("id").alias("upline_code"), F.col("path").alias("_above")), ["upline_code"],
     )
     path = F.concat(F.array("step"), F.coalesce("_above", F.array().cast(above.schema["path"].dataType)))
