@@ -246,11 +246,19 @@ def further_spans(text: str, spans: list[Span], field: Field) -> list[Span]:
 
 
 def train(docs: DataFrame) -> Field:
-    rows = texts(docs).where(F.col("text").rlike("[0-9@]")).withColumn("order", F.xxhash64("doc_id", F.lit("private")))
-    rows = rows.orderBy("order", "doc_id", "text").limit(SAMPLE)
-    upto = Window.orderBy("order", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("upto", F.sum(F.octet_length("text").cast("long")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES)
-    return fit(rows.select("text").toArrow().column("text").to_pylist())
+    """Fitted on the documents with the smallest hashes of id and text; equal rows count once.
+
+    The hashes decide first, so only texts of the sample travel.
+    """
+    rows = texts(docs).withColumn("order", F.xxhash64("doc_id", "text", F.lit("private")))
+    found = rows.where(F.col("text").rlike("[0-9@]"))
+    last = found.select("order").distinct().orderBy("order").limit(SAMPLE).agg(F.max("order")).first()[0]
+    if last is None:
+        return fit([])
+    chosen = found.where(F.col("order") <= last).groupBy("order").agg(F.min("text").alias("text"))
+    upto = Window.orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = chosen.withColumn("upto", F.sum(F.octet_length("text").cast("long")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES)
+    return fit(chosen.orderBy("order").select("text").toArrow().column("text").to_pylist())
 
 
 def written(spans: list[Span]) -> str:

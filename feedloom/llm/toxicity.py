@@ -14,7 +14,7 @@ these at most ``SAMPLE_BYTES`` of text: the bound on what one task learns from.
 
 Defined results: a null or empty text is one empty window, whose score is the softmax of the bias alone, held at most at
 the share of toxic rows in the sample. A label that is null, or contradicts another label of the same document, counts as the larger
-one. Without labelled rows every score is 0. Repeated rows get equal scores. Other columns pass through
+one. Of labelled rows that share an id the least text is learned from. Without labelled rows every score is 0. Repeated rows get equal scores. Other columns pass through
 ``keep_clean`` unchanged.
 """
 
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = marks.where(F.col("doc_id").isNotNull()).where(fold(F.col("doc_id"), FOLDS) != 0)
     share = [chosen.where(F.col("toxic") > 0), chosen.where(F.col("toxic") <= 0)]
     chosen = share[0].orderBy(order).limit(SAMPLE // 2).unionByName(share[1].orderBy(order).limit(SAMPLE // 2))
-    found = rows.join(F.broadcast(chosen), "doc_id").withColumn("order", order)
+    found = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("order", order)
     upto = Window.partitionBy("toxic").orderBy("order", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("upto", F.sum(F.octet_length("text")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES // 2)
 
