@@ -40,9 +40,10 @@ from feedloom.session import cut
 #: Context bytes of a gram.
 DEPTH = 6
 END = b"\n"
-#: Text bytes of a block, buckets (of grams, and of words), arrays merged at once, and bytes asked of a model at once.
+#: Text bytes of a block, least and most buckets (of grams, and of words), arrays merged at once, and bytes asked of a model at once.
 BLOCK_BYTES = 24_000_000
 BUCKETS = 64
+MOST_BUCKETS = 4096
 FAN_IN = 256
 ASKED = 64_000_000
 FOLDS = 5
@@ -400,9 +401,13 @@ def answered(parts: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
     return groups.applyInArrow(run, "block long, kind int, keys binary, values binary")
 
 
-def scored(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def scored(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    The number of buckets follows the text; it changes where models lie, not what they say.
+    """
     rows, blocks = dealt(docs)
+    buckets = buckets or min(MOST_BUCKETS, max(BUCKETS, blocks // 8))
     parts = model_parts(rows, blocks, buckets)
     model = merged(parts, blocks)
     totals = model.where(F.col("bucket") >= buckets).mapInArrow(_totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
