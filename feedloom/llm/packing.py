@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import os
+import string
 import zlib
 from bisect import bisect_left, insort
 
@@ -43,7 +44,8 @@ STRIP = 1_000_000
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 1000
 
-_MARKS = (b".", b",")
+#: ASCII marks, neither letters, digits nor white space.
+_MARKS = string.punctuation.encode()
 #: The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = dict(zip(sorted(set(range(256)) - _PRINTABLE), range(256, 512), strict=False))
@@ -65,7 +67,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word.
@@ -75,9 +76,10 @@ class Encoder:
         split = self.tokenizer.model.tokenize
         flat, ends, rest = [], [], []
         for i, word in enumerate(words):
-            text = word.decode()
-            if text.isalpha() and (text.isascii() or max(text) < "\u0100"):
-                flat += [token.id for token in split(text.lower().encode().decode("latin-1").translate(_BYTES))]
+            if word.isalpha():
+                flat += [token.id for token in split(word.lower().decode())]
+            elif _latin(word):
+                flat += [token.id for token in split(word.decode().lower().encode().decode("latin-1").translate(_BYTES))]
             else:
                 rest.append(i)
             ends.append(len(flat) * 4)
@@ -88,17 +90,23 @@ class Encoder:
         return out
 
     def _learn(self, words: set[bytes]) -> None:
-        """Ids of words not met lately. A full stop or comma after a plain letter is a token of its own."""
+        """Ids of words not met lately. A run of marks after Latin letters is a unit of its own."""
         young, old = self.young, self.old
-        marked = [w for w in words if w.endswith(_MARKS) and len(w) > 1 and (97 <= w[-2] <= 122 or _latin_end(w))]
-        cores = {w[:-1] for w in marked}
-        new = list(words.difference(marked).union(cores.difference(young, old)))
+        marked, whole = [], []
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if core and len(core) < len(w) and _latin(core):
+                marked.append((w, core, w[len(core):]))
+            else:
+                whole.append(w)
+        parts = {p for _, core, marks in marked for p in (core, marks)}
+        new = list(parts.difference(young).union(whole))
+        learned = parts.intersection(old)
+        young.update([(p, old[p]) for p in learned])
+        new = [p for p in new if p not in learned]
         young.update(zip(new, self._encode(new), strict=True))
-        for w in marked:
-            core = w[:-1]
-            if core not in young:
-                young[core] = old[core]
-            young[w] = young[core] + self.marks[w[-1:]]
+        for w, core, marks in marked:
+            young[w] = young[core] + young[marks]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without an end token."""
@@ -131,9 +139,12 @@ def strips(texts: list[bytes]) -> list[list[bytes]]:
     return out
 
 
-def _latin_end(word: bytes) -> bool:
-    """Whether a Latin letter beyond ASCII stands before the last byte."""
-    return len(word) > 2 and word[-3] == 0xC3 and word[-2] >= 0x80 and word[-2] not in (0x97, 0xB7)
+def _latin(word: bytes) -> bool:
+    """Whether the word is all Latin letters."""
+    if word.isalpha() or word.isascii():
+        return word.isalpha()
+    text = word.decode()
+    return text.isalpha() and max(text) < "\u0100"
 
 
 def encoder(path: str) -> Encoder:
