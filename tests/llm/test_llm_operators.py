@@ -194,7 +194,9 @@ def test_packing_round_trip(odd, none):
 def test_words_give_the_tokenizers_ids():
     text = "Don't STOP. it's <|endoftext|>x, 12.5% naïve… İstanbul now é a,b c.. d., \x1f! l'été. ..."
     work, whole = packing.encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
-    for t in (text, text.replace("<|", "<"), "", " \n", "Plain words only, here."):
+    rng = np.random.default_rng(4)
+    mixed = ["".join(rng.choice(list("aZé.,'s<|>&1 \nńßİ~`^_-€x"), 60)) for _ in range(300)]
+    for t in (text, text.replace("<|", "<"), "", " \n", "Plain words only, here.", "x<|endoftext|>. <|startoftext|>&&", "a's, b'll! 'tis 'S.", *mixed):
         assert np.frombuffer(work.ids([t.encode()])[0], "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
