@@ -48,6 +48,7 @@ def ancestor_paths(nodes: DataFrame, max_steps: int | None = None) -> DataFrame:
     parent, before the first repeat on a cycle, or once it is ``max_steps`` long.
     """
     state = cut(nodes.select("id", F.array("step").alias("path"), F.col("parent_id").alias("reach")))
+    number = state.count()
     while True:
         walking = F.col("reach").isNotNull()
         if max_steps:
@@ -58,7 +59,7 @@ def ancestor_paths(nodes: DataFrame, max_steps: int | None = None) -> DataFrame:
         onward = state.select(
             F.col("id").alias("reach"), F.col("path").alias("_more"), F.col("reach").alias("_onward")
         )
-        grown = lookup_join(open_ends, onward, ["reach"])
+        grown = lookup_join(open_ends, onward, ["reach"], at_most=number)
         path = F.when(F.col("_more").isNull(), F.col("path")).otherwise(F.concat("path", "_more"))
         grown = grown.select("id", path.alias("path"), F.col("_onward").alias("reach"))
         grown = grown.withColumn("_clean", until_repeat(F.col("path"), ids_of(F.col("path")))).select(
@@ -150,20 +151,22 @@ def roster_hierarchy(
     Policies are first reduced to their distinct level chains, since agents write many
     policies; only the chains are unpivoted and matched.
     """
+    number = policies.count()
     trimmed = [blank_to_null(c).alias(c) for c in levels]
     chain = F.to_json(F.array(*levels)).alias("chain")
     keyed = policies.select(row_id, *trimmed).select(row_id, chain)
     chains = cut(policies.select(*trimmed).distinct().select(chain, *levels))
 
     matched = lookup_join(
-        unpivot_levels(chains, ["chain"], levels), roster_seeds(roster, carrier_pattern), ["writing_number"], "inner"
+        unpivot_levels(chains, ["chain"], levels), roster_seeds(roster, carrier_pattern), ["writing_number"], "inner",
+        at_most=number * len(levels),
     )
     deepest = cut(matched.groupBy("chain").agg(F.max_by("seed", "level_number").alias("id")))
     paths = ancestor_paths(roster_nodes(roster))
-    resolved = lookup_join(deepest, paths, ["id"], "inner").select(
+    resolved = lookup_join(deepest, paths, ["id"], "inner", number).select(
         "chain", hierarchy_json(F.col("path")).alias("roster_hierarchy_json")
     )
-    return lookup_join(keyed, resolved, ["chain"], "inner").select(row_id, "roster_hierarchy_json")
+    return lookup_join(keyed, resolved, ["chain"], "inner", number).select(row_id, "roster_hierarchy_json")
 
 
 # ------------------------------------------------------- self-derived hierarchy
@@ -182,11 +185,11 @@ def newest_agents(rows: DataFrame, seen: str, row_id: str) -> DataFrame:
     )
 
 
-def _with_upline_step(rows: DataFrame, agents: DataFrame) -> DataFrame:
+def _with_upline_step(rows: DataFrame, agents: DataFrame, at_most: int) -> DataFrame:
     """Add the step to the row's upline: name of that agent, else the parsed name,
     else the bare code."""
     names = agents.select(F.col("agt_code").alias("upline_code"), "agent_name")
-    named = lookup_join(rows, names, ["upline_code"])
+    named = lookup_join(rows, names, ["upline_code"], at_most=at_most)
     return named.withColumn(
         "step",
         F.struct(
@@ -209,6 +212,7 @@ def self_hierarchy(
     The graph comes from the rows themselves. A walk never returns to the policy's own
     agent nor to anyone already listed.
     """
+    number = rows.count()
     newest = top_per_key(
         rows.select(*version_keys, "upline", seen, row_id),
         version_keys, [F.col(seen).desc_nulls_first(), F.col(row_id).desc()],
@@ -216,7 +220,7 @@ def self_hierarchy(
     agents = cut(newest_agents(rows, seen, row_id))
 
     # Each agent with an upline is a node whose step is the person above.
-    edges = _with_upline_step(agents.filter("upline_code IS NOT NULL").drop("agent_name"), agents)
+    edges = _with_upline_step(agents.filter("upline_code IS NOT NULL").drop("agent_name"), agents, number)
     above = ancestor_paths(
         edges.select(F.col("agt_code").alias("id"), F.col("upline_code").alias("parent_id"), "step"), max_people
     )
@@ -229,8 +233,8 @@ def self_hierarchy(
     }))
     seeds = seeds.filter(F.col("upline_code").isNotNull() & ~F.col("upline_code").eqNullSafe(F.col("own_code")))
     started = lookup_join(
-        cut(_with_upline_step(seeds, agents)),
-        above.select(F.col("id").alias("upline_code"), F.col("path").alias("_above")), ["upline_code"],
+        cut(_with_upline_step(seeds, agents, number)),
+        above.select(F.col("id").alias("upline_code"), F.col("path").alias("_above")), ["upline_code"], at_most=number,
     )
     path = F.concat(F.array("step"), F.coalesce("_above", F.array().cast(above.schema["path"].dataType)))
     started = started.withColumn("path", path)
@@ -238,6 +242,6 @@ def self_hierarchy(
     simple = until_repeat(F.col("path"), visited)
     started = started.withColumn("path", F.slice(simple, 1, max_people) if max_people else simple)
     resolved = started.select("origin", hierarchy_json(F.col("path"), F.lit(True)).alias("roster_hierarchy_json"))
-    return lookup_join(policies.select(row_id, "origin"), resolved, ["origin"], "inner").select(
+    return lookup_join(policies.select(row_id, "origin"), resolved, ["origin"], "inner", number).select(
         row_id, "roster_hierarchy_json"
     )

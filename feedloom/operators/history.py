@@ -136,8 +136,8 @@ def _scan(rows: DataFrame, spec: HistorySpec, seeded: bool, ranged: bool) -> Dat
     return rows.select(spec.row_id, *result, *kept)
 
 
-def _history(rows: DataFrame, spec: HistorySpec, seeded: bool) -> DataFrame:
-    hot = hot_keys(rows.select(*spec.key), spec.key)
+def _history(rows: DataFrame, spec: HistorySpec, seeded: bool, at_most: int | None) -> DataFrame:
+    hot = hot_keys(rows.select(*spec.key), spec.key, at_most)
     if hot is None:
         return _scan(rows, spec, seeded, ranged=False)
     ordinary, frequent = split_hot(rows, hot, spec.key)
@@ -147,9 +147,9 @@ def _history(rows: DataFrame, spec: HistorySpec, seeded: bool) -> DataFrame:
     )
 
 
-def change_history(typed: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Full rebuild: one row per observation."""
-    return _history(typed.select(*spec.inputs), spec, seeded=False)
+def change_history(typed: DataFrame, spec: HistorySpec, at_most: int | None = None) -> DataFrame:
+    """Full rebuild: one row per observation. ``at_most`` is a number of rows known not to be exceeded."""
+    return _history(typed.select(*spec.inputs), spec, seeded=False, at_most=at_most)
 
 
 def pending_rows(typed: DataFrame, history: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -185,7 +185,7 @@ def advanced_tails(stored: DataFrame, pending: DataFrame, added: DataFrame, spec
     return newest_tails(stored.unionByName(fresh.select(*stored.columns)), spec)
 
 
-def extend_history(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> DataFrame:
+def extend_history(pending: DataFrame, past: DataFrame, spec: HistorySpec, at_most: int | None = None) -> DataFrame:
     """History rows of the pending observations, each key seeded by its tail.
 
     Keys whose pending rows are not all later than their tail must be recomputed
@@ -201,7 +201,7 @@ def extend_history(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> Da
     rows = seeds.withColumns(known).select(*spec.inputs, *known, F.lit(True).alias("_is_seed")).unionByName(
         pending.withColumns(blank).select(*spec.inputs, *blank, F.lit(False).alias("_is_seed"))
     )
-    return _history(rows, spec, seeded=True).filter(~F.col("_is_seed")).drop("_is_seed")
+    return _history(rows, spec, seeded=True, at_most=at_most).filter(~F.col("_is_seed")).drop("_is_seed")
 
 
 def late_keys(pending: DataFrame, past: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -275,14 +275,15 @@ def refreshed_history(
     their tails. ``pending`` and ``past`` are derived when not at hand.
     """
     observed = typed.select(*spec.inputs)
+    number = observed.count()
     pending = cut(pending_rows(observed, history, spec)) if pending is None else pending
     past = cut(tails(observed, history, spec)) if past is None else past
     late = cut(late_keys(pending, past, spec).select(*spec.key))
-    rebuilt = change_history(null_safe_join(observed, late, spec.key, "left_semi"), spec)
+    rebuilt = change_history(null_safe_join(observed, late, spec.key, "left_semi"), spec, number)
     in_order = null_safe_join(pending.select(*spec.inputs), late, spec.key, "left_anti")
     return (
         without_keys(history, observed, late, spec).select(*spec.output)
-        .unionByName(rebuilt).unionByName(extend_history(in_order, past, spec))
+        .unionByName(rebuilt).unionByName(extend_history(in_order, past, spec, 2 * number))
     )
 
 

@@ -70,14 +70,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(right, condition, how).drop(*renamed.values())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: Sequence[str], at_most: int | None = None) -> DataFrame | None:
     """The keys too large for one task with their row counts, stored, or None.
 
     An input of no more rows than one key may hold has no such key, which a plain count
-    settles. There are at most (rows / ``feedloom.hotRows``) of them, and none reaches the driver.
+    settles, or ``at_most``, a number of rows that the caller knows not to be exceeded. There are at most (rows / ``feedloom.hotRows``) of them, and none reaches the driver.
     """
     limit = setting(df.sparkSession, *HOT_ROWS)
-    if df.count() <= limit:
+    if at_most is not None and at_most <= limit or df.count() <= limit:
         return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
     hot = cut(counted.filter(F.col("key_rows") > limit))
@@ -92,7 +92,9 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataF
 
 # ------------------------------------------------------------------ lookups
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", at_most: int | None = None
+) -> DataFrame:
     """Join rows to a lookup that is unique on ``keys``; NULL keys match nothing.
 
     ``how`` is ``left`` or ``inner``. Hot keys meet their own lookup rows only, one per
@@ -102,7 +104,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
     known = rows
     for k in keys:
         known = known.filter(F.col(k).isNotNull())
-    hot = hot_keys(rows.select(*keys), keys)
+    hot = hot_keys(known.select(*keys), keys, at_most)
     if hot is None:
         return rows.join(lookup, keys, how)
     ordinary, frequent = split_hot(rows, hot, keys)
