@@ -262,18 +262,11 @@ def deal(blocks: DataFrame, shards: int = SHARDS) -> DataFrame:
     ).select("source", "block", "shard")
 
 
-def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mixed rows: the columns of ``docs`` once for each copy taken, then mix_copy, mix_shard and mix_key.
-
-    Write it with ``repartition("mix_shard")`` and ``sortWithinPartitions("mix_shard", "mix_key")`` for shards that
-    are shuffled locally. Columns of ``docs`` with those three names are replaced.
-    """
-    docs = docs.drop("mix_copy", "mix_shard", "mix_key")
-    rows = drawn(docs.withColumn("row", packed(docs)) if "row" not in docs.columns else docs.select("doc_id", "source", "text", packed(docs).alias("row")))
-    slim = rows.drop("row")
-    digits = max(2, math.ceil(math.log(max(1, slim.count()) / RANGE_ROWS + 1, 16)))
+def dealt_copies(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """(rid, mix_copy, mix_shard, mix_key): one row per copy of the ``drawn`` documents, dealt to its shard."""
+    digits = max(2, math.ceil(math.log(max(1, rows.count()) / RANGE_ROWS + 1, 16)))
     last = F.when(F.col("copies") > F.col("whole"), F.col("size")).otherwise(0)
-    slim = slim.withColumn("whole", F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size"))).cast("long"))
+    slim = rows.withColumn("whole", F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size"))).cast("long"))
     slim = running(slim.withColumn("slice", F.substring("draw", 1, digits)), last, "late")
     copies = slim.where("copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     start = F.when(F.col("mix_copy") < F.col("whole"), F.col("place") - F.col("size")).otherwise(F.col("late") - F.col("size"))
@@ -284,12 +277,25 @@ def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     dealt = deal(copies.groupBy("source").agg((F.max("block") + 1).alias("blocks")), shards)
     dealt = cut(dealt.select(F.col("source").alias("_source"), F.col("block").alias("_block"), F.col("shard").alias("mix_shard")))
     placed = copies.join(dealt, copies["source"].eqNullSafe(dealt["_source"]) & (copies["block"] == dealt["_block"]))
-    placed = placed.select("rid", "mix_copy", "mix_shard", F.xxhash64(F.lit(SEED), "draw", "mix_copy", "rid").alias("mix_key"))
+    return placed.select("rid", "mix_copy", "mix_shard", F.xxhash64(F.lit(SEED), "draw", "mix_copy", "rid").alias("mix_key"))
+
+
+def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The mixed rows: the columns of ``docs`` once for each copy taken, then mix_copy, mix_shard and mix_key.
+
+    Write it with ``repartition("mix_shard")`` and ``sortWithinPartitions("mix_shard", "mix_key")`` for shards that
+    are shuffled locally. Columns of ``docs`` with those three names are replaced.
+    """
+    docs = docs.drop("mix_copy", "mix_shard", "mix_key")
+    rows = drawn(docs.withColumn("row", packed(docs)) if "row" not in docs.columns else docs.select("doc_id", "source", "text", packed(docs).alias("row")))
+    placed = dealt_copies(rows.drop("row"), shards)
     return rows.select("rid", "row").join(placed, "rid").select("row.*", "mix_copy", "mix_shard", "mix_key")
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
-    return drawn(docs.select("doc_id", "source", "text")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
+def mixed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, and taken: its words in the copies dealt to all shards."""
+    rows = drawn(docs.select("doc_id", "source", "text"))
+    dealt = dealt_copies(rows, shards).groupBy("rid").agg(F.count("*").alias("dealt"))
+    return rows.join(dealt, "rid", "left").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.coalesce("dealt", F.lit(0))).alias("taken"),
     )
