@@ -33,8 +33,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, dealt to shards and shuffled within them."""
-    mixed = mixing.mix(docs)
+    """Documents as often as the mix takes them, dealt to shards and shuffled within them.
+
+    A shard lies whole in one partition, so in one written file, its rows in the order of their keys.
+    """
+    mixed = mixing.mix(docs).repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_key")
     return mixed.select(*[mixed[f"`{c}`"] for c in docs.columns])
 
 

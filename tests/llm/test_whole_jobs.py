@@ -2,6 +2,9 @@
 
 from collections import Counter
 
+import corpus_pipeline
+from pyspark.sql import functions as F
+
 from feedloom.llm import mixing
 
 
@@ -21,3 +24,21 @@ def test_taken_words_are_those_of_the_dealt_copies(spark, monkeypatch):
     deal = mixing.deal
     monkeypatch.setattr(mixing, "deal", lambda *args: deal(*args).where("shard = 0"))
     assert {r.doc_id: r.taken for r in mixing.mixed(docs, 4).collect()} == {i: n * one[i] for i, n in size.items()}
+
+
+def test_mixed_stage_is_written_shard_by_shard_in_the_order_of_its_keys(spark):
+    docs = many(spark)
+    shards = {}
+    for r in sorted(mixing.mix(docs).collect(), key=lambda r: (r.mix_shard, r.mix_key)):
+        shards.setdefault(r.mix_shard, []).append(r.doc_id)
+    assert len(shards) == mixing.SHARDS
+    files = {}
+    stored = corpus_pipeline.cut(corpus_pipeline.mix_sources(spark, docs, ""))
+    for r in stored.select("doc_id", F.input_file_name().alias("file"), F.expr("_metadata.row_index").alias("at")).orderBy("file", "at").collect():
+        files.setdefault(r.file, []).append(r.doc_id)
+    left = dict(shards)
+    for ids in files.values():
+        while ids:
+            shard = next(k for k in sorted(left) if ids[:len(left[k])] == left[k])
+            ids = ids[len(left.pop(shard)):]
+    assert not left and stored.columns == docs.columns
