@@ -1,6 +1,7 @@
 """License scans: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies them.
 
-Words are compared in lower case without outer punctuation. Templates of five words and more are compared in shingles of five; a shorter
+Words are compared in lower case without outer punctuation; words of ASCII marks only, such as the comment signs before each line of a
+file header, are left out of templates and documents alike. Templates of five words and more are compared in shingles of five; a shorter
 template is one shingle of all its words. Templates are classed by length, doubling; for each class a document is cut into windows of
 twice the class's length that overlap by half, so each occurrence lies whole in some window.
 
@@ -67,11 +68,12 @@ NOTICES = {
 
 _EDGE = b".,;:!?\"'()[]{}<>*#/"
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_MARKS = re.compile(rb"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Hashes:
-    """64-bit numbers of words, equal for words that differ in case or outer punctuation only."""
+    """64-bit numbers of words, equal for words that differ in case or outer punctuation only; 0 for words of marks only."""
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -80,9 +82,15 @@ class Hashes:
         if len(self.known) > CACHE:
             self.known.clear()
         for w in set(words).difference(self.known):
-            self.known[w] = xxhash.xxh64_intdigest(w.lower().strip(_EDGE))
+            self.known[w] = 0 if _MARKS.fullmatch(w) else xxhash.xxh64_intdigest(w.lower().strip(_EDGE))
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
+    def kept(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of a text's words without those of marks only, and their places among all its words."""
+        numbers = self.of(_WORD.findall(text))
+        places = np.flatnonzero(numbers)
+        return numbers[places], places
+
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """One number for each run of ``size`` words."""
@@ -127,7 +135,7 @@ def prepared(templates: dict[str, str], bands: int = BANDS, contained: float = C
     groups: dict[tuple[int, int], list[tuple[str, np.ndarray]]] = {}
     hashes = Hashes()
     for name, text in templates.items():
-        words = hashes.of(_WORD.findall(text.encode()))
+        words = hashes.kept(text.encode())[0]
         if len(words):
             size = min(SHINGLE, len(words))
             parts = np.unique(shingles(words, size))
@@ -143,8 +151,8 @@ def prepared(templates: dict[str, str], bands: int = BANDS, contained: float = C
     return out
 
 
-def matches(words: np.ndarray, classes: list[Class]) -> list[tuple[str, float, int, int]]:
-    """(template, containment, first word, end word) of all matches of a document's word numbers."""
+def matches(words: np.ndarray, places: np.ndarray, classes: list[Class]) -> list[tuple[str, float, int, int]]:
+    """(template, containment, first word, end word) of all matches of a document's word numbers and their places."""
     out = []
     for c in classes:
         parts = shingles(words, c.size)
@@ -181,7 +189,7 @@ def matches(words: np.ndarray, classes: list[Class]) -> list[tuple[str, float, i
                     merged[-1] = (merged[-1][0], max(b, merged[-1][1]), max(share, merged[-1][2]))
                 else:
                     merged.append((a, b, share))
-            out += [(c.names[t], share, a, b) for a, b, share in merged]
+            out += [(c.names[t], share, int(places[a]), int(places[b - 1]) + 1) for a, b, share in merged]
     return sorted(out, key=lambda m: (m[2], m[0]))
 
 
@@ -198,7 +206,7 @@ def scanned(docs: DataFrame, templates: dict[str, str] = NOTICES, bands: int = B
         for batch in batches:
             rows = []
             for i, text in enumerate(as_bytes(batch.column("text"))):
-                rows += [(i, *m) for m in matches(hashes.of(_WORD.findall(text)), sent.value)]
+                rows += [(i, *m) for m in matches(*hashes.kept(text), sent.value)]
             columns = [list(x) for x in zip(*rows, strict=True)] if rows else [[]] * 5
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -3,9 +3,10 @@
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing
+from feedloom.llm import licenses, mixing
 
 
 def many(spark):
@@ -42,3 +43,14 @@ def test_mixed_stage_is_written_shard_by_shard_in_the_order_of_its_keys(spark):
             shard = next(k for k in sorted(left) if ids[:len(left[k])] == left[k])
             ids = ids[len(left.pop(shard)):]
     assert not left and stored.columns == docs.columns
+
+
+@pytest.mark.parametrize("mark", [" * ", "# ", "// ", "-- ", "% "])
+@pytest.mark.parametrize("name", ["MIT-grant", "GPL-header", "Apache-2.0-header", "BSD-conditions"])
+def test_commented_notices_are_found(mark, name):
+    words = licenses.NOTICES[name].split()
+    text = "/*\n" + "".join(f"{mark}{' '.join(words[i:i + 9])}\n" for i in range(0, len(words), 9)) + " */\nint x;"
+    hashes, all_words = licenses.Hashes(), text.split()
+    found = {m[0]: m for m in licenses.matches(*hashes.kept(text.encode()), licenses.prepared(licenses.NOTICES))}
+    _, share, first, end = found[name]
+    assert share == 1 and all_words[first] == words[0] and all_words[end - 1] == words[-1]
