@@ -13,7 +13,7 @@ candidates only where unrelated windows share shingles, which verification settl
 *Verification.* Of a retrieved pair, the exact share of the template's distinct shingles within the window is counted; at ``CONTAINED``
 or more it matches. A match runs from the first to the last shared shingle. Overlapping matches of a template become one.
 
-Templates are a bounded parameter, sent to the tasks; documents are read whole and stay where they are, so nothing is shuffled.
+Templates are a bounded parameter (``shipped`` for the registered query), sent to the tasks; documents are read whole and stay where they are, so nothing is shuffled.
 
 Defined results: a null or empty text has no matches, and a document without matches no row. Rows repeated are alike. A text shorter
 than a window is one window. An empty table, or no templates, gives an empty result. Other columns are ignored.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,22 @@ NOTICES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
+#: License texts, standard file headers and disclaimers, one file each, by name.
+TEXTS = Path(__file__).parent / "license_texts"
+#: Identifiers that follow "SPDX-License-Identifier:".
+SPDX = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0",
+    "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "EUPL-1.2", "GPL-2.0", "GPL-2.0+", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+    "ISC", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-2.0", "OFL-1.1", "PSF-2.0", "Unlicense", "WTFPL", "Zlib",
+)
+
+
+def shipped() -> dict[str, str]:
+    """The templates of the registered scan: the short notices, SPDX identifier lines and the files of ``TEXTS``."""
+    files = {p.stem: p.read_text("utf-8") for p in sorted(TEXTS.glob("*.txt"))}
+    return {**NOTICES, **{f"SPDX:{i}": f"SPDX-License-Identifier: {i}" for i in SPDX}, **files}
+
+
 _EDGE = b".,;:!?\"'()[]{}<>*#/"
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MARKS = re.compile(rb"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+")
@@ -119,7 +136,7 @@ def signature(parts: np.ndarray, starts: np.ndarray, bands: int = BANDS) -> np.n
 
 @dataclass
 class Class:
-    """Templates of one shingle size and length class: window length in shingles, and band values with their templates."""
+    """Templates of one shingle size and length class: window length in shingles, all their shingles in order, and band values with their templates."""
 
     size: int
     window: int
@@ -128,6 +145,7 @@ class Class:
     values: list[np.ndarray]
     owners: list[np.ndarray]
     least: list[int]
+    known: np.ndarray
 
 
 def prepared(templates: dict[str, str], bands: int = BANDS, contained: float = CONTAINED) -> list[Class]:
@@ -146,24 +164,27 @@ def prepared(templates: dict[str, str], bands: int = BANDS, contained: float = C
         order = [np.argsort(signs[:, b], kind="stable") for b in range(bands)]
         out.append(Class(
             size, 2 * length, [n for n, _ in rows], [p for _, p in rows], [signs[o, b] for b, o in enumerate(order)], order,
-            [int(np.ceil(contained * len(p))) for _, p in rows],
+            [int(np.ceil(contained * len(p))) for _, p in rows], np.unique(np.concatenate([p for _, p in rows])),
         ))
     return out
 
 
 def matches(words: np.ndarray, places: np.ndarray, classes: list[Class]) -> list[tuple[str, float, int, int]]:
     """(template, containment, first word, end word) of all matches of a document's word numbers and their places."""
-    out = []
+    out, by_size = [], {size: shingles(words, size) for size in {c.size for c in classes}}
     for c in classes:
-        parts = shingles(words, c.size)
+        parts = by_size[c.size]
         if not len(parts):
             continue
-        known = np.isin(parts, np.concatenate(c.sets))
+        known = c.known[np.minimum(np.searchsorted(c.known, parts), len(c.known) - 1)] == parts
         if not known.any():
             # No window shares a shingle with a template, so no band can collide.
             continue
         step = max(1, c.window // 2)
         starts = np.arange(0, max(1, len(parts) - step), step)
+        # A window with fewer shared shingles than the least that any template needs cannot be verified.
+        upto = np.r_[0, np.cumsum(known)]
+        starts = starts[upto[np.minimum(starts + c.window, len(parts))] - upto[starts] >= min(c.least)]
         spans: dict[int, list[tuple[int, int, float]]] = {}
         for at in range(0, len(starts), STRIP):
             some = starts[at:at + STRIP]

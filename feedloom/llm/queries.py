@@ -30,7 +30,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": toxicity_scores,
     "op3_line_frequency": lambda spark, sf_dir: linefreq.judged(table(spark, sf_dir, "documents")),
     "op4_source_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")),
-    "op5_license_scan": lambda spark, sf_dir: licenses.scanned(table(spark, sf_dir, "documents")),
+    "op5_license_scan": lambda spark, sf_dir: licenses.scanned(table(spark, sf_dir, "documents"), licenses.shipped()),
     "op6_tag_path_extraction": lambda spark, sf_dir: tagpaths.extracted(table(spark, sf_dir, "pages")),
     "op7_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), VOCABULARY),
     "op8_exact_dedup": lambda spark, sf_dir: heavydedup.assign(table(spark, sf_dir, "documents")),

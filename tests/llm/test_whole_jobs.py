@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm import licenses, mixing
+from feedloom.llm import licenses, mixing, queries
 
 
 def many(spark):
@@ -54,3 +54,17 @@ def test_commented_notices_are_found(mark, name):
     found = {m[0]: m for m in licenses.matches(*hashes.kept(text.encode()), licenses.prepared(licenses.NOTICES))}
     _, share, first, end = found[name]
     assert share == 1 and all_words[first] == words[0] and all_words[end - 1] == words[-1]
+
+
+def test_the_registered_scan_knows_headers_and_whole_texts(spark, tmp_path):
+    wanted = [
+        "LGPL-2.1-header", "AGPL-3.0-header", "MPL-2.0-header", "ISC-text", "CC0-1.0-header", "CC-BY-SA-4.0-header", "Unlicense-text", "BSD-disclaimer", "MIT-disclaimer",
+        "GPL-3.0-text", "Apache-2.0-text", "LGPL-2.1-text", "MPL-2.0-text",
+    ]
+    shipped = licenses.shipped()
+    rows = [(i, "before it " * 40 + "\n# ".join(shipped[name].splitlines()) + " and after" * 40) for i, name in enumerate(wanted)]
+    rows.append((len(rows), "// SPDX-License-Identifier: LGPL-2.1-or-later\nint x;"))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.template): r.containment for r in queries.RUNS["op5_license_scan"](spark, str(tmp_path)).collect()}
+    assert all(got[i, name] == 1 for i, name in enumerate([*wanted, "SPDX:LGPL-2.1-or-later"]))
+    assert len(licenses._WORD.findall(shipped["GPL-3.0-text"].encode())) > 5000
