@@ -3,12 +3,14 @@
 Patterns find the base spans: e-mail and IP addresses, card and phone numbers. The field then labels all tokens that have a
 digit or an at sign, with O or one of the four kinds. Potentials are a softmax over token features (unary), a table for
 neighbouring tokens (chain) and a table for distant tokens that repeat or resemble each other (skip): same text, same
-digits, or same last seven digits. A token inside a base span is observed. Loopy message passing then carries labels along
-both kinds of edges, so another writing of a number that is known elsewhere in the document gets its label; what is
+digits, or same last seven digits. A token inside a base span is observed; the last one of a card or phone number also has the keys of
+the number's joined digits, and so have unobserved neighbours that together write the number. Loopy message passing then carries labels along
+both kinds of edges until the messages stop changing, so another writing of a number that is known elsewhere in the document gets its label; what is
 labelled with enough certainty becomes a further span. Base spans always stay.
 
-All other tokens are O by definition and cut the chain, so a document without such tokens costs one scan. Each
-token is linked to the next one that shares a key, so edges grow with the text, not with the square of repeats.
+All other tokens are O by definition and cut the chain, so a document without such tokens costs one scan. A
+token that shares a key with observed ones is linked to the first of them of each label, so a label reaches all repeats at once; observed
+tokens among themselves, and those that share no observed key, are linked to the next one. Edges grow with the text, not with the square of repeats.
 
 Potentials are trained on the base spans of at most ``SAMPLE`` documents (the first by a hash of their id, and
 ``SAMPLE_BYTES`` of text): softmax regression for tokens, smoothed log ratios of pair counts for the tables.
@@ -38,11 +40,15 @@ LABELS = ("o", *KINDS)
 #: Documents, and bytes of their texts, that potentials are trained on at most.
 SAMPLE = 4000
 SAMPLE_BYTES = 16_000_000
-#: Rounds of message passing, part of a message kept from the round before, and certainty of a new span.
-ROUNDS = 12
+#: Change of a log message that counts as none, rounds after which messages that still swing are taken as they are, part of a message
+#: kept from the round before, and certainty of a new span.
+STILL = 1e-3
+ROUNDS = 1000
 DAMP = 0.3
 SURE = 0.8
 STEPS = 200
+#: Neighbouring tokens that may write one number together.
+RUN = 6
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -135,9 +141,34 @@ def tokenise(text: str, spans: list[Span]) -> Tokens:
     label = np.zeros(n, np.int64)
     for a, kind, b in spans:
         label[(start < b) & (end > a) & (label == 0)] = kind + 1
+    _join(text, spans, start, end, label, neighbour, keys)
     return Tokens(start, end, np.hstack([own, before, after, np.ones((n, 1))]) if n else np.zeros((0, 1)), keys, label, neighbour)
 
 
+def _join(text: str, spans: list[Span], start: np.ndarray, end: np.ndarray, label: np.ndarray, neighbour: np.ndarray, keys: list[set[str]]) -> None:
+    """Give numbers written over several tokens the keys of their joined digits."""
+    known: set[str] = set()
+    for a, kind, b in spans:
+        digits = "".join(c for c in text[a:b] if "0" <= c <= "9")
+        at = int(np.searchsorted(start, b)) - 1
+        if KINDS[kind] in ("card", "phone") and at >= 0:
+            keys[at] |= {f"d{digits}", f"s{digits[-7:]}"}
+            known.update(digits[i:] for i in range(len(digits) - 6))
+    if not known:
+        return
+    near = set(neighbour.tolist())
+    written = ["" if label[i] else "".join(c for c in text[start[i]:end[i]] if "0" <= c <= "9") for i in range(len(start))]
+    for i in range(len(start)):
+        joined = written[i]
+        for j in range(i + 1, min(i + RUN, len(start))):
+            if j - 1 not in near or not joined or not written[j] or len(joined) > 19:
+                break
+            joined += written[j]
+            if joined in known:
+                for k in range(i, j + 1):
+                    keys[k].add(f"s{joined[-7:]}")
+
+
 def _features(core: str, digits: str) -> list[float]:
     n, plain = len(digits), core.replace("-", "").replace(".", "")
     return [
@@ -148,14 +179,30 @@ def _features(core: str, digits: str) -> list[float]:
 
 
 def edges(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(from, to, type): neighbours (0) and next tokens that share a key (1), each once."""
+    """(from, to, type): neighbours (0) and tokens that share a key (1), each pair once."""
     pairs = {(int(i), int(i) + 1): 0 for i in tokens.neighbour}
-    last: dict[str, int] = {}
+    label = tokens.label.tolist()
+    hubs: dict[str, dict[int, int]] = {}
+    for i, keys in enumerate(tokens.keys):
+        if label[i]:
+            for key in keys:
+                hubs.setdefault(key, {}).setdefault(label[i], i)
+    last: dict[tuple[bool, str], int] = {}
     for i, keys in enumerate(tokens.keys):
-        for key in keys:
-            if key in last:
-                pairs.setdefault((last[key], i), 1)
-            last[key] = i
+        first: dict[int, int] = {}
+        if not label[i]:
+            for key in keys:
+                for kind, k in hubs.get(key, {}).items():
+                    first[kind] = min(k, first.get(kind, k))
+        for k in first.values():
+            if (min(i, k), max(i, k)) not in pairs:
+                pairs[min(i, k), max(i, k)] = 1
+        if not first:
+            for key in keys:
+                before = last.get((label[i] > 0, key))
+                if before is not None:
+                    pairs.setdefault((before, i), 1)
+                last[label[i] > 0, key] = i
     a, b = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
     return a, b, np.array(list(pairs.values()), np.int64)
 
@@ -218,7 +265,10 @@ def marginals(tokens: Tokens, field: Field) -> np.ndarray:
             top = full.max(axis=1, keepdims=True)
             new = (top + np.log(np.exp(full - top).sum(axis=1, keepdims=True)))[:, 0, :]
             new -= new.max(axis=1, keepdims=True)
+            change = np.abs(new - message).max()
             message = DAMP * message + (1 - DAMP) * new
+            if change < STILL:
+                break
         belief = unary.copy()
         np.add.at(belief, sink, message)
     chance = np.exp(belief - belief.max(axis=1, keepdims=True))

@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm import licenses, mixing, queries
+from feedloom.llm import licenses, mixing, queries, skipchain
 
 
 def many(spark):
@@ -68,3 +68,24 @@ def test_the_registered_scan_knows_headers_and_whole_texts(spark, tmp_path):
     got = {(r.doc_id, r.template): r.containment for r in queries.RUNS["op5_license_scan"](spark, str(tmp_path)).collect()}
     assert all(got[i, name] == 1 for i, name in enumerate([*wanted, "SPDX:LGPL-2.1-or-later"]))
     assert len(licenses._WORD.findall(shipped["GPL-3.0-text"].encode())) > 5000
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return skipchain.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+@pytest.mark.parametrize("number", ["+1 988 555 2485", "+1 (988) 555-2485"])
+@pytest.mark.parametrize("repeats", [1, 5, 40])
+@pytest.mark.parametrize("last", [False, True])
+def test_every_other_writing_of_a_number_is_found(field, number, repeats, last):
+    parts = [f"call {number} now. ", "then 988-555-2485 again, text. " * repeats]
+    text = "".join(reversed(parts) if last else parts)
+    base = skipchain.base_spans(text)
+    assert [text[a:b] for a, _, b in base] == [number]
+    assert [(text[a:b], k) for a, k, b in skipchain.further_spans(text, base, field)] == [("988-555-2485", 3)] * repeats
+
+
+def test_a_number_in_several_words_is_one_span(field):
+    text = "call +1 988 555 2485 now, then 988 555 2485 again, text. or 988 and 2485"
+    assert [text[a:b] for a, _, b in skipchain.further_spans(text, skipchain.base_spans(text), field)] == ["988 555 2485"]
