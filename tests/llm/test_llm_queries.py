@@ -23,6 +23,8 @@ COLUMNS = {
     "op7_best_fit_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
     "op9_private_spans": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
     "op10_simhash_near_dedup": {"doc_id", "fingerprint", "component_id"},
+    "op11_quality_discriminant": {"doc_id", "held_out", "score", "predicted"},
+    "op12_word_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
@@ -51,7 +53,7 @@ def test_other_queries_give_a_row_per_document(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {name.split("_")[0] for name in queries.RUNS} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.RUNS} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
