@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,18 @@ def rows_of(out: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
 
+def in_parts(batches: Batches, column: str, size: int = 4_000_000) -> Batches:
+    """The batches in parts of about ``size`` bytes of ``column``, so that what a task copies of them stays small."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(batch):
+            done = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def add_columns(schema: pa.Schema, work: Callable[[pa.RecordBatch], dict[str, list]]) -> Callable[[Batches], Batches]:
     """A function for mapInArrow that turns each batch into rows of ``schema``, one batch at a time."""
 

@@ -3,14 +3,17 @@
 A word is the bag of its character n-grams (with word-boundary marks) and of itself, all hashed into one table of
 vectors, so an unseen misspelling shares most of its vectors with the word it comes from. A window of words is the average of
 its words' bags (each word once), and a linear softmax over {clean, toxic} reads it. Vectors and softmax are trained together by
-gradient descent. First a document is one window; then it is cut into windows of ``WINDOW`` words and its most
-toxic window answers for it, so one insult in a long text is not averaged away.
+gradient descent. First all windows of a toxic document learn its label, then its two most toxic ones. The mean of the two most
+toxic windows, in logits, answers for a document: one insult in a long text is not averaged away over the text, but an
+insult that stands in one window only counts half, its neighbour the rest.
 
 The softmax is linear in the average, so after training each table row is reduced to one number and a word's
 number is the mean over its bag: the same scores without the vectors. Words' numbers are remembered per task.
 
 Fitting takes at most ``SAMPLE`` labelled documents, chosen by a hash of their id (toxic and clean ones up to half each), and of
-these at most ``SAMPLE_BYTES`` of text: the bound on what one task learns from. Scoring covers whole texts of all rows.
+these at most ``SAMPLE_BYTES`` of text: the bound on what one task learns from. Texts above ``SHORT_BYTES`` come last, the
+shorter first, so a long one never takes the place of others. A table row met in fewer than ``LEAST_DOCS`` documents of the sample counts
+nothing: a word of so few labelled documents is judged by its more frequent n-grams only. Scoring covers whole texts of all rows.
 
 Defined results: a null or empty text is one empty window, whose score is the softmax of the bias alone, held at most at
 the share of toxic rows in the sample. A label that is null, or contradicts another label of the same document, counts as the larger
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import Batches, as_bytes, fold
+from feedloom.llm.common import Batches, as_bytes, fold, in_parts
 
 #: Rows of the table of vectors, their width, and the n-gram lengths.
 BUCKETS = 1 << 17
@@ -43,6 +46,8 @@ TOXIC_PART = 0.4
 #: Labelled documents, and bytes of their texts, used for fitting at most.
 SAMPLE = 6_000
 SAMPLE_BYTES = 24_000_000
+#: Texts up to this size are taken in the order of the hash, longer ones after them.
+SHORT_BYTES = 100_000
 #: Gradient steps with all windows of toxic documents, then with the two most toxic ones of each.
 STEPS = (30, 70)
 #: Factor on a window's average, step size, and the gradient below which a row's steps shrink with its gradient: rare
@@ -55,7 +60,7 @@ LEAST_DOCS = 8
 #: Words whose n-grams are laid out at once in training.
 STRIP = 20_000
 #: Words that a worker remembers: those met lately, and as many from before. It changes nothing but time.
-CACHE = 300_000
+CACHE = 150_000
 FOLDS = 5
 #: Marks stripped from both ends of a word.
 EDGE = string.punctuation
@@ -244,8 +249,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     share = [chosen.where(F.col("toxic") > 0), chosen.where(F.col("toxic") <= 0)]
     chosen = share[0].orderBy(order).limit(SAMPLE // 2).unionByName(share[1].orderBy(order).limit(SAMPLE // 2))
     found = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("order", order)
-    upto = Window.partitionBy("toxic").orderBy("order", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
-    found = found.withColumn("upto", F.sum(F.octet_length("text")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES // 2)
+    size = F.octet_length("text")
+    upto = Window.partitionBy("toxic").orderBy(F.greatest(size, F.lit(SHORT_BYTES)), "order", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("upto", F.sum(size.cast("long")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES // 2)
 
     def learn(sample: pa.Table) -> pa.Table:
         sample = sample.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
@@ -266,7 +272,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         scorer = Scorer(sent.value)
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             score = pa.array([scorer.score(x) for x in as_bytes(batch.column("text"))], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score], names=schema.names)
 
@@ -281,7 +287,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         scorer = Scorer(sent.value)
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             yield batch.filter(pa.array([scorer.score(x) < 0.5 for x in as_bytes(batch.column("text"))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
