@@ -3,7 +3,7 @@
 1. *Targets.* Sources in code-point order (null last) weigh 5, 2, 1, 5, 2, 1, ... and share the words of all
    documents by weight; a target stops at ``MOST`` times its source's size and the excess goes to the others.
    That is one water level, found with running sums over the sources.
-2. *Draws.* A source's documents are put in a hashed order. Whole passes take every document; the last, partial
+2. *Draws.* A source's documents are put in the order of a hash of id and text. Whole passes take every document; the last, partial
    pass takes the leading documents of that order (a random subset), then fills what is left of the target
    with later documents that still fit, ``FILLS`` times, so a long document at the edge does not spoil it.
 3. *Blocks.* The drawn words of a source, laid end to end, are cut into blocks; the number of its blocks is its
@@ -14,8 +14,9 @@
    share a block. Rows carry a hashed ``shuffle_key`` that orders them within their shard.
 
 Only DataFrame and SQL functions are used. Every draw is a hash of ``SEED`` and stable names, so reruns agree.
-Running sums over a source go through sums of hash ranges: no task holds a whole source. The tree, the block
-map and the quotas are bounded by ``shards * BLOCKS_PER_SHARD`` and the number of sources.
+Running sums over a source go through sums of hash ranges: no task holds a whole source, and rows that are equal in id and text, however
+many, are cut up by their place in the table. The number of shards follows the words, so a shard's size does not; it is written as
+several ordered parts. The tree, the block map and the quotas are bounded by ``shards * BLOCKS_PER_SHARD`` and the number of sources.
 
 Defined results: null texts and texts without words have size 0; they are drawn when their place in the order
 is reached and add no words. Rows repeated with the same id are separate documents. A null doc_id hashes as
@@ -38,10 +39,17 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Rounds that fill the rest of a target with documents that still fit.
 FILLS = 3
+#: Shards: this many at least, and twice as many until none has more words; and the blocks of each.
 SHARDS = 16
+SHARD_WORDS = 1 << 25
 BLOCKS_PER_SHARD = 64
-#: Documents that one hash range of a source should have at most.
+#: Words of a part of a shard, which one task sorts and writes.
+PART_WORDS = 1 << 22
+#: Documents that one hash range of a source should have at most, and equal rows that are cut up themselves.
 RANGE_ROWS = 500
+EQUAL_ROWS = 2000
+#: Nodes of the splitting tree from which on its levels are computed by several tasks.
+WIDE = 1024
 #: Half width, in standard deviations, of the support that a hypergeometric draw inverts. What lies outside
 #: has a probability below the resolution of the 53-bit uniform number it is compared with.
 SPAN = 12
@@ -50,7 +58,7 @@ ORACLE_SQL = r"""
 WITH RECURSIVE sized AS (
     SELECT row_number() OVER () AS rid, doc_id, source,
            CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-           md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+           md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS draw
     FROM documents
 ), sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -148,31 +156,46 @@ def running(rows: DataFrame, value: Column, name: str) -> DataFrame:
     return joined.drop("_source", "_slice", "_before", "_value")
 
 
+def sliced(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``slice``: consecutive ranges of the drawing order, told by the first digits of the hash.
+
+    Many equal rows share a hash. Where there are, the whole hash names the slice, and their part of the table.
+    """
+    digits = max(2, math.ceil(math.log(max(1, rows.count()) / RANGE_ROWS + 1, 16)))
+    prefix = F.substring("draw", 1, digits)
+    equal = cut(rows.groupBy("draw").agg(F.count("*").alias("n")).where(F.col("n") > EQUAL_ROWS).select("draw"))
+    if equal.isEmpty():
+        return rows.withColumn("slice", prefix)
+    near = equal.select(F.substring("draw", 1, digits).alias("_near")).distinct()
+    rows = rows.join(equal.select(F.col("draw").alias("_equal")), F.col("draw") == F.col("_equal"), "left")
+    rows = rows.join(near, prefix == F.col("_near"), "left")
+    part = F.lpad(F.shiftright("rid", 33).cast("string"), 10, "0")
+    slice_ = F.when(F.col("_equal").isNotNull(), F.concat("draw", part)).when(F.col("_near").isNotNull(), F.col("draw")).otherwise(prefix)
+    return rows.withColumn("slice", slice_).drop("_equal", "_near")
+
+
 def drawn(docs: DataFrame) -> DataFrame:
     """Every document with its source's size and target, and ``copies``: how often the mix takes it.
 
     ``row`` holds the document itself if the caller put it there.
     """
     extra = [c for c in ("row",) if c in docs.columns]
+    named = F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
     sized = cut(docs.select(
         "doc_id", "source", size_of(F.col("text")).alias("size"), *extra,
-        F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("draw"),
-        F.monotonically_increasing_id().alias("rid"),
+        F.md5(named.cast("binary")).alias("draw"), F.monotonically_increasing_id().alias("rid"),
     ))
     small = sized.drop("row")
-    digits = max(2, math.ceil(math.log(max(1, small.count()) / RANGE_ROWS + 1, 16)))
     goals = cut(targets(small))
     named = goals.select(F.col("source").alias("_source"), "source_size", "target")
+    small = sliced(small)
     rows = small.join(named, small["source"].eqNullSafe(named["_source"])).drop("_source")
     passes = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size")))
-    rows = (
-        rows.withColumn("slice", F.substring("draw", 1, digits)).withColumn("passes", passes.cast("long"))
-        .withColumn("want", F.col("target") - F.col("passes") * F.col("source_size"))
-    )
+    rows = rows.withColumn("passes", passes.cast("long")).withColumn("want", F.col("target") - F.col("passes") * F.col("source_size"))
     rows = cut(running(rows, F.col("size"), "place").withColumn("picked", F.col("place") <= F.col("want")))
     for _ in range(FILLS):
         rows = cut(_filled(rows))
-    rows = rows.withColumn("copies", F.col("passes") + F.col("picked").cast("int")).drop("slice", "want", "picked", "passes")
+    rows = rows.withColumn("copies", F.col("passes") + F.col("picked").cast("int")).drop("want", "picked", "passes")
     if extra:
         rows = rows.join(sized.select("rid", "row"), "rid")
     return rows
@@ -217,7 +240,7 @@ def draw_sql(n: str, k: str, total: str, u: str) -> str:
             'got', coalesce(b.got, if(b.sum + b.w >= s.u * (s.above + s.below.sum - 1), i, null)))).got, s.hi))[0]"""
 
 
-def split(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
+def split(quotas: DataFrame, shards: int) -> DataFrame:
     """(shard, source, quota) from (source, blocks): the splitting tree, one level after the other.
 
     A node holds the quotas of all sources. Its left half gets half of the node's blocks: the sources are drawn
@@ -227,7 +250,9 @@ def split(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
         raise ValueError("the number of shards must be a power of two")
     nodes = quotas.groupBy().agg(F.array_sort(F.collect_list(F.struct("source", F.col("blocks").alias("q")))).alias("parts"))
     nodes = nodes.select(F.lit(1).cast("long").alias("node"), "parts")
-    for _ in range(shards.bit_length() - 1):
+    for level in range(shards.bit_length() - 1):
+        if 1 << level == WIDE:
+            nodes = nodes.repartition(WIDE, "node")
         nodes = _halved(nodes)
     return nodes.select((F.col("node") - shards).alias("shard"), F.explode("parts").alias("p")).select(
         "shard", "p.source", F.col("p.q").alias("quota"),
@@ -248,7 +273,7 @@ def _halved(nodes: DataFrame) -> DataFrame:
     return lefts.select(both.alias("side")).select("side.node", "side.parts")
 
 
-def deal(blocks: DataFrame, shards: int = SHARDS) -> DataFrame:
+def deal(blocks: DataFrame, shards: int) -> DataFrame:
     """(source, block, shard): each source's permuted blocks dealt to the shards by their quotas."""
     quotas = split(blocks, shards)
     upto = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
@@ -262,37 +287,63 @@ def deal(blocks: DataFrame, shards: int = SHARDS) -> DataFrame:
     ).select("source", "block", "shard")
 
 
-def dealt_copies(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(rid, mix_copy, mix_shard, mix_key): one row per copy of the ``drawn`` documents, dealt to its shard."""
-    digits = max(2, math.ceil(math.log(max(1, rows.count()) / RANGE_ROWS + 1, 16)))
+def shards_of(words: int) -> int:
+    """How many shards a mix of so many words has: a power of two."""
+    return max(SHARDS, 1 << max(0, math.ceil(words / SHARD_WORDS) - 1).bit_length())
+
+
+def dealt_copies(rows: DataFrame, shards: int | None = None) -> DataFrame:
+    """(rid, mix_copy, mix_shard, mix_part, mix_key): one row per copy of the ``drawn`` documents, dealt to its shard.
+
+    Keys order a shard; its parts are consecutive ranges of the keys, of about ``PART_WORDS`` words.
+    """
     last = F.when(F.col("copies") > F.col("whole"), F.col("size")).otherwise(0)
     slim = rows.withColumn("whole", F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size"))).cast("long"))
-    slim = running(slim.withColumn("slice", F.substring("draw", 1, digits)), last, "late")
+    slim = running(slim, last, "late")
     copies = slim.where("copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     start = F.when(F.col("mix_copy") < F.col("whole"), F.col("place") - F.col("size")).otherwise(F.col("late") - F.col("size"))
     copies = cut(copies.select("rid", "source", "draw", "mix_copy", "size", (F.col("mix_copy") * F.col("source_size") + start).alias("at")))
     words = copies.agg(F.sum("size")).first()[0] or 0
+    shards = shards or shards_of(words)
     long = max(1, math.ceil(words / (shards * BLOCKS_PER_SHARD)))
     copies = copies.withColumn("block", F.floor(F.col("at") / long))
     dealt = deal(copies.groupBy("source").agg((F.max("block") + 1).alias("blocks")), shards)
     dealt = cut(dealt.select(F.col("source").alias("_source"), F.col("block").alias("_block"), F.col("shard").alias("mix_shard")))
     placed = copies.join(dealt, copies["source"].eqNullSafe(dealt["_source"]) & (copies["block"] == dealt["_block"]))
-    return placed.select("rid", "mix_copy", "mix_shard", F.xxhash64(F.lit(SEED), "draw", "mix_copy", "rid").alias("mix_key"))
+    key = F.xxhash64(F.lit(SEED), "draw", "mix_copy", "rid")
+    parts = max(1, math.ceil(words / (shards * PART_WORDS)))
+    part = F.least(F.lit(parts - 1), F.floor((key / F.lit(2.0**64) + 0.5) * parts)).cast("int")
+    return placed.select("rid", "mix_copy", "mix_shard", part.alias("mix_part"), key.alias("mix_key"))
+
+
+def _placed(docs: DataFrame, shards: int | None) -> tuple[DataFrame, DataFrame]:
+    """(rid, row) of all documents, and the stored places of their copies."""
+    rows = drawn(docs.select("doc_id", "source", "text", packed(docs).alias("row")))
+    return rows.select("rid", "row"), cut(dealt_copies(rows.drop("row"), shards))
 
 
-def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mixed rows: the columns of ``docs`` once for each copy taken, then mix_copy, mix_shard and mix_key.
+PLACES = ("mix_copy", "mix_shard", "mix_part", "mix_key")
 
-    Write it with ``repartition("mix_shard")`` and ``sortWithinPartitions("mix_shard", "mix_key")`` for shards that
-    are shuffled locally. Columns of ``docs`` with those three names are replaced.
+
+def mix(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """The mixed rows: the columns of ``docs`` once for each copy taken, then mix_copy, mix_shard, mix_part and mix_key.
+
+    Columns of ``docs`` with those names are replaced.
     """
-    docs = docs.drop("mix_copy", "mix_shard", "mix_key")
-    rows = drawn(docs.withColumn("row", packed(docs)) if "row" not in docs.columns else docs.select("doc_id", "source", "text", packed(docs).alias("row")))
-    placed = dealt_copies(rows.drop("row"), shards)
-    return rows.select("rid", "row").join(placed, "rid").select("row.*", "mix_copy", "mix_shard", "mix_key")
+    rows, placed = _placed(docs.drop(*PLACES), shards)
+    return rows.join(placed, "rid").select("row.*", *PLACES)
+
+
+def shuffled(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """The columns of ``docs``, once for each copy taken: every part of a shard in a partition, in the order of its keys."""
+    rows, placed = _placed(docs, shards)
+    last = placed.agg(F.max("mix_shard").alias("shard"), F.max("mix_part").alias("part")).first()
+    files = (last["shard"] + 1) * (last["part"] + 1) if last["shard"] is not None else 1
+    rows = rows.join(placed, "rid").repartition(files, "mix_shard", "mix_part").sortWithinPartitions("mix_shard", "mix_part", "mix_key")
+    return rows.select("row.*")
 
 
-def mixed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def mixed(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, and taken: its words in the copies dealt to all shards."""
     rows = drawn(docs.select("doc_id", "source", "text"))
     dealt = dealt_copies(rows, shards).groupBy("rid").agg(F.count("*").alias("dealt"))
