@@ -5,6 +5,8 @@ marks, symbols and other bytes, words that are all capitals or bare marks, how o
 text compresses, and the entropy of its bytes. Counts are taken as logarithms and shares as square roots, which brings them nearer to
 normal; numbers that spread with the length of a text then do so less.
 
+Statistics are taken once, and only they travel: labels are joined to them, and scores read them, never the texts again.
+
 *Fitting.* A class is described by its number of documents, the sum of its vectors and the sum of their outer products. Those add
 up over tasks, so all labelled documents are learned from, whatever their number, and only a few hundred numbers come to the driver.
 Numbers are whole multiples of ``1 / UNIT`` and sums are exact integers: the order of tasks cannot change the model.
@@ -120,10 +122,11 @@ class Model:
     classes: tuple[Gaussian, Gaussian] | None
     fixed: float = 0.5
 
-    def score(self, texts: Sequence[bytes]) -> np.ndarray:
-        if self.classes is None or not len(texts):
-            return np.full(len(texts), self.fixed)
-        rows = vectors(texts) / UNIT
+    def score(self, rows: np.ndarray) -> np.ndarray:
+        """Scores of the rows of ``vectors``."""
+        if self.classes is None or not len(rows):
+            return np.full(len(rows), self.fixed)
+        rows = rows / UNIT
         low, high = self.classes
         logit = (high.log_density(rows) - low.log_density(rows)) / HEAT + high.prior - low.prior
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
@@ -165,42 +168,57 @@ def fit(sums: dict[int, tuple[int, list[int], list[list[int]]]]) -> Model:
     return Model((classes[0], classes[1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
-    """Fitted on all labelled documents outside the held-out fold; class sums are added up by Spark."""
+def described(docs: DataFrame) -> DataFrame:
+    """(doc_id, vector): the statistics of every whole text."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("vector", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            rows = vectors(as_bytes(batch.column("text"))).astype(np.int32)
+            held = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * len(NAMES), pa.array(rows.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), held], names=schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("vector").flatten().to_numpy().astype(np.int64).reshape(-1, len(NAMES))
+
+
+def train(rows: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
+    """Fitted on all labelled rows of ``described`` outside the held-out fold; class sums are added up by Spark."""
     marks = labels.select("doc_id", F.col(label).alias("mark")).where(F.col("doc_id").isNotNull() & F.col("mark").isNotNull())
     marks = marks.groupBy("doc_id").agg(F.min((F.col("mark") > 0).cast("int")).alias("mark"))
-    rows = docs.select("doc_id", "text").where(fold(F.col("doc_id"), FOLDS) != HELD).join(marks, "doc_id").select("mark", "text")
+    learned = rows.where(fold(F.col("doc_id"), FOLDS) != HELD).join(marks, "doc_id").select("mark", "vector")
     d = len(NAMES)
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("mark", "place", "value")])
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            marked = batch.column("mark").to_numpy()
-            found = vectors(as_bytes(batch.column("text")))
+            marked, found = batch.column("mark").to_numpy(), _rows(batch)
             for k in np.unique(marked):
                 x = found[marked == k]
                 value = np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
                 columns = [np.full(len(value), k, np.int64), np.arange(len(value)), value]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=schema.names)
 
-    added = rows.mapInArrow(run, schema).groupBy("mark", "place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
+    added = learned.mapInArrow(run, schema).groupBy("mark", "place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
     values: dict[int, list[int]] = {}
     for r in added.collect():  # two classes of 1 + d + d * d numbers
         values.setdefault(r["mark"], [0] * (1 + d + d * d))[r["place"]] = int(r["value"])
     return fit({k: (v[0], v[1:1 + d], [v[1 + d + i * d:1 + d + (i + 1) * d] for i in range(d)]) for k, v in values.items()})
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """One row per row of ``described``: doc_id, held_out, score, predicted."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())])
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            score = sent.value.score(as_bytes(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sent.value.score(_rows(batch)), pa.float64())], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema).select(
+    return rows.mapInArrow(run, schema).select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
@@ -211,6 +229,6 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            yield batch.filter(pa.array(sent.value.score(as_bytes(batch.column("text"))) >= THRESHOLD, pa.bool_()))
+            yield batch.filter(pa.array(sent.value.score(vectors(as_bytes(batch.column("text")))) >= THRESHOLD, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

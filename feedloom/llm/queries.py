@@ -11,6 +11,7 @@ from feedloom.llm import (
     ctw, discriminant, fptree, graysimhash, heavydedup, licenses, linefreq, mixing, packing, skipchain, tagpaths, toxicity, wordruns,
 )
 from feedloom.llm.common import table
+from feedloom.session import cut
 
 #: The public tokenizer vocabulary that documents are packed with.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -27,8 +28,8 @@ def private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return discriminant.scored(docs, discriminant.train(docs, table(spark, sf_dir, "labels")))
+    rows = cut(discriminant.described(table(spark, sf_dir, "documents")))
+    return discriminant.scored(rows, discriminant.train(rows, table(spark, sf_dir, "labels")))
 
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

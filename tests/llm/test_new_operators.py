@@ -228,14 +228,14 @@ def test_shrinkage_keeps_covariances_definite():
     sums = {k: (len(x), [int(v) for v in x.sum(axis=0)], [[int(v) for v in r] for r in x.T @ x]) for k, x in ((0, flat), (1, wide))}
     model = discriminant.fit(sums)
     assert all(np.isfinite(c.whiten).all() and math.isfinite(c.half_log_det) for c in model.classes)
-    assert 0 <= model.score([b""])[0] <= 1
+    assert 0 <= model.score(discriminant.vectors([b""]))[0] <= 1
 
 
 def test_discriminant_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
     good = docs.join(labels, "doc_id").select("doc_id", "text", "quality")
-    got = discriminant.scored(good, discriminant.train(docs, labels)).where("held_out")
+    got = discriminant.scored(discriminant.described(good), discriminant.train(discriminant.described(docs), labels)).where("held_out")
     got = got.join(labels, "doc_id").groupBy("quality").agg({"predicted": "avg", "*": "count"}).collect()
     share = {r["quality"]: r["avg(predicted)"] for r in got}
     assert share[1] > 0.98 and share[0] < 0.03
@@ -243,21 +243,22 @@ def test_discriminant_on_held_out_labels(spark):
 
 def test_discriminant_does_not_depend_on_partitions_or_order(spark):
     docs, labels = (spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("documents", "labels"))
-    one = discriminant.train(docs.coalesce(1), labels)
-    many = discriminant.train(docs.repartition(7), labels)
+    one = discriminant.train(discriminant.described(docs.coalesce(1)), labels)
+    many = discriminant.train(discriminant.described(docs).repartition(7), labels)
     assert all((a.whiten == b.whiten).all() and (a.mean == b.mean).all() for a, b in zip(one.classes, many.classes, strict=True))
 
 
 def test_discriminant_on_odd_and_empty_tables(spark, odd):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 1), (None, 1), (2, None), (77, 0), (6, 1)], "doc_id bigint, quality int")
-    model = discriminant.train(odd, labels)
-    got = discriminant.scored(odd, model).collect()
+    rows = discriminant.described(odd)
+    model = discriminant.train(rows, labels)
+    got = discriminant.scored(rows, model).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
     assert len({r.score for r in got if r.doc_id in (2, 3, 4)}) == 1
-    none = odd.where("doc_id = 999")
+    none = rows.where("doc_id = 999")
     assert discriminant.scored(none, model).count() == 0
-    for empty in (discriminant.train(none, labels), discriminant.train(odd, labels.where("doc_id = 999"))):
-        assert {r.score for r in discriminant.scored(odd, empty).collect()} == {0.5}
-    good = discriminant.train(odd, labels.where("doc_id = 6"))
+    for empty in (discriminant.train(none, labels), discriminant.train(rows, labels.where("doc_id = 999"))):
+        assert {r.score for r in discriminant.scored(rows, empty).collect()} == {0.5}
+    good = discriminant.train(rows, labels.where("doc_id = 6"))
     assert discriminant.keep_good(odd, good).count() == len(ODD) and discriminant.keep_good(odd, good).columns == odd.columns
     assert set(model.__dict__) == {"classes", "fixed"}
