@@ -4,7 +4,7 @@ Lines are normalised (lower case, digits as 0, white space as one space) and has
 document, a line's documents are counted: different texts, so that exact copies of one text count once.
 Lines in more than ``limit`` texts of their host are removed from all its documents, and a document is
 rejected as depleted if less than ``REMAIN`` of its words remains, or fewer than ``LEAST_WORDS`` words.
-The limit is ``LIMIT`` texts, or ``SHARE`` of the host's texts if that is more.
+The limit is ``LIMIT`` texts for every host, whatever its size.
 
 Counting starts within the document, so a line repeated in it is sent once; (host, line, text) triples are made distinct and counted
 by partial aggregation, so a line of a third of all documents is a few numbers per task. Frequent lines meet their documents
@@ -30,9 +30,8 @@ from pyspark.sql import types as T
 from feedloom.llm.common import SPACES, WORDS, Batches, as_bytes, packed
 from feedloom.session import cut
 
-#: Texts of one host that may share a line: this many, or this part of the host's texts.
+#: Texts of one host that may share a line.
 LIMIT = 20
-SHARE = 0.001
 #: Part of a document's words, and number of them, that must remain.
 REMAIN = 0.5
 LEAST_WORDS = 10
@@ -57,11 +56,8 @@ WITH docs AS (
     SELECT *, trim(regexp_replace(regexp_replace(lower(raw), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM lines
 ), filled AS (
     SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM normals WHERE line <> ''
-), hosts AS (
-    SELECT source, count(DISTINCT t) AS host_texts FROM filled GROUP BY source
 ), often AS (
-    SELECT f.source, line FROM filled f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
-    GROUP BY f.source, line HAVING count(DISTINCT t) > greatest(20.0, max(host_texts) * 0.001)
+    SELECT source, line FROM filled GROUP BY source, line HAVING count(DISTINCT t) > 20
 ), removed AS (
     SELECT rid, sum(n) AS n FROM filled f SEMI JOIN often o ON f.source IS NOT DISTINCT FROM o.source AND f.line = o.line GROUP BY rid
 ), dups AS (
@@ -153,14 +149,9 @@ def document_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
+def frequent_lines(lines: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(source, line_hash, texts) of lines in more texts of their host than the limit allows."""
-    hosts = lines.select("source", "text_hash").distinct().groupBy("source").agg(F.count("*").alias("host_texts"))
-    counted = lines.groupBy("source", "line_hash").agg(F.count("*").alias("texts")).where(F.col("texts") > limit)
-    hosts = hosts.select(F.col("source").alias("host"), "host_texts")
-    return counted.join(hosts, counted["source"].eqNullSafe(hosts["host"])).where(
-        F.col("texts") > F.greatest(F.lit(float(limit)), F.col("host_texts") * share),
-    ).select("source", "line_hash", "texts")
+    return lines.groupBy("source", "line_hash").agg(F.count("*").alias("texts")).where(F.col("texts") > limit)
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -173,11 +164,11 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return summed.join(each, same).select("source", "text_hash", "line_hash", (F.col("words") / F.col("copies")).cast("long").alias("words"))
 
 
-def judged(docs: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
+def judged(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept, and words_left after the removal of frequent lines."""
     base = cut(with_base(docs))
     lines = cut(distinct_lines(docs))
-    often = frequent_lines(lines, limit, share)
+    often = frequent_lines(lines, limit)
     often = cut(often.select(F.col("source").alias("_source"), F.col("line_hash").alias("_line")))
     gone = lines.join(often, lines["source"].eqNullSafe(often["_source"]) & (lines["line_hash"] == often["_line"]))
     gone = gone.groupBy("source", "text_hash").agg(F.sum("words").alias("removed"))
@@ -191,10 +182,10 @@ def judged(docs: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFra
     )
 
 
-def clean(docs: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
+def clean(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``docs`` without the frequent lines of their host; all columns stay."""
     lines = cut(distinct_lines(docs))
-    often = frequent_lines(lines, limit, share).select(F.col("source").alias("_source"), F.col("line_hash").alias("_line"))
+    often = frequent_lines(lines, limit).select(F.col("source").alias("_source"), F.col("line_hash").alias("_line"))
     gone = lines.join(often, lines["source"].eqNullSafe(often["_source"]) & (lines["line_hash"] == often["_line"]))
     gone = gone.groupBy("source", "text_hash").agg(F.collect_set("line_hash").alias("_gone"))
     gone = gone.select(F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "_gone")
