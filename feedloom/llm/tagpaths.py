@@ -5,10 +5,14 @@ of the page two ratios are aggregated over its text nodes: text length per node,
 neighbouring nodes in page order, so a short paragraph between long ones is not lost, and fused by their product, scaled by the
 page's own mean. Paths whose fused ratio is above ``THRESHOLD`` of the mean are content.
 
-Scripts, styles, comments and forms are no text nodes. Paths through a navigation, header, footer, aside, advert or similar
-element weigh little, and reader comments too, whatever their length; paths inside an article or main element weigh more. If a page
-marks an article, headings and short blocks within the content's own subtree follow it: a node is kept if its path
-is content, or if it is a block of the deepest common ancestor of the content nodes that is not boilerplate.
+Scripts, styles, comments and the controls and labels of forms are no text nodes. Names only weigh: a path through an element that is a
+form, or whose class, id or role speaks of adverts, menus, notices, reader comments and the like, weighs ``LITTLE``, a path inside an article or main
+element weighs ``MUCH``, and the ratios of the page decide. Navigation, header, footer, aside, menu and dialog elements are
+left out. Neither holds for an element that holds the page's article, an article or main element that has no such name around it, whatever its own
+names; where a page has none, class names do not weigh on an element with half of its text or more. So layout classes around an article and a form around the whole page change nothing.
+
+If a page marks an article, headings and short blocks within the content's own subtree follow it: a node is kept if its path
+is content, or if it is a block of the deepest common ancestor of the content nodes and no boilerplate.
 
 Blocks are separated by block-level tags; white space inside a block is one space, and character references are decoded.
 All pages are read whole, in tasks, one at a time.
@@ -40,10 +44,13 @@ MUCH = 4.0
 
 # Fixed values of HTML: elements without an end tag, elements whose text is no page text, and inline elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math head title textarea select option iframe object canvas form button".split())
+SILENT = frozenset("script style noscript template svg head title textarea select option iframe object canvas button annotation annotation-xml".split())
+#: Silent inside a form.
+CAPTIONS = frozenset("label legend".split())
 RAW = frozenset("script style textarea title".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace mtable mtr mtd semantics annotation annotation-xml".split()
 )
 BOILERPLATE_TAGS = frozenset("nav header footer aside menu dialog".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -64,24 +71,29 @@ _BOILERPLATE = re.compile(
 
 
 class _Node:
-    """An open element: its path as a number, what holds for all text below it, and its place in the tree.
+    """An element: its path as a number, what its names say, what it holds, and its place in the tree.
 
-    ``first`` and ``last`` number the elements from this one to the last below it; ``block`` is the nearest element, this one
+    ``named`` and ``tagged``: its class names, or its tag, speak of boilerplate. ``size`` counts the characters of text below
+    it, ``article`` says that it is the page's article or main element, ``holds`` that one with text is in it, ``amid`` that names of boilerplate are around. ``poor`` and ``out``
+    are what follows for the text below it. ``first`` and ``last`` number the elements from this one to the last below it; ``block`` is the nearest element, this one
     included, that is not inline.
     """
 
-    __slots__ = ("name", "path", "silent", "poor", "rich", "first", "last", "depth", "up", "block")
+    __slots__ = ("name", "path", "silent", "named", "tagged", "rich", "article", "amid", "first", "last", "depth", "up", "block", "size", "holds", "poor", "out")
 
-    def __init__(self, name: str, path: int, silent: bool, poor: bool, rich: bool, first: int, depth: int, up: _Node | None):
-        self.name, self.path, self.silent, self.poor, self.rich = name, path, silent, poor, rich
+    def __init__(self, name: str, path: int, silent: bool, named: bool, tagged: bool, article: bool, first: int, depth: int, up: _Node | None):
+        self.name, self.path, self.silent, self.named, self.tagged, self.article = name, path, silent, named, tagged, article
+        self.rich = name in CONTENT_TAGS or up is not None and up.rich
+        self.amid = named or tagged or up is not None and up.amid
         self.first, self.last, self.depth, self.up = first, None, depth, up
         self.block = self if up is None or name not in INLINE else up.block
+        self.size, self.holds, self.poor, self.out = 0, False, False, False
 
 
 def blocks(page: str) -> list[tuple[str, _Node]]:
     """The page's text blocks in order, each with the block-level element it stands in."""
-    top = _Node("", 0, False, False, False, 0, 0, None)
-    stack, out, held = [top], [], []
+    top = _Node("", 0, False, False, False, False, 0, 0, None)
+    stack, out, held, nodes = [top], [], [], [top]
     paths: dict[tuple[int, str, str], int] = {}
     opened: dict[str, int] = {}
     count = 0
@@ -91,6 +103,7 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text:
                 out.append((text, stack[-1].block))
+                stack[-1].block.size += len(text)
             held.clear()
 
     def close(depth: int) -> None:
@@ -139,18 +152,35 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
         said = " ".join(filter(None, (g for m in _NAMES.finditer(rest) for g in m.groups()))).lower()
         up = stack[-1]
         count += 1
-        poor = up.poor or (name in BOILERPLATE_TAGS and not (name == "header" and up.rich))
-        poor = poor or bool(said and name not in ("html", "body") and _BOILERPLATE.search(said))
         path = up.path if name in INLINE else paths.setdefault((up.path, name, said), len(paths) + 1)
-        silent = up.silent or name in SILENT or bool(_HIDDEN.search(rest))
-        stack.append(_Node(name, path, silent, poor, up.rich or name in CONTENT_TAGS, count, len(stack), up))
+        silent = up.silent or name in SILENT or name in CAPTIONS and bool(opened.get("form")) or bool(_HIDDEN.search(rest))
+        named = name == "form" or bool(said and name not in ("html", "body") and _BOILERPLATE.search(said))
+        tagged = name in BOILERPLATE_TAGS and not (name == "header" and up.rich)
+        # An article inside an article, or among boilerplate, is a reader's comment or a teaser if its names say so.
+        article = name in CONTENT_TAGS and not (named and (up.rich or up.amid))
+        node = _Node(name, path, silent, named and not article, tagged, article, count, len(stack), up)
+        stack.append(node)
+        nodes.append(node)
         opened[name] = opened.get(name, 0) + 1
     flush()
     for node in stack:
         node.last = count
+    _judge(nodes)
     return out
 
 
+def _judge(nodes: list[_Node]) -> None:
+    """Set ``poor`` and ``out`` of all elements, in the order of their start tags."""
+    for node in reversed(nodes[1:]):
+        node.up.size += node.size
+        node.up.holds |= node.holds or node.article and node.size > 0
+    top = nodes[0]
+    for node in nodes[1:]:
+        most = not top.holds and 2 * node.size >= top.size
+        node.out = node.up.out or node.tagged and not node.holds
+        node.poor = node.up.poor or node.out or node.named and not (node.holds or most)
+
+
 def content(page: str) -> str:
     """The main text: content blocks in page order with two line breaks between them."""
     found = blocks(page)
@@ -163,18 +193,16 @@ def content(page: str) -> str:
     nodes = np.bincount(place)
     text_ratio = _smooth((np.bincount(place, length) / nodes)[place])
     mark_ratio = _smooth((np.bincount(place, marks) / nodes)[place])
-    weight = np.array([LITTLE if n.poor else MUCH if n.rich else 1.0 for _, n in found])
+    weight = np.array([(LITTLE if n.poor else 1.0) * (MUCH if n.rich else 1.0) for _, n in found])
     fused = text_ratio * (1 + mark_ratio) * weight
-    chosen = (fused >= THRESHOLD * fused.mean()) & (weight > LITTLE)
-    if not chosen.any():
-        chosen = (weight > LITTLE) & (fused >= fused.max())
+    chosen = (fused >= THRESHOLD * fused.mean()) & ~np.array([n.out for _, n in found])
     if not chosen.any():
         return ""
     root = _common([found[i][1] for i in np.flatnonzero(chosen)])
     if root.rich:
         while root.up is not None and root.up.rich:
             root = root.up
-    kept = [t for i, (t, n) in enumerate(found) if not n.poor and (chosen[i] or root.rich and _inside(n, root))]
+    kept = [t for i, (t, n) in enumerate(found) if chosen[i] or root.rich and not n.poor and _inside(n, root)]
     return "\n\n".join(kept)
 
 
