@@ -14,7 +14,7 @@ of the index keeps the bits that all below it share; what an upper node holds is
 differing bits from the root on and leaves a whole subtree as soon as the sum exceeds ``bits``.
 
 *Classes.* A group emits a forest, not all its links: connectivity is the same. The forests are contracted over
-the whole table, each vertex into its smallest neighbour, until no link is left. Every round is written to the
+the whole table, each vertex into its least neighbour in a drawn order, until no link is left. Every round is written to the
 shared folder. No task and not the driver holds a class.
 
 Defined results: null and empty texts have fingerprint zero and link like any other. A text with fewer words than a
@@ -31,11 +31,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import Batches, as_bytes, packed
+from feedloom.llm.common import Batches, as_bytes, in_parts, packed
 from feedloom.session import cut
 
 SHINGLE = 3
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") ->
     rest = [f for f in docs.schema if f.name != text]
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in in_parts(batches, text):
             found = [fingerprint(x.lower().split(), shingle) for x in as_bytes(batch.column(text))]
             fp = pa.array(np.array(found, dtype=np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), fp], names=[*(f.name for f in rest), "fp"])
@@ -215,13 +215,24 @@ def linked(fps: DataFrame, bits: int = BITS, group: int = GROUP) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every vertex of ``edges`` (a, b): equal roots if and only if connected.
 
-    Each round contracts every vertex into its smallest neighbour; links between merged vertices go. The number of
-    rounds is logarithmic in practice, and a round's rows never exceed the links before it.
+    In each round every vertex points at the least of itself and its neighbours, in an order drawn anew by a hash. In such an
+    order paths of pointers are short; they are shortened twice by following the pointer's pointer, and every vertex is
+    merged into where it then points. Of a chain about a third of the vertices remain, whatever the order of their names, so
+    the number of rounds is logarithmic in the longest chain. A round's rows never exceed the links before it, and pointers and roots are
+    stored in each round, so no plan grows.
     """
     pairs = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    roots = None
+    roots, nth = None, 0
     while not pairs.isEmpty():
-        near = cut(pairs.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
+        def drawn(v: str, nth: int = nth) -> Column:
+            return F.struct(F.xxhash64(F.col(v), F.lit(nth)).alias("draw"), F.col(v).alias("v"))
+
+        near = pairs.groupBy("a").agg(F.least(drawn("a"), F.min(drawn("b")))["v"].alias("to"))
+        for _ in range(2):
+            near = cut(near)
+            ahead = near.select(F.col("a").alias("to"), F.col("to").alias("further"))
+            near = near.join(ahead, "to").select("a", F.col("further").alias("to"))
+        near = cut(near)
         one, two = near.select("a", F.col("to").alias("x")), near.select(F.col("a").alias("b"), F.col("to").alias("y"))
         merged = pairs.join(one, "a").join(two, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
         pairs = cut(merged.distinct())
@@ -229,7 +240,8 @@ def components(edges: DataFrame) -> DataFrame:
             roots = near.select(F.col("a").alias("v"), F.col("to").alias("root"))
         else:
             step = near.select(F.col("a").alias("root"), "to")
-            roots = roots.join(step, "root", "left").select("v", F.coalesce("to", "root").alias("root"))
+            roots = cut(roots.join(step, "root", "left").select("v", F.coalesce("to", "root").alias("root")))
+        nth += 1
     if roots is None:
         return pairs.select(F.col("a").alias("v"), F.col("b").alias("root"))
     return roots
