@@ -22,30 +22,31 @@ from __future__ import annotations
 
 import math
 import os
-import string
 import zlib
 from bisect import bisect_left, insort
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import Batches, as_bytes
+from feedloom.llm.common import Batches, as_bytes, in_parts
 from feedloom.session import cut
 
 CAPACITY = 4096
 END = 1
 #: Words whose ids a worker keeps: those met lately, and as many from before. It changes nothing but time.
-CACHE = 500_000
+CACHE = 100_000
 #: Bytes of text whose words are looked up together.
-STRIP = 1_000_000
+STRIP = 4_000_000
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 1000
 
-#: ASCII marks, neither letters, digits nor white space.
-_MARKS = string.punctuation.encode()
+#: Latin letters followed by ASCII marks, which are neither letters, digits nor white space.
+_MARKED = "^(?P<head>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<tail>[!-/:-@[-`{-~]+)$"
 #: The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = dict(zip(sorted(set(range(256)) - _PRINTABLE), range(256, 512), strict=False))
@@ -57,7 +58,8 @@ class Encoder:
 
     The vocabulary's tokenizer drops white space and never joins across it, so a text's ids are its words' ids
     one after the other. It lower-cases, too, so words are looked up in lower case unless the text
-    may hold a special token, which is matched before that.
+    may hold a special token, which is matched before that. The words of a strip of texts are split and numbered in
+    Arrow, each different one is encoded once, and all ids are gathered by number.
     """
 
     def __init__(self, path: str):
@@ -65,78 +67,71 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[bytes, list[int]] = {}
+        self.old: dict[bytes, list[int]] = {}
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
+    def _encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word.
 
         A word of Latin letters is one unit that normalising only lower-cases, so it goes to the vocabulary's model at once.
         """
         split = self.tokenizer.model.tokenize
-        flat, ends, rest = [], [], []
+        out: list[list[int]] = [[]] * len(words)
+        rest = []
         for i, word in enumerate(words):
             if word.isalpha():
-                flat += [token.id for token in split(word.lower().decode())]
+                out[i] = [token.id for token in split(word.lower().decode())]
             elif _latin(word):
-                flat += [token.id for token in split(word.decode().lower().encode().decode("latin-1").translate(_BYTES))]
-            else:
+                out[i] = [token.id for token in split(word.decode().lower().encode().decode("latin-1").translate(_BYTES))]
+            elif word:
                 rest.append(i)
-            ends.append(len(flat) * 4)
-        data = np.array(flat, dtype="<u4").tobytes()
-        out = [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         for i, x in zip(rest, self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False), strict=True):
-            out[i] = np.array(x.ids, dtype="<u4").tobytes()
+            out[i] = x.ids
         return out
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Ids of words not met lately. A run of marks after Latin letters is a unit of its own."""
+    def _known(self, words: list[bytes], often: np.ndarray) -> list[list[int]]:
+        """Ids of different words, those met lately from memory. Words that occur ``often`` are kept there."""
         young, old = self.young, self.old
-        marked, whole = [], []
-        for w in words:
-            core = w.rstrip(_MARKS)
-            if core and len(core) < len(w) and _latin(core):
-                marked.append((w, core, w[len(core):]))
-            else:
-                whole.append(w)
-        parts = {p for _, core, marks in marked for p in (core, marks)}
-        new = list(parts.difference(young).union(whole))
-        learned = parts.intersection(old)
-        young.update([(p, old[p]) for p in learned])
-        new = [p for p in new if p not in learned]
-        young.update(zip(new, self._encode(new), strict=True))
-        for w, core, marks in marked:
-            young[w] = young[core] + young[marks]
+        if len(young) > CACHE:
+            self.young, self.old = young, old = {}, young
+        out = [young.get(w) or old.get(w) for w in words]
+        holes = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(holes, self._encode([words[i] for i in holes]), strict=True):
+            out[i] = ids
+        young.update((words[i], out[i]) for i in np.flatnonzero(often)[:CACHE].tolist())
+        return out
+
+    def _table(self, words: pa.Array, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words end to end, and their numbers. A run of marks after Latin letters is a unit of its own."""
+        parts = pc.extract_regex(words, _MARKED)
+        heads = pc.if_else(parts.is_valid(), parts.field("head"), words).dictionary_encode()
+        tails = pc.if_else(parts.is_valid(), parts.field("tail"), pa.scalar("", words.type)).dictionary_encode()
+        head, tail = heads.indices.to_numpy().astype(np.int64), tails.indices.to_numpy().astype(np.int64)
+        found = []
+        for column, code in ((heads, head), (tails, tail)):
+            units = column.dictionary.view(pa.large_binary()).to_pylist()
+            found += self._known(units, np.bincount(code, count, len(units)) > 1)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
+        tail += len(heads.dictionary)
+        return gathered(flat, size, np.stack([head, tail], axis=1).ravel()), size[head] + size[tail]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without an end token."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        found = [list(map(young.get, words)) for words in split]
-        holes = [[i for i, ids in enumerate(part) if ids is None] for part in found]
-        new = {words[i] for words, places in zip(split, holes, strict=True) for i in places}
-        missing = new.difference(old)
-        young.update([(w, old[w]) for w in new.difference(missing)])
-        if missing:
-            self._learn(missing)
-        for words, part, places in zip(split, found, holes, strict=True):
-            for i in places:
-                part[i] = young[words[i]]
-        return [b"".join(part) for part in found]
-
-
-def strips(texts: list[bytes]) -> list[list[bytes]]:
-    """Consecutive texts, about ``STRIP`` bytes together."""
-    out, size = [[]], 0
-    for text in texts:
-        if size > STRIP:
-            out.append([])
-            size = 0
-        out[-1].append(text)
-        size += len(text)
-    return out
+        folded = pa.array([t if b"<|" in t else t.lower() for t in texts], pa.large_binary()).view(pa.large_string())
+        split = pc.ascii_split_whitespace(folded)
+        coded = split.flatten().dictionary_encode()
+        words = coded.indices.to_numpy()
+        flat, size = self._table(coded.dictionary, np.bincount(words, minlength=len(coded.dictionary)))
+        data = gathered(flat, size, words).astype("<u4").tobytes()
+        ends = np.concatenate([[0], np.cumsum(size[words])])[split.offsets.to_numpy()] * 4
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def gathered(flat: np.ndarray, size: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat``, of these sizes, laid end to end in this order."""
+    start, mine = (np.cumsum(size) - size)[order], size[order]
+    return flat[np.repeat(start - (np.cumsum(mine) - mine), mine) + np.arange(mine.sum())]
 
 
 def _latin(word: bytes) -> bool:
@@ -165,10 +160,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool
 
     def run(batches: Batches) -> Batches:
         work = encoder(vocabulary)
-        for batch in batches:
+        for batch in in_parts(batches, "text", STRIP):
             row, piece, start, length, crc, held = [], [], [], [], [], []
-            encoded = (data for strip in strips(as_bytes(batch.column("text"))) for data in work.ids(strip))
-            for i, data in enumerate(encoded):
+            for i, data in enumerate(work.ids(as_bytes(batch.column("text")))):
                 data += end
                 for nth, at in enumerate(range(0, len(data), capacity * 4)):
                     part = data[at:at + capacity * 4]

@@ -40,6 +40,7 @@ LABELS = ("o", *KINDS)
 #: Documents, and bytes of their texts, that potentials are trained on at most.
 SAMPLE = 4000
 SAMPLE_BYTES = 16_000_000
+SHORT_BYTES = 100_000
 #: Change of a log message that counts as none, rounds after which messages that still swing are taken as they are, part of a message
 #: kept from the round before, and certainty of a new span.
 STILL = 1e-3
@@ -139,8 +140,12 @@ def tokenise(text: str, spans: list[Span]) -> Tokens:
     before[neighbour + 1] = own[neighbour]
     after[neighbour] = own[neighbour + 1]
     label = np.zeros(n, np.int64)
-    for a, kind, b in spans:
-        label[(start < b) & (end > a) & (label == 0)] = kind + 1
+    # Tokens lie in order and apart, so those that a span meets are neighbours.
+    first = np.searchsorted(end, [a for a, _, _ in spans], side="right").tolist()
+    beyond = np.searchsorted(start, [b for _, _, b in spans]).tolist()
+    for i, j, (_, kind, _) in zip(first, beyond, spans, strict=True):
+        part = label[i:j]
+        part[part == 0] = kind + 1
     _join(text, spans, start, end, label, neighbour, keys)
     return Tokens(start, end, np.hstack([own, before, after, np.ones((n, 1))]) if n else np.zeros((0, 1)), keys, label, neighbour)
 
@@ -148,9 +153,9 @@ def tokenise(text: str, spans: list[Span]) -> Tokens:
 def _join(text: str, spans: list[Span], start: np.ndarray, end: np.ndarray, label: np.ndarray, neighbour: np.ndarray, keys: list[set[str]]) -> None:
     """Give numbers written over several tokens the keys of their joined digits."""
     known: set[str] = set()
-    for a, kind, b in spans:
+    ends = (np.searchsorted(start, [b for _, _, b in spans]) - 1).tolist()
+    for at, (a, kind, b) in zip(ends, spans, strict=True):
         digits = "".join(c for c in text[a:b] if "0" <= c <= "9")
-        at = int(np.searchsorted(start, b)) - 1
         if KINDS[kind] in ("card", "phone") and at >= 0:
             keys[at] |= {f"d{digits}", f"s{digits[-7:]}"}
             known.update(digits[i:] for i in range(len(digits) - 6))
@@ -306,8 +311,10 @@ def train(docs: DataFrame) -> Field:
     if last is None:
         return fit([])
     chosen = found.where(F.col("order") <= last).groupBy("order").agg(F.min("text").alias("text"))
-    upto = Window.orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
-    chosen = chosen.withColumn("upto", F.sum(F.octet_length("text").cast("long")).over(upto)).where(F.col("upto") <= SAMPLE_BYTES)
+    # A long text comes after all shorter ones that do not exceed SHORT_BYTES, so it never takes their place.
+    size = F.octet_length("text").cast("long")
+    upto = Window.orderBy(F.greatest(size, F.lit(SHORT_BYTES)), "order").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = chosen.withColumn("upto", F.sum(size).over(upto)).where(F.col("upto") <= SAMPLE_BYTES)
     return fit(chosen.orderBy("order").select("text").toArrow().column("text").to_pylist())
 
 

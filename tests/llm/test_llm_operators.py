@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import time
 import re
 import zlib
 from collections import Counter
@@ -86,9 +87,80 @@ def test_mixed_rows_are_the_copies_taken(odd, none):
     for r in mixing.drawn(odd.select("doc_id", "source", "text")).collect():
         want[r.doc_id] += r.copies
     mixed = mixing.mix(odd, shards=4)
-    assert mixed.columns == [*odd.columns, "mix_copy", "mix_shard", "mix_key"]
+    assert mixed.columns == [*odd.columns, "mix_copy", "mix_shard", "mix_part", "mix_key"]
     assert Counter(r.doc_id for r in mixed.collect()) == +want
-    assert mixing.mixed(none).count() == mixing.mix(none).count() == 0
+    assert Counter(r.doc_id for r in mixing.shuffled(odd).collect()) == +want and mixing.shuffled(odd).columns == odd.columns
+    assert mixing.mixed(none).count() == mixing.mix(none).count() == mixing.shuffled(none).count() == 0
+
+
+def test_shards_follow_the_words_and_lie_in_order(spark, monkeypatch):
+    assert [mixing.shards_of(n) for n in (0, 1, mixing.SHARD_WORDS * 16, mixing.SHARD_WORDS * 16 + 1, 10**13)] == [16, 16, 16, 32, 1 << 19]
+    monkeypatch.setattr(mixing, "SHARDS", 4)
+    monkeypatch.setattr(mixing, "PART_WORDS", 300)
+    docs = spark.createDataFrame([(i, "w " * (i % 9), "ab"[i % 2]) for i in range(800)], "doc_id long, text string, source string")
+    places = {(r.doc_id, r.mix_copy): (r.mix_shard, r.mix_part, r.mix_key) for r in mixing.mix(docs).collect()}
+    assert len({p[:2] for p in places.values()}) > 8
+    files = mixing.shuffled(docs.select("*", F.lit(1).alias("mix_key"))).select("doc_id", F.spark_partition_id().alias("file")).collect()
+    one = {d: [p for (x, _), p in places.items() if x == d] for d in {r.doc_id for r in files}}
+    alone = [(r.file, one[r.doc_id][0]) for r in files if len(one[r.doc_id]) == 1]
+    assert alone == sorted(alone) and len(alone) > 50
+
+
+def test_equal_rows_without_ids_are_cut_up_and_drawn_alike(spark, monkeypatch):
+    rows = [(None, "w w w", "a")] * 500 + [(None, f"x {i}", "a") for i in range(300)] + [(7, "same", "b")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    plain = sorted(mixing.mixed(docs).collect(), key=str)
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", 50)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)
+    slices = mixing.sliced(mixing.cut(mixing.drawn(docs).drop("slice"))).groupBy("source", "slice").count()
+    assert slices.agg(F.max("count")).first()[0] <= 200
+    assert sorted(mixing.mixed(docs).collect(), key=str) == plain
+
+
+def test_lines_have_one_limit_at_every_size(spark):
+    """Thirty thousand texts of one host: a line in 21 of them goes, one in 20 stays."""
+    docs = spark.range(30_000).selectExpr(
+        "id AS doc_id", "'h' AS source",
+        "concat('text ', id, if(id < 21, '\nshared by twenty-one', ''), if(id < 20, '\nshared by twenty', '')) AS text",
+    )
+    often = linefreq.frequent_lines(linefreq.distinct_lines(docs)).collect()
+    # Digits count as zero, so numbers of equal length are one line.
+    assert sorted(r.texts for r in often)[:1] == [21] and all(r.texts == 21 or r.texts >= 90 for r in often)
+
+
+def test_a_long_labelled_text_takes_no_places(spark, monkeypatch):
+    """A text longer than the whole bound, labelled toxic: the others are learned from all the same."""
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 400_000)
+    rows = [(i, f"plain words number {i} " + ("you utter idiot fool" if i % 2 else "of a garden path")) for i in range(200)]
+    rows += [(1000 + i, "idiot " * 50_000) for i in range(4)]
+    labels = spark.createDataFrame([(d, int(d % 2 or d >= 1000)) for d, _ in rows], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.scored(docs.where("doc_id < 1000"), toxicity.train(docs, labels)).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+    monkeypatch.setattr(skipchain, "SAMPLE_BYTES", 5_000)
+    mails = spark.createDataFrame([(i, f"mail me at a{i}@b{i}.com or call +1 555 123 {4000 + i}") for i in range(40)] + [(99, "no 1 " * 50_000)], "doc_id long, text string")
+    assert np.abs(skipchain.train(mails).weights).sum() > 1
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain of a thousand fingerprints, named along it: the worst order for least names."""
+    stored = []
+    real = graysimhash.cut
+    monkeypatch.setattr(graysimhash, "cut", lambda df: stored.append(0) or real(df))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1000)] + [(5000, 5001)], "a long, b long")
+    roots = {r.v: r.root for r in graysimhash.components(edges).collect()}
+    assert len({roots[i] for i in range(1001)}) == 1 and roots[5000] == roots[5001] != roots[0]
+    # Five stored tables a round at most, and one before.
+    assert len(stored) <= 1 + 5 * 15
+
+
+def test_spans_of_long_logs_are_found_in_linear_time():
+    text = " ".join(f"10.{i % 250}.{i // 250 % 250}.7" for i in range(100_000))
+    began = time.process_time()
+    spans = skipchain.base_spans(text)
+    tokens = skipchain.tokenise(text, spans)
+    assert len(spans) == 100_000 and (tokens.label == 2).all()
+    assert time.process_time() - began < 30
 
 
 def test_quotas_are_exact_at_every_depth(spark):

@@ -95,7 +95,7 @@ def copies(docs):
         sizes[d.source] += n
     goal, taken = targets(sizes), [0] * len(docs)
     for source in sizes:
-        mine = sorted((i for i, d in enumerate(docs) if d.source == source), key=lambda i: (hashlib.md5(f"mix-1:{docs[i].doc_id}".encode()).hexdigest(), size[i]))
+        mine = sorted((i for i, d in enumerate(docs) if d.source == source), key=lambda i: (hashlib.md5(f"mix-1:{docs[i].doc_id}:{docs[i].text or ''}".encode()).hexdigest(), size[i]))
         passes = int(goal[source] // sizes[source]) if sizes[source] else 0
         want, place, picked = goal[source] - passes * sizes[source], 0, set()
         for i in mine:
