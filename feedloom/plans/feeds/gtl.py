@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from feedloom.operators.episodes import policy_risk_episodes
 from feedloom.operators.typed import at_risk
 from feedloom.plans.feeds import unl
 from feedloom.plans.specs import DATE, DATE_TAIL, INT, RAW, SIGNED, Col, FeedSpec, Route, TypedSpec
@@ -28,6 +27,6 @@ POLICY = TypedSpec(
 
 FEED = FeedSpec(
     name="gtl", table="gtl_fym_policy", routes=ROUTES, typed=POLICY, key="policy_nbr",
-    history=unl.HISTORY, episodes=policy_risk_episodes, episode_start=unl.EPISODE_START,
+    history=unl.HISTORY, episodes=unl.EPISODES,
     carrier_pattern="%gtl%", levels=unl.LEVELS, file_patterns=FILE_PATTERNS,
 )

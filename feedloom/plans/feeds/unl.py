@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from feedloom import functions as fn
-from feedloom.operators.episodes import policy_risk_episodes
+from feedloom.operators.episodes import POLICY_RULE
 from feedloom.operators.history import HistorySpec, Tracked
 from feedloom.operators.typed import at_risk
 from feedloom.plans.specs import (
@@ -126,11 +127,12 @@ TWO_CHANGES = (
 HISTORY = HistorySpec(
     key=("policy_nbr",), order=("file_date", "source_file", "row_id"), row_id="row_id", tracked=TWO_CHANGES,
 )
+EPISODES = replace(POLICY_RULE, start=EPISODE_START)
 
 FEED = FeedSpec(
     name="unl", table="unl_fym_policy", routes=ROUTES, typed=POLICY, key="policy_nbr",
     history=HISTORY,
-    episodes=policy_risk_episodes, episode_start=EPISODE_START,
+    episodes=EPISODES,
     carrier_pattern="%unl%", levels=LEVELS, file_patterns=FILE_PATTERNS, view_columns=VIEW_COLUMNS,
     side_tables={"unl_weekly_advance_statements": ADVANCES},
 )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 
+from feedloom.operators.episodes import EpisodeRule
 from feedloom.operators.history import HistorySpec
 
 #: Lineage columns of every raw row.
@@ -88,8 +88,7 @@ class FeedSpec:
     typed: TypedSpec
     key: str
     history: HistorySpec | None = None
-    episodes: Callable[[DataFrame], DataFrame] | None = None
-    episode_start: dt.date | None = None
+    episodes: EpisodeRule | None = None
     carrier_pattern: str | None = None
     levels: tuple[str, ...] = ()
     file_patterns: tuple[str, ...] = ()

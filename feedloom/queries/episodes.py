@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedloom.operators.episodes import GAP_DAYS, risk_episodes
+from feedloom.operators.episodes import GAP_DAYS, EpisodeRule, risk_episodes
 from feedloom.queries.registry import query, table
 
 
@@ -44,9 +44,8 @@ def episode_sql(gap: int) -> str:
 def event_episodes(spark, sf_dir, gap):
     kind = F.col("event_type")
     events = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
-    return risk_episodes(
-        events, "user_id", "day", risk=kind == "error", cure=kind == "purchase", term=kind == "signup", gap_days=gap
-    )
+    rule = EpisodeRule("day", lambda: kind == "error", lambda: kind == "purchase", lambda: kind == "signup", gap)
+    return risk_episodes(events, "user_id", rule)
 
 
 @query("risk_episodes", episode_sql(GAP_DAYS))

@@ -1,156 +1,170 @@
 """Parquet tables under one root.
 
-A table is a version folder holding one folder per load. Which version is published is told by empty files in the
-table's ``_current`` folder, named by number and version: the highest one counts, and creating an empty file is one step, so a
-reader sees the old version or the new one and never a half-written name. A load's rows are written aside and renamed into
-place, so a reader sees all of a load or nothing, and a repeated load replaces only its own folder. Replacing a table writes
-a new version, keeps the one before it for readers that have begun, and removes older ones.
-
-The renames are single steps on HDFS and on local disks. On an object store without such a rename, readers must not run
-during a load.
+A table is a set of folders, one per load, or one for all after a replacement. Which folders it has is told by a log of
+commits (``commits``). Rows are written to fresh folders first and become visible with the commit that names them, for all tables
+of a ``Change`` at once: a writer that stops before leaves unnamed folders, which nobody reads and ``sweep`` removes.
+
+Of writers at the same time, appends all stay. Who replaces a table that another writer changed since it was last read here gets a
+``ConflictError``, as does a change whose ``depends`` moved. A replaced table's folders are kept until the next replacement, for
+readers that have begun.
+
+Names are created in one step on HDFS, local disks and stores that can create a file only if it is absent.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "_current"
-LOAD = "load_partition"
-#: Versions of a table that are kept: the published one and the one before.
-KEPT = 2
+from feedloom.sinks.commits import CommitLog, ConflictError
 
+#: The one load of a table that was replaced.
+BASE = "base"
 
-def folder_of(load_id: str) -> str:
-    """The prefix keeps numeric-looking ids text when partitions are read back."""
-    return f"load-{load_id}"
 
+class Change:
+    """Rows of several tables, written aside and published together."""
 
-@dataclass
-class Staged:
-    """Rows of one load that are written but not published."""
+    def __init__(self, tables: Tables, depends: Iterable[str] = ()):
+        self.tables = tables
+        self.base = tables.log.state().number
+        self.changes: list[dict] = []
+        self._since = {name: self.base for name in depends}
 
-    tables: Tables
-    name: str
-    load_id: str
-    path: str
+    def append(self, name: str, rows: DataFrame, load_id: str) -> DataFrame:
+        """Rows of one load; returns what was written."""
+        return self._write("append", name, rows, load_id)
 
-    @property
-    def rows(self) -> DataFrame:
-        return self.tables.spark.read.parquet(self.path)
+    def replace(self, name: str, rows: DataFrame) -> DataFrame:
+        self._depend(name)
+        return self._write("replace", name, rows, BASE)
 
-    def publish(self) -> None:
-        self.tables._publish_load(self)
+    def drop(self, names: Iterable[str]) -> None:
+        for name in names:
+            self._depend(name)
+            self.changes.append({"do": "drop", "table": name})
+
+    def mark(self, name: str, at: int) -> None:
+        """Note that some step has worked up to commit ``at``."""
+        self.changes.append({"do": "mark", "name": name, "at": at})
+
+    def _depend(self, name: str) -> None:
+        self._since.setdefault(name, min(self.base, self.tables.read_at.get(name, self.base)))
+
+    def _write(self, kind: str, name: str, rows: DataFrame, load_id: str) -> DataFrame:
+        folder = f"part-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.tables.path(name)}/{folder}")
+        self.changes.append({"do": kind, "table": name, "load": load_id, "folder": folder, "schema": rows.schema.json()})
+        return self.tables.spark.read.schema(rows.schema).parquet(f"{self.tables.path(name)}/{folder}")
+
+    def publish(self) -> int:
+        """Make all of it visible; returns the number of the commit."""
+        try:
+            number, unused = self.tables.log.commit(self.changes, self._since)
+        except ConflictError as error:
+            # The next attempt reads them again, or means to replace them whatever they hold.
+            for name in error.names:
+                self.tables.read_at.pop(name, None)
+            raise
+        for c in self.changes:
+            if c["do"] != "mark":
+                self.tables.read_at[c["table"]] = number
+        for folder in unused:
+            self.tables._delete(self.tables.path(folder))
+        return number
 
     def discard(self) -> None:
-        fs, path = self.tables._fs(self.path)
-        fs.delete(path, True)
+        """Remove what was written aside."""
+        for c in self.changes:
+            if "folder" in c:
+                self.tables._delete(f"{self.tables.path(c['table'])}/{c['folder']}")
 
 
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, self.root)
+        #: The commit at which each table was last read here.
+        self.read_at: dict[str, int] = {}
 
-    def _fs(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+    def _delete(self, path: str) -> None:
+        fs, folder = self.log._fs(path)
+        fs.delete(folder, True)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _names(self, folder: str) -> list[str]:
-        fs, path = self._fs(folder)
-        return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
-
-    def _version(self, name: str) -> str | None:
-        marks = self._names(f"{self.path(name)}/{POINTER}")
-        return f"{self.path(name)}/{marks[-1].partition('.')[2]}" if marks else None
-
-    def _publish(self, name: str, version: str) -> None:
-        folder = f"{self.path(name)}/{POINTER}"
-        marks = self._names(folder)
-        number = int(marks[-1].partition(".")[0]) + 1 if marks else 0
-        fs, mark = self._fs(f"{folder}/{number:012d}.{version}")
-        if not fs.createNewFile(mark):
-            raise RuntimeError(f"{name} was published by another job at the same time")
-        for old in marks[: 1 - KEPT]:
-            for path in (f"{folder}/{old}", f"{self.path(name)}/{old.partition('.')[2]}"):
-                fs, path = self._fs(path)
-                fs.delete(path, True)
+    def _folders(self, name: str) -> dict[str, tuple[str, int, int]]:
+        state = self.log.state()
+        self.read_at[name] = state.number
+        return dict(state.tables[name].folders) if name in state.tables else {}
 
     def exists(self, name: str) -> bool:
-        return self._version(name) is not None
-
-    def stage(self, name: str, rows: DataFrame, load_id: str) -> Staged:
-        """Write the rows of one load without publishing them."""
-        path = f"{self.path(name)}/_staged-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return Staged(self, name, load_id, path)
-
-    def _publish_load(self, staged: Staged) -> None:
-        current = self._version(staged.name)
-        version = current or f"{self.path(staged.name)}/v-{uuid.uuid4().hex}"
-        fs, target = self._fs(f"{version}/{LOAD}={folder_of(staged.load_id)}")
-        fs.mkdirs(target.getParent())
-        fs.delete(target, True)
-        if not fs.rename(self._fs(staged.path)[1], target):
-            raise RuntimeError(f"load {staged.load_id} of {staged.name} could not be published")
-        if current is None:
-            self._publish(staged.name, version.rsplit("/", 1)[-1])
+        return bool(self._folders(name))
+
+    def change(self, depends: Iterable[str] = ()) -> Change:
+        return Change(self, depends)
 
     def append(self, name: str, rows: DataFrame, load_id: str) -> None:
         """Store the rows of one load."""
-        self.stage(name, rows, load_id).publish()
+        change = self.change()
+        change.append(name, rows, load_id)
+        change.publish()
 
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
-        """Store a new version and publish it."""
-        version = f"v-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path(name)}/{version}/{LOAD}=base")
-        self._publish(name, version)
+        """Store new rows in place of all."""
+        change = self.change()
+        change.replace(name, rows)
+        change.publish()
         return self.read(name)
 
     def has_load(self, name: str, load_id: str) -> bool:
-        return load_id in self.loads(name)
+        return load_id in self._folders(name)
 
     def loads(self, name: str) -> list[str]:
-        """Ids of the stored loads in order, from the folder names alone."""
-        current = self._version(name)
-        prefix = f"{LOAD}={folder_of('')}"
-        return [n.removeprefix(prefix) for n in self._names(current) if n.startswith(prefix)] if current else []
+        """Ids of the stored loads in the order of their commits."""
+        return list(self._folders(name))
+
+    def pending(self, name: str, step: str) -> tuple[list[str], list[str], int]:
+        """Loads of a table, those that a step has not worked on, and what it marks when it has."""
+        mark = self.log.state().marks.get(step, -1)
+        folders = self._folders(name)
+        return list(folders), [x for x, (_, number, _) in folders.items() if number > mark], max((n for _, n, _ in folders.values()), default=-1)
 
     def read(
         self, name: str, without: Sequence[str] = (), only: Sequence[str] | None = None, evolving: bool = False
     ) -> DataFrame | None:
         """The published rows, or None before the first write.
 
-        ``without`` leaves out loads, for a step that is about to write them again;
-        ``only`` reads some loads; both prune folders. ``evolving`` merges the
-        schemas of all files (raw tables gain columns).
+        ``without`` leaves out loads, for a step that is about to write them again; ``only`` reads some loads. The others'
+        folders are not opened. ``evolving`` merges the schemas of the loads (raw tables gain columns).
         """
-        current = self._version(name)
-        if current is None:
+        folders = self._folders(name)
+        if not folders:
             return None
-        rows = self.spark.read.option("mergeSchema", evolving).parquet(current)
-        if without:
-            rows = rows.filter(~F.col(LOAD).isin([folder_of(x) for x in without]))
-        if only is not None:
-            rows = rows.filter(F.col(LOAD).isin([folder_of(x) for x in only]))
-        return rows.drop(LOAD)
+        chosen = {load: f for load, f in folders.items() if load not in without and (only is None or load in only)}
+        schema = self._schema(name, sorted({number for _, _, number in (chosen or folders).values()}), evolving)
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path(name)}/{f}" for f, _, _ in chosen.values()])
+
+    def _schema(self, name: str, numbers: list[int], evolving: bool) -> T.StructType:
+        """The schema of the folders from the log, so that no file is opened for it."""
+        schemas = [T.StructType.fromJson(json.loads(self.log.state().tables[name].schemas[n])) for n in numbers]
+        if not evolving:
+            return schemas[-1]
+        fields = {f.name: f for s in schemas for f in s.fields}
+        return T.StructType(list(fields.values()))
 
     def read_load(self, name: str, load_id: str) -> DataFrame | None:
         """The rows of one load only."""
-        current = self._version(name)
-        if current is None:
-            return None
-        folder = f"{current}/{LOAD}={folder_of(load_id)}"
-        fs, path = self._fs(folder)
-        return self.spark.read.parquet(folder) if fs.exists(path) else None
+        return self.read(name, only=[load_id]) if self.has_load(name, load_id) else None
 
     def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
         stored = self.read(name)
@@ -158,6 +172,20 @@ class Tables:
 
     def drop(self, names: list[str]) -> None:
         """Remove the tables of one feed."""
-        for name in names:
-            fs, folder = self._fs(self.path(name))
-            fs.delete(folder, True)
+        change = self.change()
+        change.drop(names)
+        change.publish()
+
+    def sweep(self, name: str, older_than: dt.timedelta, now: dt.datetime) -> int:
+        """Remove folders of a table that no commit names, if they are older than any running job; returns how many."""
+        table = self.log.state().tables.get(name)
+        named = {f for f, _, _ in table.folders.values()} | set(table.retired) if table else set()
+        fs, path = self.log._fs(self.path(name))
+        limit = int((now - older_than).timestamp() * 1000)
+        doomed = [
+            s.getPath().getName() for s in (fs.listStatus(path) if fs.exists(path) else [])
+            if s.getPath().getName().startswith("part-") and s.getPath().getName() not in named and s.getModificationTime() < limit
+        ]
+        for folder in doomed:
+            self._delete(f"{self.path(name)}/{folder}")
+        return len(doomed)

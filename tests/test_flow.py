@@ -4,6 +4,7 @@ import csv
 import datetime as dt
 import json
 import os
+import shutil
 import time
 from dataclasses import replace
 
@@ -15,7 +16,8 @@ from feedloom.operators import audit, history as h
 from feedloom.plans import flow
 from feedloom.plans.feeds import FEEDS, ahl, heartland, unl
 from feedloom.plans.specs import Route
-from feedloom.sinks.tables import Tables
+from feedloom.sinks.commits import ConflictError
+from feedloom.sinks.tables import Change, Tables
 from feedloom.sources import files as src
 from feedloom.sources.names import snake_case, stored_names
 from feedloom.sources.snapshots import PayloadError, read_json_array
@@ -182,8 +184,8 @@ def test_policy_flow(spark, warehouse):
     # The next file only extends; a repeated refresh of the same load changes nothing.
     policy_file(root, 9, ("p", "T", "20260601"), ("q", "T", "20260701"))
     out = flow.load(tables, feed, root, "2", NOW, roster(spark))
-    name = flow.typed_name("unl_fym_policy_change_history")
-    assert len(tables.loads(name)) == 1 and flow.progress(tables, name) == ({"1", "2"}, True)
+    name = flow.history_name(feed)
+    assert len(tables.loads(name)) == 2 and tables.pending(flow.typed_name(feed.table), name)[:2] == (["1", "2"], [])
     extended = history_of(out)
     again = flow.refresh(tables, feed, NOW, roster(spark))
     assert history_of(again) == extended and again["typed"].count() == 6
@@ -238,40 +240,146 @@ class Stop(Exception):
     pass
 
 
-@pytest.mark.parametrize("late", [False, True])
-def test_a_refresh_stopped_at_any_write_is_made_good(spark, tmp_path, late):
-    """Stopped after each write of the history step, then another load: equal to a full rebuild."""
-    days = (1, 5, 3, 7) if late else (1, 3, 5, 7)
-    for stop_at in range(1, 5):
-        tables, root = Tables(spark, str(tmp_path / f"t{stop_at}")), str(tmp_path / f"l{stop_at}")
-        feed, codes = replace(FEEDS["unl"], episodes=None), dict(zip(days, "ATXY"))
-        policy_file(root, days[0], ("p", codes[days[0]], "20260501"))
-        flow.load(tables, feed, root, "1", NOW)
-        policy_file(root, days[1], ("p", codes[days[1]], "20260501"), ("q", "A", ""))
-        flow.load(tables, feed, root, "2", NOW)
-        policy_file(root, days[2], ("p", codes[days[2]], "20260501"))
-        writes = []
-
-        def counting(real):
-            def write(name, *args):
-                result = real(name, *args)
-                if "_change_history" in name:
-                    writes.append(name)
-                    if len(writes) == stop_at:
-                        raise Stop
-                return result
-            return write
+def stopping(tables, monkeypatch, at):
+    """Let the tables' ``at``-th step fail; a step is a write aside, a commit that is not made, or one that is. Returns the steps seen."""
+    seen = []
 
+    def step(name):
+        seen.append(name)
+        if len(seen) == at:
+            raise Stop(name)
+
+    write, create = Change._write, tables.log.create
+
+    def writing(self, kind, name, rows, load_id):
+        written = write(self, kind, name, rows, load_id)
+        step(name)
+        return written
+
+    def creating(name, text):
+        step("before commit")
+        made = create(name, text)
+        step("after commit")
+        return made
+
+    monkeypatch.setattr(Change, "_write", writing)
+    monkeypatch.setattr(tables.log, "create", creating)
+    return seen
+
+
+def state_of(tables, feed, out):
+    """What all of a feed's tables say, ids of loads aside."""
+    def plain(df):
+        return sorted(map(str, df.select(sorted(set(df.columns) - {"load_id", "raw_load_id", "load", "recorded_at"})).collect()))
+
+    kept = [flow.raw_name(feed.table), f"{flow.history_name(feed)}_tail", f"{flow.episodes_name(feed)}_last", flow.intake_name(feed), flow.EVENTS]
+    return {n: plain(tables.read(n)) for n in kept} | {n: plain(out[n]) for n in ("typed", "history", "episodes", "latest_typed", "latest_raw")}
+
+
+def test_a_load_stopped_anywhere_is_made_good_under_any_id(spark, tmp_path):
+    """Stopped at every commit of the second load, then loaded under another id: as if nothing had happened."""
+    feed, root, base = FEEDS["unl"], str(tmp_path / "landing"), str(tmp_path / "base")
+
+    def lay(n, day):
+        path = land(root, f"unl/inbound/UNLFYM_Policy_202605{day}060000.csv", HEADER, [
+            ["m", p, "AT"[n], "DIR", "3", paid, "100", "200"] for p, paid in (("p", "20260501"), ("q", "20260720"), (f"r{n}", "20260501"))
+        ])
+        os.utime(path, (1_780_000_000 + n,) * 2)
+
+    lay(0, 21)
+    flow.load(Tables(spark, base), feed, root, "1", NOW)
+    lay(1, 17)  # late
+    stop_at, steps, want = 0, [], None
+    while stop_at <= len(steps):
+        shutil.copytree(base, tmp_path / f"t{stop_at}")
+        tables = Tables(spark, str(tmp_path / f"t{stop_at}"))
         with pytest.MonkeyPatch.context() as m:
-            m.setattr(tables, "append", counting(tables.append))
-            m.setattr(tables, "replace", counting(tables.replace))
-            with pytest.raises(Stop):
-                flow.load(tables, feed, root, "3", NOW)
-        policy_file(root, days[3], ("p", codes[days[3]], "20260501"))
-        out = flow.load(tables, feed, root, "4", NOW)
-        full = dict(out, history=h.change_history(out["typed"], feed.history))
-        out["history"] = out["history"].select(*feed.history.output)
-        assert history_of(out) == history_of(full) and len(history_of(out)) == 5
+            seen = stopping(tables, m, stop_at)
+            if stop_at:
+                with pytest.raises(Stop):
+                    flow.load(tables, feed, root, "2", NOW)
+            else:
+                out = flow.load(tables, feed, root, "2", NOW)
+                steps, want = list(seen), state_of(tables, feed, out)
+                assert len(want["typed"]) == len(want[flow.raw_name(feed.table)]) == 6 and want["episodes"]
+        if stop_at:
+            again = Tables(spark, tables.root)
+            out = flow.load(again, feed, root, "other", NOW)
+            # Stopped after its last commit, nothing is left to do.
+            assert state_of(again, feed, out) == want if out else stop_at == len(steps), (stop_at, steps[stop_at - 1])
+        # What is written aside is not seen, so one stop between two commits stands for all.
+        stop_at += 1
+        while 1 < stop_at <= len(steps) and steps[stop_at - 1] != "after commit":
+            stop_at += 1
+
+
+def test_two_first_loads_at_once_keep_both(spark, tmp_path):
+    """Two feeds that share the ledger, each publishing first; then one feed loaded twice at once."""
+    root = str(tmp_path / "landing")
+    ahl_file(root, 1, ("p", "A", "20260101"))
+    policy_file(root, 1, ("p", "A", "20260501"))
+    one, two = (Tables(spark, str(tmp_path / "t")) for _ in range(2))
+    create, done = two.log.create, []
+
+    def beaten(name, text):
+        if not done:
+            done.append(name)
+            flow.load(one, FEEDS["unl"], root, f"one {name}", NOW, refresh_derived=False)
+        return create(name, text)
+
+    two.log.create = beaten
+    flow.load(two, FEEDS["ahl"], root, "1", NOW, refresh_derived=False)
+    assert sorted(r.provider for r in flow.ledger(one).collect()) == ["ahl", "unl"]
+    policy_file(root, 2, ("p", "T", "20260501"))
+    done.clear()
+    with pytest.raises(ConflictError, match="intake/unl"):
+        flow.load(two, FEEDS["unl"], root, "2", NOW)
+    assert one.read(flow.raw_name("unl_fym_policy")).count() == 2
+    assert flow.load(two, FEEDS["unl"], root, "3", NOW)["typed"].count() == 2
+
+
+def test_the_newest_file_is_told_by_statistics(spark, warehouse):
+    """Three loads with a tie of times; the view opens the folder of one load."""
+    tables, root = warehouse
+    feed = FEEDS["ahl"]
+    for n, day in enumerate((2, 3, 1)):
+        ahl_file(root, day, (f"p{day}", "A", "20260101"))
+        os.utime(os.path.join(root, f"ahl/inbound/FYM_POL_202606{day:02d}.csv"), (1_780_000_000,) * 2)
+        out = flow.load(tables, feed, root, str(n), NOW)
+    # Times are equal: the raw view goes by load id, the typed one by the day of the file.
+    assert [r["fympolkey"] for r in out["latest_raw"].collect()] == ["p1"]
+    assert [r["policy_number"] for r in out["latest_typed"].collect()] == ["p3"]
+    for view, name in (("latest_raw", flow.raw_name(feed.table)), ("latest_typed", flow.typed_name(feed.table))):
+        opened = {f.split("/part-")[1].split("/")[0] for f in out[view].inputFiles() if f"{name}/part-" in f}
+        assert len(opened) == 1
+
+
+def test_kept_episodes_equal_the_whole(spark, warehouse, monkeypatch):
+    """Loads in order and late; a later load reads new rows, days and the keys they touch."""
+    from feedloom.operators.episodes import risk_episodes
+
+    tables, root = warehouse
+    feed = FEEDS["unl"]
+    for n, day in enumerate((16, 18, 26, 21, 28, 17)):
+        land(root, f"unl/inbound/UNLFYM_Policy_202605{day}060000.csv", HEADER, [
+            ["m", f"p{i}", "T" if (i + day) % 7 == 0 else "A", "DIR", "3", "20260501" if (i * day) % 3 else "20260720", "", ""] for i in range(12) if (i + day) % 4
+        ])
+        out = flow.load(tables, feed, root, str(n), NOW)
+        want = risk_episodes(tables.read(flow.typed_name(feed.table)), feed.key, feed.episodes)
+        assert sorted(map(str, out["episodes"].collect())) == sorted(map(str, want.collect())) and want.count()
+    name = flow.episodes_name(feed)
+    assert len(tables.loads(f"{name}_days")) == 6 and tables.loads(f"{name}_last") == ["base"]
+
+
+def test_statements_are_typed_by_load_unless_a_file_came_again(spark, warehouse):
+    tables, root = warehouse
+    header = [c.raw for c in unl.ADVANCES.columns]
+    for n, (day, cells) in enumerate(((1, "ab"), (8, "c"), (1, "abd"))):
+        path = land(root, f"unl/inbound/CommissionStatements/WA_202JVV00_2026_06_{day:02d}.csv", header, [[c] * len(header) for c in cells])
+        os.utime(path, (1_780_000_000 + n,) * 2)
+        out = flow.load(tables, FEEDS["unl"], root, str(n), NOW)["unl_weekly_advance_statements"]
+        assert len(tables.loads(flow.typed_name("unl_weekly_advance_statements"))) == (1, 2, 1)[n]
+    assert sorted((r["source_file"][-6:], r["row_number"]) for r in out.collect()) == [("01.csv", i) for i in range(1, 6)] + [("08.csv", 1)]
 
 
 def test_statements_may_come_first(spark, warehouse):
@@ -295,6 +403,9 @@ def test_stopped_refresh_is_completed_later(spark, warehouse, monkeypatch):
         m.setattr(flow, "refresh_history", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             flow.load(tables, feed, root, "2", NOW)
+    # No new file, but the refresh is not finished.
+    assert flow.load(tables, feed, root, "x", NOW)["history"].count() == 2
+    assert flow.load(tables, feed, root, "x", NOW) == {}
     policy_file(root, 3, ("p", "T", "20260501"))
     out = flow.load(tables, feed, root, "3", NOW)
     full = dict(out, history=h.change_history(out["typed"], feed.history))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import audit, latest, merge, typed, versions
 from feedloom.plans.specs import DATE, INT, Col, TypedSpec
+from feedloom.sinks import commits
+from feedloom.sinks.commits import ConflictError
+from feedloom.sinks.tables import Tables
 
 NOW = dt.datetime(2026, 7, 1, tzinfo=dt.timezone.utc)
 KV = "k string, v string"
@@ -155,22 +158,113 @@ def test_export_keeps_every_value(spark, tmp_path):
         assert sorted(r["amount"] for r in csv.DictReader(f)) == sorted(t or "" for t in texts)
 
 
-def test_a_version_is_published_in_one_step(spark, tmp_path):
-    from feedloom.sinks.tables import Tables
 
+def frame(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n int")
+
+
+def test_tables_change_by_commits(spark, tmp_path):
     tables = Tables(spark, str(tmp_path / "t"))
-    frame = lambda *n: spark.createDataFrame([(i,) for i in n], "n int")
-    tables.append("a", frame(1), "10")
+    assert tables.read("a") is None and not tables.exists("a") and tables.loads("a") == []
+    tables.append("a", frame(spark, 1), "10")
     before = tables.read("a")
-    staged = tables.stage("a", frame(2, 3), "9")
+    change = tables.change()
+    assert rows(change.append("a", frame(spark, 2, 3), "9"), "n") == [(2,), (3,)]
     assert rows(tables.read("a"), "n") == [(1,)]
-    staged.publish()
-    tables.append("a", frame(2, 4), "9")
+    change.discard()
+    tables.append("a", frame(spark, 2, 4), "9")
     assert rows(tables.read("a"), "n") == [(1,), (2,), (4,)] and tables.loads("a") == ["10", "9"]
     assert rows(tables.read("a", only=["9"]), "n") == [(2,), (4,)] and rows(tables.read("a", without=["9"]), "n") == [(1,)]
-    tables.replace("a", tables.read("a").filter("n > 1"))
-    assert rows(before, "n") == [(1,)]  # the version before stays for readers that have begun
-    for _ in range(3):
-        tables.replace("a", tables.read("a"))
-    assert rows(tables.read("a"), "n") == [(2,), (4,)]
-    assert len([p for p in (tmp_path / "t" / "a").iterdir() if p.name.startswith("v-")]) == 2
+    assert rows(tables.read("a", only=[])) == [] and tables.read_load("a", "x") is None
+    tables.append("a", frame(spark, 5), "9")
+    assert rows(tables.read("a"), "n") == [(1,), (5,)]
+    assert tables.replace("a", tables.read("a").filter("n > 1")).count() == 1
+    # The replaced folders stay for readers that have begun, until the next replacement.
+    assert rows(before) == [(1,)]
+    tables.replace("a", tables.read("a"))
+    assert rows(tables.read("a"), "n") == [(5,)]
+    with pytest.raises(Exception, match="(?i)not.exist|not found"):
+        before.collect()
+    tables.drop(["a"])
+    assert tables.read("a") is None
+
+
+def test_one_commit_shows_all_tables_or_none(spark, tmp_path):
+    tables, other = (Tables(spark, str(tmp_path / "t")) for _ in range(2))
+    change = tables.change()
+    change.append("a", frame(spark, 1), "1")
+    change.replace("b", frame(spark, 2))
+    change.mark("step", 0)
+    assert not other.exists("a") and not other.exists("b")
+    assert change.publish() == 0
+    assert rows(other.read("a")) == [(1,)] and rows(other.read("b")) == [(2,)]
+    assert other.pending("a", "step") == (["1"], [], 0)
+    tables.append("a", frame(spark, 3), "2")
+    assert other.pending("a", "step") == (["1", "2"], ["2"], 1)
+
+
+def test_two_first_appends_keep_both(spark, tmp_path):
+    """Both writers find no table; the second one to publish meets a number that is taken."""
+    one, two = (Tables(spark, str(tmp_path / "t")) for _ in range(2))
+    first, second = one.change(), two.change()
+    first.append("a", frame(spark, 1), "A")
+    second.append("a", frame(spark, 2), "B")
+    create, raced = two.log.create, []
+
+    def beaten(name, text):
+        if not raced:
+            raced.append(name)
+            first.publish()
+        return create(name, text)
+
+    two.log.create = beaten
+    assert second.publish() == 1 and raced == ["000000000000.commit"]
+    assert one.loads("a") == two.loads("a") == ["A", "B"] and rows(one.read("a"), "n") == [(1,), (2,)]
+
+
+def test_a_replacement_of_what_has_changed_is_refused(spark, tmp_path):
+    one, two = (Tables(spark, str(tmp_path / "t")) for _ in range(2))
+    one.replace("a", frame(spark, 1))
+    seen = two.read("a")
+    one.append("a", frame(spark, 2), "x")
+    with pytest.raises(ConflictError, match="a"):
+        two.replace("a", seen)
+    assert rows(one.read("a"), "n") == [(1,), (2,)]
+    # Read again, it goes through; so does a change that depends on an untouched table.
+    assert two.replace("a", two.read("a")).count() == 2
+    change = one.change(depends=["b"])
+    two.append("a", frame(spark, 3), "y")
+    change.append("a", frame(spark, 4), "z")
+    change.publish()
+    change = one.change(depends=["a"])
+    two.append("a", frame(spark, 5), "w")
+    change.append("c", frame(spark, 6), "z")
+    with pytest.raises(ConflictError):
+        change.publish()
+    assert rows(two.read("a"), "n") == [(1,), (2,), (3,), (4,), (5,)] and not two.exists("c")
+
+
+def test_many_commits_are_summed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "EVERY", 3)
+    tables = Tables(spark, str(tmp_path / "t"))
+    for i in range(7):
+        change = tables.change()
+        change.mark(f"m{i % 2}", i)
+        change.changes.append({"do": "append", "table": "a", "load": str(i), "folder": f"f{i}", "schema": "{}"})
+        change.publish()
+    fresh = Tables(spark, str(tmp_path / "t"))
+    read, opened = fresh.log._read, []
+    fresh.log._read = lambda name: opened.append(name) or read(name)
+    assert fresh.loads("a") == [str(i) for i in range(7)] and fresh.log.state().marks == {"m0": 6, "m1": 5}
+    assert opened == ["000000000005.sum", "000000000006.commit"]
+    assert fresh.log.state().written() == tables.log.state().written()
+
+
+def test_sweep_removes_what_no_commit_names(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "t"))
+    tables.append("a", frame(spark, 1), "1")
+    tables.change().append("a", frame(spark, 2), "2")
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=2)
+    assert tables.sweep("a", dt.timedelta(days=1), later) == 0
+    assert tables.sweep("a", dt.timedelta(hours=1), later) == 1
+    assert rows(tables.read("a")) == [(1,)] and tables.sweep("none", dt.timedelta(0), later) == 0
