@@ -8,16 +8,20 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.plans.specs import LINEAGE, Route
+from feedloom.sources import ranges
 from feedloom.sources.names import stored_names
 
 # Cell texts read as NULL unless a route keeps them.
@@ -176,11 +180,6 @@ def csv_cells(reader, header: Sequence[str], multiline: bool, with_header: bool)
         return lambda *paths: reader.load(*paths).select("*", "_metadata")
 
     lines = reader.schema("line string").option("sep", LINE_CELL).option("quote", "").option("nullValue", NEVER_NULL)
-    cells = [f"c{i}" for i in range(len(header))]
-    schema = ", ".join(f"{c} string" for c in [*cells, "bad"])
-    options = {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "escape": '"', "nullValue": NEVER_NULL, "emptyValue": "",
-    }
 
     def load(*paths) -> DataFrame:
         rows = lines.load(*paths).select("line", "_metadata")
@@ -188,19 +187,54 @@ def csv_cells(reader, header: Sequence[str], multiline: bool, with_header: bool)
         file = decoded(F.col("_metadata.file_path"))
         open_quote = F.raise_error(F.concat(F.lit("a quoted line break, but the route splits files by line: "), file))
         checked = F.when(quotes % 2 == 1, open_quote.cast("string")).otherwise(F.col("line"))
-        rows = rows.select(F.from_csv(checked, schema, options).alias("cells"), "_metadata")
-        malformed = F.raise_error(F.concat(F.lit("malformed line in "), file)).cast("boolean")
-        rows = rows.filter(F.when(F.col("cells.bad").isNotNull(), malformed).otherwise(F.lit(True)))
-        return rows.select(*[F.col(f"cells.{c}").alias(h) for c, h in zip(cells, header, strict=True)], "_metadata")
+        return parsed_cells(rows.select(checked.alias("record"), "_metadata"), header)
 
     return load
 
 
+def parsed_cells(records: DataFrame, header: Sequence[str]) -> DataFrame:
+    """The cells of ``record`` texts under ``header``; a malformed one fails the load and names its file."""
+    cells = [f"c{i}" for i in range(len(header))]
+    schema = ", ".join(f"{c} string" for c in [*cells, "bad"])
+    options = {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "escape": '"', "nullValue": NEVER_NULL, "emptyValue": "",
+    }
+    rows = records.select(F.from_csv("record", schema, options).alias("cells"), "_metadata")
+    file = decoded(F.col("_metadata.file_path"))
+    malformed = F.raise_error(F.concat(F.lit("malformed line in "), file)).cast("boolean")
+    rows = rows.filter(F.when(F.col("cells.bad").isNotNull(), malformed).otherwise(F.lit(True)))
+    return rows.select(*[F.col(f"cells.{c}").alias(h) for c, h in zip(cells, header, strict=True)], "_metadata")
+
+
+def _plain_path(path: str) -> str:
+    """A path as the listing has it, whichever way the scheme's slashes are written."""
+    return re.sub(r"^([a-z0-9]+):/+", r"\1:/", path)
+
+
 def scan_csv(spark: SparkSession, files: Sequence[LandedFile], header: Sequence[str], route: Route) -> DataFrame:
-    """Files sharing one header, as text under stored names, with lineage."""
-    load = csv_cells(spark.read, header, route.multiline, with_header=True)
+    """Files sharing one header, as text under stored names, with lineage.
+
+    Of a route whose files may have quoted line breaks, files larger than a byte range are read by several tasks each.
+    """
+    found = ranges.Survey([], [], [])
+    paths = [f.path for f in files]
+    if not route.multiline:
+        found.lines = paths
+    else:
+        large = [f.path for f in files if f.size > ranges.range_bytes(spark)]
+        if large:
+            listed = {_plain_path(p): p for p in large}
+            found = ranges.survey(spark, large)
+            found.lines, found.whole = ([listed[_plain_path(unquote(p))] for p in part] for part in (found.lines, found.whole))
+        found.whole += [p for p in paths if p not in set(large)]
+    scans = [
+        csv_cells(spark.read, header, multiline, with_header=True)(part)
+        for part, multiline in ((found.lines, False), (found.whole, True)) if part
+    ]
+    if found.records:
+        scans.append(parsed_cells(ranges.csv_records(found.stored), header))
     cells = [_cell(h, route.keep_tokens).alias(n) for h, n in stored_names(header).items()]
-    return load([f.path for f in files]).select(*cells, *_lineage())
+    return reduce(DataFrame.unionByName, [rows.select(*cells, *_lineage()) for rows in scans])
 
 
 def scan_route(spark: SparkSession, files: Sequence[LandedFile], route: Route) -> DataFrame:

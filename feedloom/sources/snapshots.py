@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.sources import ranges
 from feedloom.sources.files import NoFilesError, _file_system, landed
 from feedloom.sources.names import snake_case
 
@@ -35,8 +37,8 @@ def read_json_array(
 ) -> DataFrame:
     """Objects of the JSON array files matching ``path``.
 
-    An array is one document, so each file is read by one task. With ``fields`` every value is text under its stored name, absent ones are NULL and
-    others are dropped. ``limit`` keeps the first objects.
+    With ``fields`` every value is text under its stored name, absent ones are NULL and others are dropped; files larger than a byte
+    range are then read by several tasks each. ``limit`` keeps the first objects.
     """
     root, _, name = path.rpartition("/")
     files = landed(spark, root, name)
@@ -49,8 +51,13 @@ def read_json_array(
     if fields is None:
         rows = reader.json(path)
     else:
-        rows = reader.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields])).json(path)
-        rows = rows.select(*[F.col(f).alias(snake_case(f)) for f in fields])
+        schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+        large = [f.path for f in files if f.size > ranges.range_bytes(spark)] if limit is None else []
+        small = [f.path for f in files if f.path not in set(large)]
+        parts = [reader.schema(schema).json(small)] if small else []
+        if large:
+            parts.append(ranges.read_elements(spark, large, schema))
+        rows = reduce(DataFrame.unionByName, parts).select(*[F.col(f).alias(snake_case(f)) for f in fields])
     return rows if limit is None else rows.limit(limit)
 
 
