@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import history as h
 from feedloom.operators.skew import numbered
+from feedloom.queries.changes import CHANGE_ROW, PREVIOUS_ROW, changes_sql, event_place
 from feedloom.queries.registry import query, table
 from feedloom.session import cut
 
@@ -16,27 +17,16 @@ EVENT_HISTORY = h.HistorySpec(
         h.Tracked("big", "previous_big", "big_changed"),
     ),
 )
-EVENT_HISTORY_SQL = """
-    WITH seen AS (
-        SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day, nullif(event_type, 'view') AS kind, value > 30 AS big
-        FROM events
-    ),
-    ranked AS (
-        SELECT *, row_number() OVER w AS n, lag(kind) OVER w AS kind_before, lag(big) OVER w AS big_before
-        FROM seen WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
-    ),
-    latest AS (
-        SELECT *,
-               max(CASE WHEN n > 1 AND kind IS DISTINCT FROM kind_before THEN n END) OVER w AS kind_n,
-               max(CASE WHEN n > 1 AND kind IS DISTINCT FROM kind_before THEN day END) OVER w AS kind_changed,
-               max(CASE WHEN n > 1 AND big IS DISTINCT FROM big_before THEN n END) OVER w AS big_n,
-               max(CASE WHEN n > 1 AND big IS DISTINCT FROM big_before THEN day END) OVER w AS big_changed
-        FROM ranked WINDOW w AS (PARTITION BY user_id ORDER BY n)
-    )
-    SELECT r.event_id, k.kind_before AS previous_kind, r.kind_changed, b.big_before AS previous_big, r.big_changed
-    FROM latest r
-    LEFT JOIN ranked k ON k.user_id = r.user_id AND k.n = r.kind_n
-    LEFT JOIN ranked b ON b.user_id = r.user_id AND b.n = r.big_n"""
+KINDS = (("kind", "previous_kind", "kind_changed"), ("big", "previous_big", "big_changed"))
+SEEN_EVENTS = """
+    SELECT event_id, user_id, {day} AS day, nullif(event_type, 'view') AS kind, value > 30 AS big, {place} FROM events"""
+
+
+def event_history_sql(day: str, place: str) -> str:
+    return f"WITH {changes_sql(SEEN_EVENTS.format(day=day, place=place), 'user_id', 'event_id', KINDS)} SELECT * FROM history"
+
+
+EVENT_HISTORY_SQL = event_history_sql("CAST(ts AS DATE)", event_place())
 
 
 def observed_events(spark, sf_dir):
@@ -84,9 +74,10 @@ def history_after_repair(spark, sf_dir):
 UNDATED = "event_id % 9 = 4"
 
 
-@query("incremental_history_null_days", EVENT_HISTORY_SQL.replace(
-    "CAST(ts AS DATE) AS day", f"CASE WHEN {UNDATED} THEN NULL ELSE CAST(ts AS DATE) END AS day"
-).replace("ORDER BY ts, event_id", "ORDER BY day NULLS LAST, event_id"))
+DATED = f"CASE WHEN {UNDATED} THEN NULL ELSE CAST(ts AS DATE) END"
+
+
+@query("incremental_history_null_days", event_history_sql(DATED, event_place(f"coalesce({DATED}, DATE '9999-01-01')")))
 def incremental_history_null_days(spark, sf_dir):
     """Every ninth event has no day; they arrive with the first and the last of three loads."""
     spec = replace(EVENT_HISTORY, order=("day", "event_id"))
@@ -99,19 +90,13 @@ def incremental_history_null_days(spark, sf_dir):
     return stored
 
 
-@query("change_row_history", """
-    WITH ranked AS (
-        SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day, row_number() OVER w AS n,
-               lag(o_orderstatus) OVER w AS before
-        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
-    ),
-    latest AS (
-        SELECT *, max(CASE WHEN n > 1 AND o_orderstatus <> before THEN n END)
-                  OVER (PARTITION BY o_custkey ORDER BY n) AS change_n
-        FROM ranked
-    )
-    SELECT l.o_orderkey, c.before AS previous_status, c.day AS status_changed
-    FROM latest l LEFT JOIN ranked c ON c.o_custkey = l.o_custkey AND c.n = l.change_n""")
+ORDER_CHANGES = changes_sql(
+    f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day, {event_place('o_orderdate', 'o_orderkey')} FROM orders",
+    "o_custkey", "o_orderkey", [("o_orderstatus", "previous_status", "status_changed")], CHANGE_ROW,
+)
+
+
+@query("change_row_history", f"WITH {ORDER_CHANGES} SELECT * FROM history")
 def change_row_history(spark, sf_dir):
     spec = h.HistorySpec(
         key=("o_custkey",), order=("o_orderdate", "o_orderkey"), row_id="o_orderkey", event_date="day",
@@ -125,19 +110,11 @@ STATUS_SPEC = h.HistorySpec(
     key=("user_id",), order=("ts", "event_id"), row_id="event_id", event_date="day",
     date_rule=h.PREVIOUS_ROW, tracked=(h.Tracked("event_type", "previous_status", "previous_status_date"),),
 )
-STATUS_SQL = """
-    WITH ranked AS (
-        SELECT event_id, user_id, event_type, row_number() OVER w AS n, lag(event_type) OVER w AS before,
-               CAST(lag(ts) OVER w AS DATE) AS before_day
-        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
-    ),
-    latest AS (
-        SELECT *, max(CASE WHEN n > 1 AND event_type <> before THEN n END)
-                  OVER (PARTITION BY user_id ORDER BY n) AS change_n
-        FROM ranked
-    )
-    SELECT l.event_id, c.before AS previous_status, c.before_day AS previous_status_date
-    FROM latest l LEFT JOIN ranked c ON c.user_id = l.user_id AND c.n = l.change_n"""
+STATUS_CHANGES = changes_sql(
+    f"SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day, {event_place()} FROM events",
+    "user_id", "event_id", [("event_type", "previous_status", "previous_status_date")], PREVIOUS_ROW,
+)
+STATUS_SQL = f"WITH {STATUS_CHANGES} SELECT * FROM history"
 
 
 @query("status_prev_date", STATUS_SQL)
@@ -154,17 +131,13 @@ def status_correct_and_append(spark, sf_dir):
     return h.correct_and_append(stored, computed, "event_id", ["previous_status", "previous_status_date"])
 
 
-@query("role_history", """
-    WITH ranked AS (
-        SELECT conv_id, turn, role, row_number() OVER w AS n, lag(role) OVER w AS before
-        FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
-    ),
-    latest AS (
-        SELECT *, max(CASE WHEN n > 1 AND role <> before THEN n END) OVER (PARTITION BY conv_id ORDER BY n) AS change_n
-        FROM ranked
-    )
-    SELECT l.conv_id, l.turn, c.before AS previous_role
-    FROM latest l LEFT JOIN ranked c ON c.conv_id = l.conv_id AND c.n = l.change_n""")
+ROLE_CHANGES = changes_sql(
+    "SELECT {'conv_id': conv_id, 'turn': turn} AS id, conv_id, turn, role, turn AS place, CAST(NULL AS DATE) AS day FROM conversations",
+    "conv_id", "id", [("role", "previous_role", "role_changed")],
+)
+
+
+@query("role_history", f"WITH {ROLE_CHANGES} SELECT id.conv_id AS conv_id, id.turn AS turn, previous_role FROM history")
 def role_history(spark, sf_dir):
     spec = h.HistorySpec(
         key=("conv_id",), order=("turn",), row_id="row_id", event_date="day",

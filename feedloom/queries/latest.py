@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import history as h
 from feedloom.operators import latest as lt
-from feedloom.operators.episodes import policy_risk_episodes
+from feedloom.operators.episodes import POLICY_RULE, risk_episodes
 from feedloom.plans.feeds import unl
 from feedloom.queries import texts as x
+from feedloom.queries.changes import changes_sql
 from feedloom.queries.episodes import episodes_from
 from feedloom.queries.registry import query, table
 from feedloom.queries.typing import policy_sql, stored_policies, unl_policies
@@ -65,28 +66,14 @@ def latest_load_audit(spark, sf_dir):
     return lt.rows_of_file(rows, lt.latest_file_by_ledger(file_ledger(spark, sf_dir), "unl", unl.FILE_PATTERNS))
 
 
-POLICY_HISTORY_SQL = f"""
-    typed AS ({policy_sql(x.POLICY_TEXT, trimmed=False)}),
-    ranked AS (
-        SELECT *, row_number() OVER w AS n, lag(cntrct_code) OVER w AS code_before, lag(at_risk_policy) OVER w AS risk_before
-        FROM typed WINDOW w AS (PARTITION BY policy_nbr ORDER BY file_date NULLS LAST, row_id)
-    ),
-    marked AS (
-        SELECT *, n > 1 AND cntrct_code IS DISTINCT FROM code_before AS code_changed,
-               n > 1 AND at_risk_policy IS DISTINCT FROM risk_before AS risk_changed FROM ranked
-    ),
-    upto AS (
-        SELECT *, max(CASE WHEN code_changed THEN n END) OVER w AS code_n, max(CASE WHEN risk_changed THEN n END) OVER w AS risk_n,
-               max(CASE WHEN code_changed THEN file_date END) OVER w AS code_day,
-               max(CASE WHEN risk_changed THEN file_date END) OVER w AS risk_day
-        FROM marked WINDOW w AS (PARTITION BY policy_nbr ORDER BY n)
-    ),
-    history AS (
-        SELECT u.row_id, c.code_before AS previous_contract_code, u.code_day AS contract_code_last_change_date,
-               r.risk_before AS previous_at_risk_status, u.risk_day AS at_risk_status_last_change_date
-        FROM upto u LEFT JOIN ranked c ON c.policy_nbr = u.policy_nbr AND c.n = u.code_n
-                    LEFT JOIN ranked r ON r.policy_nbr = u.policy_nbr AND r.n = u.risk_n
-    )"""
+POLICY_HISTORY_SQL = changes_sql(
+    f"""SELECT *, file_date AS day, strftime(coalesce(file_date, DATE '9999-01-01'), '%Y%m%d') || row_id AS place
+        FROM ({policy_sql(x.POLICY_TEXT, trimmed=False)})""",
+    "policy_nbr", "row_id", [
+        ("cntrct_code", "previous_contract_code", "contract_code_last_change_date"),
+        ("at_risk_policy", "previous_at_risk_status", "at_risk_status_last_change_date"),
+    ],
+)
 
 
 @query("policy_change_history", f"WITH {POLICY_HISTORY_SQL} SELECT * FROM history")
@@ -98,7 +85,7 @@ def policy_change_history(spark, sf_dir):
 @query("latest_enriched", f"""
     WITH {POLICY_HISTORY_SQL}
     SELECT t.policy_nbr, t.row_id, t.cntrct_code, t.file_date, 'unl' AS carrier, h.* EXCLUDE (row_id)
-    FROM typed t LEFT JOIN history h USING (row_id)
+    FROM seen t LEFT JOIN history h USING (row_id)
     WHERE t.file_date = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderstatus = 'F')""")
 def latest_enriched(spark, sf_dir):
     policies = unl_policies(spark, sf_dir)
@@ -115,4 +102,4 @@ POLICY_DAYS = f"""
 
 @query("policy_risk_episodes", episodes_from(POLICY_DAYS, "policy_nbr", 7))
 def policy_episodes(spark, sf_dir):
-    return policy_risk_episodes(stored_policies(spark, sf_dir))
+    return risk_episodes(stored_policies(spark, sf_dir), "policy_nbr", POLICY_RULE)

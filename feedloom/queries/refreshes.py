@@ -60,32 +60,43 @@ HISTORY_SQL = f"""
     FROM typed t JOIN moves m ON m.policy_nbr = t.policy_nbr AND m.file_date <= t.file_date GROUP BY ALL"""
 
 
-def file_name(year: int) -> str:
-    return f"UNLFYM_Policy_202605{10 + 2 * (year - 1995):02d}060000.csv"
+#: Rows of a landed file at most, on average; a day's policies come in as many files as that takes.
+FILE_ROWS = 500
+DAY_FILES = f"""
+    SELECT *, concat('UNLFYM_Policy_', strftime(DATE '2026-05-10' + CAST(2 * (y - 1995) AS INTEGER), '%Y%m%d'), lpad(CAST(o_custkey % parts AS VARCHAR), 6, '0'), '.csv') AS file
+    FROM (SELECT o_custkey, year(o_orderdate) AS y, CAST(ceil(count(*) OVER (PARTITION BY year(o_orderdate)) / {FILE_ROWS}) AS BIGINT) AS parts FROM {FIRST_ORDERS})"""
+
+
+def day_of(year: int) -> str:
+    return f"202605{10 + 2 * (year - 1995):02d}"
 
 
 def named_csv(rows, folder: str, name: str) -> None:
-    """One CSV file under its own name, as a carrier drops it."""
+    """A CSV file for each value of ``part``, under a name of its own, as a carrier drops it."""
     spark, made = rows.sparkSession, scratch_path(rows.sparkSession, "drop")
-    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(made)
+    rows.repartition("part").write.partitionBy("part").option("header", True).option("escape", '"').csv(made)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
-    fs.rename(fs.globStatus(path(f"{made}/part-*.csv"))[0].getPath(), path(f"{folder}/{name}"))
+    for made_file in fs.globStatus(path(f"{made}/part=*/part-*.csv")):
+        part = int(made_file.getPath().getParent().getName().split("=")[1])
+        fs.rename(made_file.getPath(), path(f"{folder}/{name.format(part)}"))
 
 
 def land_year(spark, sf_dir, root: str, year: int) -> None:
     orders = table(spark, sf_dir, "orders").filter(F.year("o_orderdate") == year)
     first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
-    rows = orders.join(first, ["o_custkey", "o_orderkey"]).selectExpr(*[f"{x.render(e, x.SPARK)} AS {n}" for n, e in cells("chr(34)").items()])
-    named_csv(rows, f"{root}/unl/inbound", file_name(year))
+    parts = max(1, -(-first.count() // FILE_ROWS))
+    cell = [f"{x.render(e, x.SPARK)} AS {n}" for n, e in cells("chr(34)").items()]
+    rows = orders.join(first, ["o_custkey", "o_orderkey"]).selectExpr(*cell, f"o_custkey % {parts} AS part")
+    named_csv(rows, f"{root}/unl/inbound", f"UNLFYM_Policy_{day_of(year)}{{:06d}}.csv")
 
 
 def land_advances(spark, sf_dir, root: str) -> None:
     cells = {c.raw: F.lit(None).cast("string") for c in unl.ADVANCES.columns} | {
         "policy_nbr": F.concat(F.lit("P"), "o_custkey"), "desc": F.concat(F.lit(" "), "o_orderpriority"), "amount": F.col("o_orderkey").cast("string"),
     }
-    rows = table(spark, sf_dir, "orders").filter(F.year("o_orderdate") == 2001).select(*[v.alias(k) for k, v in cells.items()])
+    rows = table(spark, sf_dir, "orders").filter(F.year("o_orderdate") == 2001).select(*[v.alias(k) for k, v in cells.items()], F.lit(0).alias("part"))
     named_csv(rows, f"{root}/unl/inbound/CommissionStatements", "WA_202JVV00_2026_05_20.csv")
 
 
@@ -112,7 +123,10 @@ def refresh_history(spark, sf_dir):
     return with_history(refreshed(spark, sf_dir)[1])
 
 
-@query("refresh_latest", f"SELECT *, 'unl' AS carrier FROM ({HISTORY_SQL}) WHERE file_date = DATE '2026-05-22'")
+@query("refresh_latest", f"""
+    SELECT h.*, 'unl' AS carrier FROM ({HISTORY_SQL}) h
+    WHERE file_date = DATE '2026-05-22' AND policy_nbr IN (
+        SELECT concat('P', CAST(o_custkey AS VARCHAR)) FROM ({DAY_FILES}) WHERE y = 2001 AND file = (SELECT max(file) FROM ({DAY_FILES})))""")
 def refresh_latest(spark, sf_dir):
     """The newest landing by time and then by name, with its history."""
     rows = refreshed(spark, sf_dir)[1]["latest_typed"].withColumn("annual_premium", F.col("annual_premium").cast("double"))
@@ -127,10 +141,9 @@ def refresh_episodes(spark, sf_dir):
     return refreshed(spark, sf_dir)[1]["episodes"]
 
 
-@query("refresh_ledger", " UNION ALL ".join(
-    f"SELECT 'unl' AS provider, '{name}' AS file_name, 'loaded_to_postgres' AS status"
-    for name in [*map(file_name, YEARS), "WA_202JVV00_2026_05_20.csv"]
-))
+@query("refresh_ledger", f"""
+    SELECT DISTINCT 'unl' AS provider, file AS file_name, 'loaded_to_postgres' AS status FROM ({DAY_FILES})
+    UNION ALL SELECT 'unl', 'WA_202JVV00_2026_05_20.csv', 'loaded_to_postgres' WHERE EXISTS (FROM orders WHERE year(o_orderdate) = 2001)""")
 def refresh_ledger(spark, sf_dir):
     return flow.ledger(refreshed(spark, sf_dir)[0]).select("provider", "file_name", "status")
 
@@ -165,7 +178,7 @@ def load_flow_retry(spark, sf_dir):
     root = scratch_path(spark, "refresh")
     tables, feed = Tables(spark, f"{root}/tables"), replace(unl.FEED, episodes=None)
     land_year(spark, sf_dir, root, 1995)
-    folder, name = f"{root}/unl/inbound", file_name(1996)
+    folder, name = f"{root}/unl/inbound", f"UNLFYM_Policy_{day_of(1996)}999999.csv"
     land_empty(spark, folder, name)
     try:
         flow.load(tables, feed, root, "1", CLOCK)
@@ -186,6 +199,42 @@ def land_empty(spark, folder: str, name: str) -> None:
     out.close()
 
 
+class Stopped(Exception):
+    """A job that ends in the middle."""
+
+
+def stop(tables, real, when: str):
+    """The next commit of ``tables`` is not made, or is the last thing that the job does."""
+
+    def create(name, text):
+        tables.log.create = real
+        if when == "after":
+            real(name, text)
+        raise Stopped(when)
+
+    tables.log.create = create
+
+
+@query("load_crash_any_id", f"SELECT policy_nbr, file_date, CAST(1 AS BIGINT) AS raw_rows, CAST(1 AS BIGINT) AS files FROM ({TYPED_SQL}) WHERE file_date <= DATE '2026-05-14'")
+def load_crash_any_id(spark, sf_dir):
+    """Loads that stop before or after their commit, each repeated under another id: all rows are stored once, in raw, typed and ledger."""
+    root = scratch_path(spark, "refresh")
+    tables, feed = Tables(spark, f"{root}/tables"), replace(unl.FEED, episodes=None)
+    real = tables.log.create
+    for year, when, first, second in ((1995, "before", "a", "b"), (1996, "after", "c", "d"), (1997, "before", "e", "f")):
+        land_year(spark, sf_dir, root, year)
+        stop(tables, real, when)
+        try:
+            flow.load(tables, feed, root, first, CLOCK)
+            raise AssertionError("the load must stop")
+        except Stopped:
+            out = flow.load(tables, feed, root, second, CLOCK)
+    raw = tables.read(flow.raw_name(feed.table), evolving=True).groupBy("row_id", "source_file").agg(F.count(F.lit(1)).alias("raw_rows"))
+    ledger = flow.ledger(tables).groupBy(F.col("file_name").alias("source_file")).agg(F.count(F.lit(1)).alias("files"))
+    typed = out["typed"].select("policy_nbr", "file_date", F.col("raw_row_id").alias("row_id"))
+    return typed.join(raw, "row_id", "left").join(ledger, "source_file", "left").select("policy_nbr", "file_date", "raw_rows", "files")
+
+
 # ------------------------------------------------------------------ snapshots
 
 FETCHED = """

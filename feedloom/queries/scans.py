@@ -1,6 +1,7 @@
 """Files written from the tables, then read through the library."""
 
 import datetime as dt
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -67,6 +68,33 @@ def csv_quoted_breaks(spark, sf_dir):
     return src.read_routes(spark, root, [Route("orders", "orders/*.csv", "orders")], "1")["orders"].select("a", "b")
 
 
+@contextmanager
+def small_ranges(spark, size: int):
+    """Every file counts as large, and a range has this many bytes."""
+    settings = {"feedloom.rangeBytes": "0", "spark.sql.files.maxPartitionBytes": str(size)}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@query("csv_byte_ranges", """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') || chr(10) || '"' || lang || '",.' AS body FROM documents""")
+def csv_byte_ranges(spark, sf_dir):
+    """Whole documents as quoted cells, with their line breaks and more, in files that are cut into small ranges."""
+    root = scratch_path(spark, "landing")
+    rows = table(spark, sf_dir, "documents").selectExpr("CAST(doc_id AS STRING) AS doc_id", "coalesce(text, '') || '\\n\"' || lang || '\",.' AS body")
+    write_csv(rows, f"{root}/documents")
+    route = Route("documents", "documents/*.csv", "documents", keep_tokens=True)
+    with small_ranges(spark, 256 * 1024):
+        rows = src.scan_route(spark, src.landed(spark, root, route.glob), route)
+    return rows.select("doc_id", "body")
+
+
 @query("csv_split_lines", BROKEN_LINES.format(b="concat('x,', CAST(o_custkey AS VARCHAR), ',y \"', o_orderstatus, '\"')"))
 def csv_split_lines(spark, sf_dir):
     """Files that may be split by line, with quoted commas and quotes."""
@@ -150,6 +178,32 @@ def json_snapshot(spark, sf_dir):
     return read_json_array(spark, f"{root}/*.txt", PAYLOAD)
 
 
+@query("json_byte_ranges", """
+    SELECT CAST(doc_id AS VARCHAR) AS pol_no, coalesce(text, '') || ' }, {"' AS agt_first_name, CAST(NULL AS VARCHAR) AS premium FROM documents""")
+def json_byte_ranges(spark, sf_dir):
+    """Arrays of documents with nested objects, and braces and quotes in texts, cut into small ranges."""
+    root = scratch_path(spark, "payload")
+    record = F.struct(
+        F.col("doc_id").alias("polNo"), F.concat(F.coalesce("text", F.lit("")), F.lit(' }, {"')).alias("agtFirstName"),
+        F.struct(F.col("lang").alias("a"), F.array(F.struct(F.lit("}").alias("b"))).alias("c")).alias("other"),
+    )
+    payloads = table(spark, sf_dir, "documents").groupBy(F.pmod("doc_id", F.lit(20))).agg(F.to_json(F.collect_list(record)).alias("value"))
+    payloads.select("value").write.option("maxRecordsPerFile", 1).text(root)
+    with small_ranges(spark, 64 * 1024):
+        return read_json_array(spark, f"{root}/*.txt", PAYLOAD[:3])
+
+
+@query("json_limit", """
+    SELECT CAST(c_custkey AS VARCHAR) AS pol_no, c_name AS agt_first_name FROM customer ORDER BY c_custkey LIMIT 40""")
+def json_limit(spark, sf_dir):
+    """The first objects of an array, in its order."""
+    root = scratch_path(spark, "payload")
+    record = F.struct(F.col("c_custkey").alias("polNo"), F.col("c_name").alias("agtFirstName"))
+    listed = table(spark, sf_dir, "customer").filter("c_custkey <= 1000").agg(F.to_json(F.array_sort(F.collect_list(record))).alias("value"))
+    listed.write.text(root)
+    return read_json_array(spark, f"{root}/*.txt", PAYLOAD[:2], limit=40)
+
+
 @query("header_csv", """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
            CASE WHEN c_nationkey > 4 THEN c_mktsegment ELSE '' END AS segment FROM customer""")
@@ -167,17 +221,23 @@ def header_csv(spark, sf_dir):
 
 # ------------------------------------------------------------------------ flows
 
-FLOW_SQL = f"""
-    SELECT policy, status, modal_premium FROM (
-        SELECT {x.sql_blank('policy')} AS policy, {x.sql_blank('status')} AS status,
-               {x.sql_number(x.sql_blank('modal_premium'), '+-')} AS modal_premium FROM {x.derived_sql(MANHATTAN_TEXT)})"""
+DATED_TEXT = {**MANHATTAN_TEXT, "o_orderdate": "o_orderdate", "o_orderkey": "o_orderkey"}
+
+
+def flow_sql(condition: str = "true") -> str:
+    return f"""
+    SELECT {x.sql_blank('policy')} AS policy, {x.sql_blank('status')} AS status,
+           {x.sql_number(x.sql_blank('modal_premium'), '+-')} AS modal_premium FROM {x.derived_sql(DATED_TEXT)} WHERE {condition}"""
+
+
+FLOW_SQL = flow_sql()
 FLOW_COLUMNS = [c.raw for c in manhattan.COLUMNS if not c.raw.startswith(("wrtng_agt_2", "wrtng_agt_3", "wrtng_agt_4"))]
 CLOCK = dt.datetime(2026, 7, 1, tzinfo=dt.timezone.utc)
 
 
 def land(spark, sf_dir, root, condition):
     """Policy files of some orders, dropped where the feed looks for them."""
-    rows = x.derived(spark, sf_dir, {**MANHATTAN_TEXT, "o_orderdate": "o_orderdate"}).filter(condition)
+    rows = x.derived(spark, sf_dir, DATED_TEXT).filter(condition)
     cells = [(F.col(c) if c in MANHATTAN_TEXT else F.lit(None).cast("string")).alias(c) for c in FLOW_COLUMNS]
     rows.select(*cells).write.mode("append").option("header", True).csv(f"{root}/manhattan/inbound")
 
@@ -199,6 +259,36 @@ def load_flow(spark, sf_dir):
     return typed_policies(tables)
 
 
+NEWEST_LOAD = "year(o_orderdate) BETWEEN 1997 AND 1998 AND o_orderkey % 2 = 1"
+
+
+@query("latest_by_statistics", flow_sql(NEWEST_LOAD))
+def latest_by_statistics(spark, sf_dir):
+    """Three loads of two files each, all of one time: the load id decides, then the name. Only that load's folder is read."""
+    root = scratch_path(spark, "flow")
+    tables = Tables(spark, f"{root}/tables")
+    loads = (("10", "o_orderdate < '1997-01-01'"), ("9", "year(o_orderdate) BETWEEN 1997 AND 1998"), ("2", "o_orderdate >= '1999-01-01'"))
+    for load_id, condition in loads:
+        for part in (0, 1):
+            land_named(spark, sf_dir, root, f"{condition} AND o_orderkey % 2 = {part}", f"load-{load_id}-{part}.csv")
+        out = flow.load(tables, manhattan.FEED, root, load_id, CLOCK)
+    rows = out["latest_typed"]
+    return rows.select("policy", "status", F.col("modal_premium").cast("double").alias("modal_premium"))
+
+
+def land_named(spark, sf_dir, root, condition, name):
+    """One policy file under its name, as of a fixed time."""
+    made = scratch_path(spark, "drop")
+    rows = x.derived(spark, sf_dir, DATED_TEXT).filter(condition)
+    cells = [(F.col(c) if c in MANHATTAN_TEXT else F.lit(None).cast("string")).alias(c) for c in FLOW_COLUMNS]
+    rows.select(*cells).coalesce(1).write.option("header", True).csv(made)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, folder = path(made).getFileSystem(spark._jsc.hadoopConfiguration()), f"{root}/manhattan/inbound"
+    fs.mkdirs(path(folder))
+    fs.rename(fs.globStatus(path(f"{made}/part-*.csv"))[0].getPath(), path(f"{folder}/{name}"))
+    fs.setTimes(path(f"{folder}/{name}"), 1_780_000_000_000, -1)
+
+
 @query("stream_flow", FLOW_SQL)
 def stream_flow(spark, sf_dir):
     """The same files through the stream, which is stopped and started again."""
