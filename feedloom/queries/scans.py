@@ -299,3 +299,20 @@ def stream_flow(spark, sf_dir):
         land(spark, sf_dir, root, condition)
         start_intake(tables, manhattan.FEED, route, root, f"{root}/checkpoint", lambda: CLOCK).awaitTermination()
     return typed_policies(tables)
+
+
+@query("rebuild_counts", """
+    SELECT name, CAST(CASE WHEN name = 'episodes' THEN 0 WHEN name LIKE 'latest%' THEN late ELSE n END AS BIGINT) AS n
+    FROM (SELECT unnest(['typed', 'history', 'episodes', 'latest_raw', 'latest_typed']) AS name),
+         (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderdate >= '1998-01-01') AS late FROM orders)""")
+def rebuild_counts(spark, sf_dir):
+    """A feed loaded from two files and rebuilt from three, and the rows of each refreshed table."""
+    root = scratch_path(spark, "flow")
+    tables = Tables(spark, f"{root}/tables")
+    feed = replace(manhattan.FEED, routes=(replace(manhattan.ROUTES[0], columns=tuple(FLOW_COLUMNS)),))
+    for part in (0, 1):
+        land_named(spark, sf_dir, root, f"o_orderdate < '1998-01-01' AND o_orderkey % 2 = {part}", f"part-{part}.csv")
+    flow.load(tables, feed, root, "1", CLOCK, refresh_derived=False)
+    land_named(spark, sf_dir, root, "o_orderdate >= '1998-01-01'", "part-2.csv")
+    counts = flow.row_counts(flow.rebuild(tables, feed, root, "2", CLOCK))
+    return spark.createDataFrame(list(counts.items()), "name string, n long")
