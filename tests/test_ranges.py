@@ -110,3 +110,20 @@ def test_broken_arrays_fail(spark, tmp_path, cut_at, text):
     cut_at(4)
     with pytest.raises(Exception, match="(?i)p.json|malformed"):
         read_json_array(spark, str(tmp_path / "p.json"), ["polNo"]).collect()
+
+
+def test_small_ranges_are_neither_tasks_nor_stored_files(spark, tmp_path):
+    """What is stored of a text cut into hundreds of ranges is a few files, and is read in few tasks."""
+    (tmp_path / "one.json").write_text(json.dumps(OBJECTS * 40))
+    spark.conf.set("feedloom.cutBytes", "50")
+    try:
+        with ranges.cutting(spark):
+            found = ranges.cut(ranges.pieces(spark, [str(tmp_path / "one.json")], "}"))
+        assert found.select("range").distinct().count() > 100
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        spark.conf.set("feedloom.rangeBytes", "0")
+        assert read_json_array(spark, str(tmp_path / "one.json"), ["polNo"]).count() == 280
+    finally:
+        spark.conf.unset("feedloom.cutBytes")
+        spark.conf.unset("feedloom.rangeBytes")
