@@ -38,6 +38,35 @@ def test_deep_chain_takes_few_rounds(spark):
     assert sizes == {i: 71 - i for i in range(1, 71)}
 
 
+def test_rounds_store_few_steps(spark, monkeypatch):
+    stored = []
+
+    def counted(df, real=hi.cut):
+        kept = real(df)
+        stored.append(kept.agg(F.sum(F.size("path"))).first()[0] if "path" in kept.columns else 0)
+        return kept
+
+    monkeypatch.setattr(hi, "cut", counted)
+    parents = {f"n{i}": f"n{i + 1}" if i % 150 else None for i in range(1, 601)}
+    nodes = spark.createDataFrame(list(parents.items()), "id string, parent_id string").withColumn("step", F.struct("id"))
+    found = {r["id"]: r["n"] for r in hi.ancestor_paths(nodes).select("id", F.size("path").alias("n")).collect()}
+    assert found == {f"n{i}": 151 - (i % 150 or 150) for i in range(1, 601)}
+    # All paths have 45,300 steps.
+    assert sum(x or 0 for x in stored) < sum(found.values())
+
+
+def test_stretches_end_alike_on_trees_and_long_cycles(spark):
+    parents = {str(i): str((i * 7 + 3) % 60) for i in range(60)} | {str(i): str(i // 2 + 40) for i in range(60, 200)} | {"200": "gone"}
+    expected = {}
+    for start in parents:
+        walk, node = [], start
+        while node in parents and node not in walk:
+            walk.append(node)
+            node = parents[node]
+        expected[start] = "".join(walk)
+    assert paths(spark, parents) == expected
+
+
 # ------------------------------------------------------------ self-derived
 
 AGENT = "pol_no string, agt_code string, writing_split string, agt_first_name string, agt_last_name string, upline string, first_seen_at timestamp, row_hash string"
