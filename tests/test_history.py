@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import history as h
 from feedloom.operators.skew import Order
+from feedloom.plans import flow
+from feedloom.sinks.tables import Tables
 
 SCHEMA = "policy string, file_date date, source_file string, row_id string, code string, risk boolean"
 
@@ -133,6 +136,29 @@ def test_tails_carry_the_past(spark):
     assert rows(advanced.select(columns), "policy") == rows(fresh.select(columns), "policy")
 
 
+@pytest.mark.parametrize("rule", [h.RUNNING_MAX, h.CHANGE_ROW, h.PREVIOUS_ROW])
+def test_tails_of_a_rebuild_need_no_stored_history(spark, hot, rule):
+    typed = random_rows(spark)
+    joined = h.tails(typed, h.change_history(typed, spec(rule)), spec(rule))
+    columns = sorted(joined.columns)
+    assert rows(h.rebuilt_tails(typed, spec(rule)).select(columns), "policy") == rows(joined.select(columns), "policy")
+
+
+def test_a_load_that_is_late_for_most_keys_joins_no_rows_by_id(spark, tmp_path, monkeypatch):
+    typed = random_rows(spark).withColumn("late", F.dayofmonth("file_date") < 10)
+    tables, feed = Tables(spark, str(tmp_path)), SimpleNamespace(table="policies", history=spec())
+    for load_id, late in (("1", False), ("2", True)):
+        tables.append("typed/policies", typed.filter(F.coalesce("late", F.lit(False)) == late).drop("late"), load_id)
+        if late:
+            monkeypatch.setattr(h, "tails", None)
+            monkeypatch.setattr(h, "refreshed_history", None)
+        found = flow.refresh_history(tables, feed)
+    full = h.change_history(typed, spec())
+    assert rows(found.select(full.columns), "row_id") == rows(full, "row_id")
+    kept = tables.read("typed/policies_change_history_tail")
+    assert kept.count() == typed.select("policy").distinct().count()
+
+
 def test_a_missing_day_resets_what_sorts_before_it(spark):
     typed = observations(spark, ("p", 1, "A"), ("p", None, "B"), ("p", 2, "C"), ("q", 1, "A"), ("q", None, "B"))
     done = h.change_history(typed.filter("row_id < 'r0002' OR row_id = 'r0003'"), spec())
